@@ -25,7 +25,7 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
 def dtypes_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
     """(position, column, data_type) rows for the table's schema."""
     rows = [(i + 1, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column string, data_type string")
+    return spark.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
 def head(df: DataFrame, n: int = 5) -> DataFrame:
@@ -34,7 +34,7 @@ def head(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def null_counts_desc(df: DataFrame) -> DataFrame:
-    return null_counts(df).orderBy(F.desc("null_count"), F.asc("column"))
+    return null_counts(df).orderBy(F.desc("null_count"), F.asc("column_name"))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -43,7 +43,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 def _long_values(df: DataFrame, columns: list[str]) -> DataFrame:
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = wide.unpivot([], columns, "column", "value")
+    long = wide.unpivot([], columns, "column_name", "value")
     return long.filter(F.col("value").isNotNull())
 
 
@@ -56,28 +56,28 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     spark = df.sparkSession
     shared_dir(spark)  # checkpoint() needs the shared folder registered
     distinct = (
-        _long_values(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        _long_values(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
     )
     # Materialize the range partition assignment once so retries and the
     # two uses below see the same partition ids.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ranged = (
-        distinct.repartitionByRange(parts, "column", "value")
+        distinct.repartitionByRange(parts, "column_name", "value")
         .withColumn("pid", F.spark_partition_id())
         .checkpoint(eager=True)
     )
     # Small table: one row per (column, range partition).
-    per_part = ranged.groupBy("column", "pid").agg(F.sum("cnt").alias("part_cnt"))
-    w_off = Window.partitionBy("column").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = ranged.groupBy("column_name", "pid").agg(F.sum("cnt").alias("part_cnt"))
+    w_off = Window.partitionBy("column_name").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.select(
-        "column",
+        "column_name",
         "pid",
         F.coalesce(F.sum("part_cnt").over(w_off), F.lit(0)).alias("offset"),
-        F.sum("part_cnt").over(Window.partitionBy("column")).alias("n"),
+        F.sum("part_cnt").over(Window.partitionBy("column_name")).alias("n"),
     )
-    w_run = Window.partitionBy("column", "pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.join(F.broadcast(offsets), ["column", "pid"]).select(
-        "column",
+    w_run = Window.partitionBy("column_name", "pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.join(F.broadcast(offsets), ["column_name", "pid"]).select(
+        "column_name",
         "value",
         "n",
         (F.col("offset") + F.sum("cnt").over(w_run)).alias("cum_end"),
@@ -86,10 +86,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     ranked = ranked.withColumn("cum_start", F.col("cum_end") - F.col("cnt"))
     # Target ranks per column and probability (0-based): floor and ceil of p*(n-1).
     targets = (
-        offsets.select("column", "n")
+        offsets.select("column_name", "n")
         .distinct()
         .select(
-            "column",
+            "column_name",
             "n",
             F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"),
         )
@@ -99,20 +99,20 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     )
     picks = ranked.join(
         F.broadcast(targets.drop("n")),
-        (ranked["column"] == targets["column"])
+        (ranked["column_name"] == targets["column_name"])
         & (
             ((F.col("k_lo") >= F.col("cum_start")) & (F.col("k_lo") < F.col("cum_end")))
             | ((F.col("k_hi") >= F.col("cum_start")) & (F.col("k_hi") < F.col("cum_end")))
         ),
     ).select(
-        ranked["column"],
+        ranked["column_name"],
         "prob",
         "pos",
         "k_lo",
         F.when((F.col("k_lo") >= F.col("cum_start")) & (F.col("k_lo") < F.col("cum_end")), F.col("value")).alias("v_lo"),
         F.when((F.col("k_hi") >= F.col("cum_start")) & (F.col("k_hi") < F.col("cum_end")), F.col("value")).alias("v_hi"),
     )
-    return picks.groupBy("column", "prob").agg(
+    return picks.groupBy("column_name", "prob").agg(
         (F.max("v_lo") + (F.first("pos") - F.first("k_lo")) * (F.max("v_hi") - F.max("v_lo"))).alias("value")
     )
 
@@ -121,7 +121,7 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUART
     """Per numeric column: count, mean, std, min, 25/50/75 %, max (exact)."""
     columns = columns or numeric_columns(df)
     long = _long_values(df, columns)
-    moments = long.groupBy("column").agg(
+    moments = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("count"),
         F.round(F.avg("value"), STAT_DIGITS).alias("mean"),
         F.round(F.stddev_samp("value"), STAT_DIGITS).alias("std"),
@@ -130,9 +130,9 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUART
     )
     q = exact_quantiles(df, columns, probs)
     names = {p: f"p{int(round(p * 100))}" for p in probs}
-    wide_q = q.groupBy("column").agg(
+    wide_q = q.groupBy("column_name").agg(
         *[F.round(F.max(F.when(F.col("prob") == p, F.col("value"))), STAT_DIGITS).alias(names[p]) for p in probs]
     )
-    return moments.join(wide_q, "column", "left").select(
-        "column", "count", "mean", "std", "min", *[names[p] for p in probs], "max"
+    return moments.join(wide_q, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", *[names[p] for p in probs], "max"
     )

@@ -62,7 +62,7 @@ def profile_metrics(raw: DataFrame, expected_year: int, expected_month: int) ->
 
 
 def null_counts(raw: DataFrame) -> DataFrame:
-    """(column, null_count, null_percentage) for every column with a NULL.
+    """(column_name, null_count, null_percentage) for every column with a NULL.
 
     One aggregation over the data; the unpivot runs on its single row.
     """
@@ -70,9 +70,9 @@ def null_counts(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("__rows"),
         *[F.count_if(F.col(c).isNull()).alias(c) for c in raw.columns],
     )
-    long = counts.unpivot("__rows", raw.columns, "column", "null_count")
+    long = counts.unpivot("__rows", raw.columns, "column_name", "null_count")
     return long.filter(F.col("null_count") > 0).select(
-        "column",
+        "column_name",
         "null_count",
         F.round(F.col("null_count") / F.col("__rows") * 100, 2).alias("null_percentage"),
     )
@@ -126,7 +126,7 @@ def profile_report(raw: DataFrame, expected_year: int, expected_month: int, file
         F.map_from_entries(
             F.collect_list(
                 F.struct(
-                    F.col("column"),
+                    F.col("column_name"),
                     F.struct(F.col("null_count").alias("count"), F.col("null_percentage").alias("percentage")),
                 )
             )

@@ -19,7 +19,7 @@ COLUMNS_ORDERED = "expect_table_columns_to_match_ordered_list"
 NOT_NULL = "expect_column_values_to_not_be_null"
 BETWEEN = "expect_column_values_to_be_between"
 
-RESULT_SCHEMA = "expectation string, column string, success boolean, unexpected_count bigint"
+RESULT_SCHEMA = "expectation string, column_name string, success boolean, unexpected_count bigint"
 
 
 def _outside(c: Column, lo, hi) -> Column:
@@ -62,7 +62,7 @@ def raw_expectations(
     def row(kind: str, column: str | None, success: Column, unexpected: Column) -> Column:
         return F.struct(
             F.lit(kind).alias("expectation"),
-            F.lit(column).cast("string").alias("column"),
+            F.lit(column).cast("string").alias("column_name"),
             success.alias("success"),
             unexpected.cast("bigint").alias("unexpected_count"),
         )
@@ -102,7 +102,7 @@ NOT_NULL_TESTS = [
 
 
 def model_tests(models: dict[str, DataFrame], tests=NOT_NULL_TESTS) -> DataFrame:
-    """(model, column, test, failures, status) for each declared not-null test.
+    """(model, column_name, test, failures, status) for each declared not-null test.
 
     Tests on one model share a single aggregation over it.
     """
@@ -119,7 +119,7 @@ def model_tests(models: dict[str, DataFrame], tests=NOT_NULL_TESTS) -> DataFrame
                         *[
                             F.struct(
                                 F.lit(model).alias("model"),
-                                F.lit(c).alias("column"),
+                                F.lit(c).alias("column_name"),
                                 F.lit("not_null").alias("test"),
                                 F.col(c).cast("bigint").alias("failures"),
                             )

@@ -36,6 +36,8 @@ FIXTURE_MIN_YEAR = 1992
 FULL_PERIOD = P.Period.parse("01/01/1995", "31/12/2001", min_year=FIXTURE_MIN_YEAR)
 NARROW_PERIOD = P.Period.parse("15/03/1997", "14/06/1998", min_year=FIXTURE_MIN_YEAR)
 COVERAGE_PERIOD = P.Period.parse("01/06/2001", "31/03/2002", min_year=FIXTURE_MIN_YEAR)
+# Months that hold fixture rows (landing refuses a month without rows).
+LANDING_PERIOD = P.Period.parse("01/01/1995", "30/11/2001", min_year=FIXTURE_MIN_YEAR)
 EXPECTED_YEAR, EXPECTED_MONTH = 1997, 1
 RUN_TS = dt.datetime(2025, 2, 1, 6, 0, 0, tzinfo=dt.timezone.utc)
 
@@ -427,3 +429,283 @@ def q_unmatched_zones(spark, sf_dir):
 )
 def q_run_summary(spark, sf_dir):
     return A.run_summary(_fx(spark, sf_dir).enriched)
+
+
+# ------------------------------------------- sources, landing, period planning
+
+
+def _land_fixture(fx: Fixture) -> str:
+    """Land the whole fixture into ``year=/month=`` (idempotent per input)."""
+    from cabflow.sources.landing import land_months
+
+    root = fx.scratch("raw_trips")
+    land_months(fx.raw, root, LANDING_PERIOD, overwrite=False)
+    return root
+
+
+def _zones_csv(fx: Fixture) -> str:
+    path = fx.scratch("zones_csv")
+    fx.zones.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
+_MONTH_SQL = """SELECT CAST(year(tpep_pickup_datetime) AS INTEGER) AS year,
+       CAST(month(tpep_pickup_datetime) AS INTEGER) AS month, COUNT(*) AS row_count
+FROM raw_trips {where} GROUP BY ALL"""
+
+
+@query("raw_layout_month_counts", O.with_raw(_MONTH_SQL.format(where="")))
+def q_raw_layout_month_counts(spark, sf_dir):
+    """Landing (S6) then a partition-discovering scan (S1), counted per month."""
+    fx = _fx(spark, sf_dir)
+    raw = RAW.read_raw_trips(spark, _land_fixture(fx))
+    return raw.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+_lo, _hi = NARROW_PERIOD.month_keys(1)
+
+
+@query(
+    "raw_pruned_month_counts",
+    O.with_raw(
+        _MONTH_SQL.format(
+            where=f"WHERE year(tpep_pickup_datetime) * 100 + month(tpep_pickup_datetime) BETWEEN {_lo} AND {_hi}"
+        )
+    ),
+)
+def q_raw_pruned_month_counts(spark, sf_dir):
+    """Raw-month pruning for a period (+-1 month) on the landed layout."""
+    fx = _fx(spark, sf_dir)
+    raw = P.prune_raw_months(RAW.read_raw_trips(spark, _land_fixture(fx)), NARROW_PERIOD)
+    return raw.groupBy(F.col("year").cast("int").alias("year"), F.col("month").cast("int").alias("month")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
+
+
+@query("zone_lookup_csv", O.with_zones("SELECT * FROM zones"))
+def q_zone_lookup_csv(spark, sf_dir):
+    """The zone lookup written as CSV with a header and read back."""
+    fx = _fx(spark, sf_dir)
+    return RAW.read_zones(spark, _zones_csv(fx))
+
+
+@query(
+    "period_coverage",
+    O.with_raw(
+        f"""SELECT m.year, m.month, CAST(coalesce(c.row_count, 0) AS BIGINT) AS row_count
+FROM (SELECT CAST(year(ms) AS INTEGER) AS year, CAST(month(ms) AS INTEGER) AS month
+      FROM (SELECT unnest(generate_series(DATE '{COVERAGE_PERIOD.start.replace(day=1)}',
+                                          DATE '{COVERAGE_PERIOD.end.replace(day=1)}', INTERVAL 1 MONTH)) AS ms)) m
+LEFT JOIN ({_MONTH_SQL.format(where="")}) c ON m.year = c.year AND m.month = c.month"""
+    ),
+)
+def q_period_coverage(spark, sf_dir):
+    return P.period_coverage(_fx(spark, sf_dir).raw, COVERAGE_PERIOD)
+
+
+# ------------------------------------------------------------- profile (M*)
+
+_P = "tpep_pickup_datetime"
+_D = "tpep_dropoff_datetime"
+_MIN = f"date_diff('second', {_P}, {_D}) / 60.0e0"
+
+
+@query(
+    "profile_metrics",
+    O.with_raw(
+        f"""SELECT {EXPECTED_YEAR} AS expected_year, {EXPECTED_MONTH} AS expected_month,
+  COUNT(*) AS row_count, CAST(20 AS BIGINT) AS column_count,
+  count_if({_P} IS NULL) AS null_pickup_datetime,
+  count_if({_D} IS NULL) AS null_dropoff_datetime,
+  count_if({_MIN} < 0) AS dropoff_before_pickup,
+  count_if({_MIN} = 0) AS zero_duration_trips,
+  count_if({_MIN} > 1440) AS trips_longer_than_24_hours,
+  count_if(NOT coalesce(year({_P}) = {EXPECTED_YEAR} AND month({_P}) = {EXPECTED_MONTH}, false)) AS rows_outside_expected_month,
+  strftime(MIN({_P}), '%Y-%m-%dT%H:%M:%S') AS minimum_pickup_datetime,
+  strftime(MAX({_P}), '%Y-%m-%dT%H:%M:%S') AS maximum_pickup_datetime,
+  count_if(trip_distance < 0) AS negative_trip_distance,
+  count_if(trip_distance = 0) AS zero_trip_distance,
+  count_if(trip_distance > 100) AS trip_distance_over_100_miles,
+  MAX(trip_distance) AS maximum_trip_distance,
+  count_if(fare_amount < 0) AS negative_fare_amount,
+  count_if(tip_amount < 0) AS negative_tip_amount,
+  count_if(total_amount < 0) AS negative_total_amount,
+  count_if(total_amount > 1000) AS total_amount_over_1000,
+  MAX(total_amount) AS maximum_total_amount,
+  count_if(PULocationID < 1 OR PULocationID > 265) AS invalid_pickup_location_ids,
+  count_if(DOLocationID < 1 OR DOLocationID > 265) AS invalid_dropoff_location_ids
+FROM raw_trips"""
+    ),
+)
+def q_profile_metrics(spark, sf_dir):
+    return PR.profile_metrics(_fx(spark, sf_dir).raw, EXPECTED_YEAR, EXPECTED_MONTH)
+
+
+@query(
+    "profile_null_values",
+    O.with_raw(
+        f"""SELECT column_name, null_count, ROUND(null_count / __rows * 100, 2) AS null_percentage
+FROM (UNPIVOT (SELECT COUNT(*) AS __rows, {_cols(f'count_if({c} IS NULL) AS {c}' for c in S.RAW_COLUMNS)} FROM raw_trips)
+      ON {_cols(S.RAW_COLUMNS)} INTO NAME column_name VALUE null_count)
+WHERE null_count > 0"""
+    ),
+)
+def q_profile_null_values(spark, sf_dir):
+    """Null count and percentage per column, only where > 0 (M7; I4 is its descending listing)."""
+    return I.null_counts_desc(_fx(spark, sf_dir).raw)
+
+
+_DUP_SQL = "SELECT CAST(coalesce(SUM(c - 1), 0) AS BIGINT) AS duplicate_rows FROM (SELECT COUNT(*) AS c FROM {src} GROUP BY {cols})"
+
+
+@query("profile_duplicate_rows", O.with_raw(_DUP_SQL.format(src="raw_trips", cols=_cols(S.RAW_COLUMNS))))
+def q_profile_duplicate_rows(spark, sf_dir):
+    return PR.duplicate_rows(_fx(spark, sf_dir).raw)
+
+
+@query(
+    "profile_duplicate_rows_double_landing",
+    O.with_raw(
+        _DUP_SQL.format(src="(SELECT * FROM raw_trips UNION ALL SELECT * FROM raw_trips)", cols=_cols(S.RAW_COLUMNS))
+    ),
+)
+def q_profile_duplicate_rows_twice(spark, sf_dir):
+    """Every month landed twice: each row is one duplicate."""
+    raw = _fx(spark, sf_dir).raw
+    return PR.duplicate_rows(raw.unionByName(raw))
+
+
+@query("profile_report", None)
+def q_profile_report(spark, sf_dir):
+    """The nested profile document (one row; rows-only check)."""
+    return PR.profile_report(_fx(spark, sf_dir).raw, EXPECTED_YEAR, EXPECTED_MONTH, "lineitem trips")
+
+
+@query("input_file_size", None)
+def q_input_file_size(spark, sf_dir):
+    """Size of the files behind the scan, in MB (rows-only check)."""
+    return PR.input_size_mb(FX.table(spark, sf_dir, "lineitem"))
+
+
+# ------------------------------------------------------------ inspector (I*)
+
+_DUCK_TYPES = {"BIGINT": "bigint", "TIMESTAMP": "timestamp_ntz", "DOUBLE": "double", "VARCHAR": "string", "INTEGER": "int"}
+
+
+@query(
+    "inspect_dtypes",
+    f"""SELECT column_name, CASE column_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in _DUCK_TYPES.items())} END AS data_type
+FROM (DESCRIBE ({O.with_raw("SELECT * FROM raw_trips")}))""",
+)
+def q_inspect_dtypes(spark, sf_dir):
+    return I.dtypes_frame(spark, _fx(spark, sf_dir).raw).drop("position")
+
+
+@query(
+    "inspect_head",
+    O.with_raw(
+        "SELECT * FROM raw_trips ORDER BY " + ", ".join(f"{c} ASC NULLS FIRST" for c in S.RAW_COLUMNS) + " LIMIT 5"
+    ),
+)
+def q_inspect_head(spark, sf_dir):
+    return I.head(_fx(spark, sf_dir).raw, 5)
+
+
+_NUM = [c for c in S.RAW_COLUMNS if c not in ("tpep_pickup_datetime", "tpep_dropoff_datetime", "store_and_fwd_flag")]
+
+
+@query(
+    "inspect_numeric_stats",
+    O.with_raw(
+        f"""SELECT column_name, COUNT(*) AS count, ROUND(AVG(value), 6) AS mean,
+       ROUND(STDDEV_SAMP(value), 6) AS std, MIN(value) AS min,
+       ROUND(quantile_cont(value, 0.25), 6) AS p25, ROUND(quantile_cont(value, 0.5), 6) AS p50,
+       ROUND(quantile_cont(value, 0.75), 6) AS p75, MAX(value) AS max
+FROM (UNPIVOT (SELECT {_cols(f'CAST({c} AS DOUBLE) AS {c}' for c in _NUM)} FROM raw_trips)
+      ON {_cols(_NUM)} INTO NAME column_name VALUE value)
+GROUP BY column_name"""
+    ),
+)
+def q_inspect_numeric_stats(spark, sf_dir):
+    return I.numeric_summary(_fx(spark, sf_dir).raw)
+
+
+# ------------------------------------------------------- expectations (E, D)
+
+
+def _expectation_sql() -> str:
+    rows = [
+        (f"'{Q.ROW_COUNT}'", "NULL", "rows >= 1", "0"),
+        (f"'{Q.COLUMNS_ORDERED}'", "NULL", "true", "0"),
+        (f"'{Q.NOT_NULL}'", "'tpep_pickup_datetime'", "null_pickup = 0", "null_pickup"),
+        (f"'{Q.NOT_NULL}'", "'tpep_dropoff_datetime'", "null_dropoff = 0", "null_dropoff"),
+        (f"'{Q.BETWEEN}'", "'PULocationID'", "bad_pu = 0", "bad_pu"),
+        (f"'{Q.BETWEEN}'", "'DOLocationID'", "bad_do = 0", "bad_do"),
+        (f"'{Q.BETWEEN}'", "'trip_distance'",
+         "CASE WHEN dist_non_null = 0 THEN true ELSE (dist_non_null - bad_dist) / dist_non_null >= 0.999 END", "bad_dist"),
+    ]
+    selects = " UNION ALL ".join(
+        f"SELECT {e} AS expectation, CAST({c} AS VARCHAR) AS column_name, {s} AS success, "
+        f"CAST({u} AS BIGINT) AS unexpected_count FROM a"
+        for e, c, s, u in rows
+    )
+    return O.with_raw(
+        f""", a AS (SELECT COUNT(*) AS rows, count_if({_P} IS NULL) AS null_pickup,
+  count_if({_D} IS NULL) AS null_dropoff,
+  count_if(PULocationID < 1 OR PULocationID > 265) AS bad_pu,
+  count_if(DOLocationID < 1 OR DOLocationID > 265) AS bad_do,
+  count_if(trip_distance < 0) AS bad_dist, COUNT(trip_distance) AS dist_non_null FROM raw_trips)
+{selects}"""
+    )
+
+
+@query("raw_expectations", _expectation_sql())
+def q_raw_expectations(spark, sf_dir):
+    return Q.raw_expectations(_fx(spark, sf_dir).raw)
+
+
+@query(
+    "raw_expectations_gate",
+    f"SELECT bool_and(success) AS success, COUNT(*) AS expectations FROM ({_expectation_sql()})",
+)
+def q_raw_expectations_gate(spark, sf_dir):
+    return Q.suite_success(Q.raw_expectations(_fx(spark, sf_dir).raw))
+
+
+def _model_tests_sql() -> str:
+    return O.with_routed(
+        FULL_PERIOD,
+        """, tests AS (
+  SELECT 'stg_trips' AS model, 'pickup_datetime' AS column_name, count_if(pickup_datetime IS NULL) AS failures FROM stg_trips
+  UNION ALL SELECT 'stg_trips', 'dropoff_datetime', count_if(dropoff_datetime IS NULL) FROM stg_trips
+  UNION ALL SELECT 'stg_trips', 'pickup_location_id', count_if(pickup_location_id IS NULL) FROM stg_trips
+  UNION ALL SELECT 'stg_trips', 'dropoff_location_id', count_if(dropoff_location_id IS NULL) FROM stg_trips
+  UNION ALL SELECT 'trips_by_borough', 'pickup_borough', count_if(pickup_borough IS NULL)
+            FROM (SELECT pickup_borough FROM stg_trips GROUP BY pickup_borough)
+  UNION ALL SELECT 'trips_by_hour', 'pickup_hour', count_if(pickup_hour IS NULL)
+            FROM (SELECT pickup_hour FROM stg_trips GROUP BY pickup_hour))
+SELECT model, column_name, 'not_null' AS test, CAST(failures AS BIGINT) AS failures,
+       CASE WHEN failures = 0 THEN 'PASS' ELSE 'ERROR' END AS status FROM tests""",
+    )
+
+
+def _model_views(spark, sf_dir) -> dict[str, DataFrame]:
+    fx = _fx(spark, sf_dir)
+    stg = fx.stg
+    return {"stg_trips": stg, **{name: build(stg) for name, build in M.MARTS.items()}}
+
+
+@query("model_tests", _model_tests_sql())
+def q_model_tests(spark, sf_dir):
+    return Q.model_tests(_model_views(spark, sf_dir))
+
+
+@query(
+    "model_test_summary",
+    f"""SELECT count_if(status = 'PASS') AS pass_count, count_if(status = 'WARN') AS warn_count,
+       count_if(status = 'ERROR') AS error_count, COUNT(*) AS total_count FROM ({_model_tests_sql()})""",
+)
+def q_model_test_summary(spark, sf_dir):
+    return Q.test_summary(Q.model_tests(_model_views(spark, sf_dir)))
