@@ -93,16 +93,19 @@ def assert_unique_zone_keys(zones: DataFrame) -> None:
         raise ValueError(f"zone lookup key is not unique, e.g. LocationID {keys}")
 
 
-def probe_lookup(zones: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[bool, bool]:
-    """One pass over at most ``max_rows + 1`` lookup rows -> (fits broadcast, key unique)."""
-    head = zones.limit(max_rows + 1)
-    r = head.agg(
+def probe_lookup(zones: DataFrame) -> tuple[bool, bool]:
+    """One aggregation over the lookup -> (fits broadcast, key unique).
+
+    A lookup is small by nature (one row per zone); if one ever is not, this
+    pass costs one scan of it, and the join falls back to a shuffle join.
+    """
+    r = zones.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(approx_row_bytes(zones)).alias("b"),
         F.count_distinct("LocationID").alias("keys"),
         F.count("LocationID").alias("non_null"),
     ).first()
-    small = r["n"] <= max_rows and (r["b"] or 0) <= MAX_BROADCAST_BYTES
+    small = r["n"] <= MAX_BROADCAST_ROWS and (r["b"] or 0) <= MAX_BROADCAST_BYTES
     unique = r["keys"] == r["non_null"]
     return small, unique
 

@@ -52,14 +52,23 @@ def _in_period(specs, period: Period):
 
 
 def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name: str):
-    """Write one routed output, then clear in-period days it no longer has."""
-    K.register_table(spark, table, path, df)
-    before = _in_period(K.existing_partitions(spark, table), period)
+    """Write one routed output, then clear in-period days it no longer has.
+
+    The existing days are listed from the catalog before the write; a table
+    path that holds data from an earlier run is registered first so its days
+    are seen even when the catalog itself is new.
+    """
+    before = []
+    if spark.catalog.tableExists(table) or K.path_has_data(spark, path):
+        K.register_table(spark, table, path, df)
+        before = _in_period(K.existing_partitions(spark, table), period)
     written = write_day_partitioned(df, path, name)
+    K.register_table(spark, table, path, df)
     keep = set(written.days)
     stale = [spec for day, spec in before if day not in keep]
     K.clear_partitions(spark, table, stale, df)
-    K.refresh_partitions(spark, table)
+    if stale:
+        K.refresh_partitions(spark, table)
     return written, len(stale)
 
 

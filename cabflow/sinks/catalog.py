@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from cabflow import schema as S
 
 
+def path_has_data(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a readable Parquet dataset (PATH_NOT_FOUND -> False)."""
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def _ddl(df: DataFrame, partition_cols: list[str]) -> str:
     fields = [f for f in df.schema.fields if f.name not in partition_cols]
     fields += [df.schema[c] for c in partition_cols]
@@ -57,8 +68,12 @@ def clear_partitions(spark: SparkSession, name: str, specs: list[dict[str, int]]
     if not specs:
         return
     part_cols = list(specs[0].keys())
-    data_cols = ", ".join(f"`{c}`" for c in like.columns if c not in part_cols)
+    table_schema = spark.table(name).schema
+    data_schema = T.StructType([f for f in table_schema.fields if f.name not in part_cols])
+    empty_view = f"__empty_{name}"
+    spark.createDataFrame([], data_schema).createOrReplaceTempView(empty_view)
     for spec in specs:
         where = ", ".join(f"{k}={v}" for k, v in spec.items())
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT {data_cols} FROM {name} WHERE false")
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT * FROM {empty_view}")
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({where})")
+    spark.catalog.dropTempView(empty_view)

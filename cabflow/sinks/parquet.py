@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
@@ -27,12 +28,9 @@ def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> Writ
     itself: no second pass. The day set is bounded by the days of the
     processing period.
     """
-    obs = Observation(name)
-    observed = df.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set("pickup_date").alias("days"),
-    )
+    metrics = [F.count(F.lit(1)).alias("rows"), F.collect_set("pickup_date").alias("days")]
+    obs = Observation(f"{name}_{uuid.uuid4().hex}")  # names must not repeat in a session
+    observed = df.observe(obs, *metrics)
     (
         observed.hint("rebalance", *S.DAY_PARTITION)
         .write.mode("overwrite")
@@ -40,8 +38,13 @@ def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> Writ
         .partitionBy(*S.DAY_PARTITION)
         .parquet(path)
     )
-    metrics = obs.get
-    return WriteResult(int(metrics.get("rows", 0)), sorted(metrics.get("days") or []))
+    try:
+        got = obs.get
+    except Exception:
+        # AQE replaces a plan it proves empty, dropping the observation with
+        # it; recount explicitly (cheap in exactly that case).
+        got = df.agg(*metrics).first().asDict()
+    return WriteResult(int(got.get("rows") or 0), sorted(got.get("days") or []))
 
 
 def write_sample(df: DataFrame, path: str, n: int = S.SAMPLE_SIZE) -> None:
