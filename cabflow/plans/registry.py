@@ -788,3 +788,44 @@ def q_pipeline_tables_by_month(spark, sf_dir):
         for route in ("curated", "rejected")
     ]
     return parts[0].unionByName(parts[1])
+
+
+# ------------------------------------------------------------------ streaming
+
+
+@query(
+    "incremental_tables_by_month",
+    O.with_routed(
+        FULL_PERIOD,
+        """SELECT 'curated' AS route, pickup_year, pickup_month, COUNT(*) AS trip_count FROM curated GROUP BY ALL
+UNION ALL
+SELECT 'rejected', pickup_year, pickup_month, COUNT(*) FROM rejected GROUP BY ALL""",
+    ),
+)
+def q_incremental_tables_by_month(spark, sf_dir):
+    """The streaming (availableNow) job over the landed fixture, read back per month."""
+    import uuid
+
+    from cabflow.streaming.incremental import run_incremental_once
+
+    fx = _fx(spark, sf_dir)
+    out = fx.scratch(f"stream_{uuid.uuid4().hex[:10]}")
+    paths = {r: os.path.join(out, r) for r in ("curated", "rejected")}
+    run_incremental_once(
+        spark,
+        raw_root=_land_fixture(fx),
+        zones_path=_zones_csv(fx),
+        curated_path=paths["curated"],
+        rejected_path=paths["rejected"],
+        checkpoint_root=os.path.join(out, "checkpoints"),
+        period=FULL_PERIOD,
+        run_ts=RUN_TS,
+    )
+    parts = [
+        spark.read.parquet(paths[r])
+        .groupBy("pickup_year", "pickup_month")
+        .agg(F.count(F.lit(1)).alias("trip_count"))
+        .select(F.lit(r).alias("route"), "pickup_year", "pickup_month", "trip_count")
+        for r in ("curated", "rejected")
+    ]
+    return parts[0].unionByName(parts[1])

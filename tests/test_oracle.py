@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from scripts.check_oracle import TABLES, digest
 from tests.conftest import SF_SMALL
 
-SLOW = {"pipeline_run", "pipeline_tables_by_month"}  # covered at sf0.01 by scripts/check_oracle.py
+SLOW = {"pipeline_run", "pipeline_tables_by_month", "incremental_tables_by_month"}  # covered at sf0.01 by scripts/check_oracle.py
 NAMES = [n for n in entry.oracle_sql() if n not in SLOW]
 
 
