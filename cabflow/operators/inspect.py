@@ -118,16 +118,32 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
 
 
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUARTILES) -> DataFrame:
-    """Per numeric column: count, mean, std, min, 25/50/75 %, max (exact)."""
+    """Per numeric column: count, mean, std, min, 25/50/75 %, max (exact).
+
+    Moments come from one wide aggregation over the rows (partial + final,
+    one result row), reshaped to one row per column afterwards; only the
+    quartiles need the long (column, value) form.
+    """
     columns = columns or numeric_columns(df)
-    long = _long_values(df, columns)
-    moments = long.groupBy("column_name").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.round(F.avg("value"), STAT_DIGITS).alias("mean"),
-        F.round(F.stddev_samp("value"), STAT_DIGITS).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    stats = ("count", "mean", "std", "min", "max")
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        aggs += [
+            F.count(v).alias(f"count_{i}"),
+            F.round(F.avg(v), STAT_DIGITS).alias(f"mean_{i}"),
+            F.round(F.stddev_samp(v), STAT_DIGITS).alias(f"std_{i}"),
+            F.min(v).alias(f"min_{i}"),
+            F.max(v).alias(f"max_{i}"),
+        ]
+    wide = df.agg(*aggs)
+    per_column = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{s}_{i}").alias(s) for s in stats])
+            for i, c in enumerate(columns)
+        ]
     )
+    moments = wide.select(F.inline(per_column))
     q = exact_quantiles(df, columns, probs)
     names = {p: f"p{int(round(p * 100))}" for p in probs}
     wide_q = q.groupBy("column_name").agg(
