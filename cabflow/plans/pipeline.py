@@ -59,11 +59,18 @@ def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name:
     are seen even when the catalog itself is new.
     """
     before = []
-    if spark.catalog.tableExists(table) or K.path_has_data(spark, path):
-        K.register_table(spark, table, path, df)
+    if spark.catalog.tableExists(table):
+        before = _in_period(K.existing_partitions(spark, table), period)
+    elif K.path_has_data(spark, path):
+        K.register_table(spark, table, path, df)  # first sight of old data: one full repair
         before = _in_period(K.existing_partitions(spark, table), period)
     written = write_day_partitioned(df, path, name)
-    K.register_table(spark, table, path, df)
+    K.create_table(spark, table, path, df)
+    K.add_partitions(
+        spark,
+        table,
+        [{"pickup_year": d.year, "pickup_month": d.month, "pickup_day": d.day} for d in written.days],
+    )
     keep = set(written.days)
     stale = [spec for day, spec in before if day not in keep]
     K.clear_partitions(spark, table, stale, df)

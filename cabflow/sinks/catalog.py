@@ -44,6 +44,30 @@ def register_table(
     refresh_partitions(spark, name)
 
 
+def create_table(
+    spark: SparkSession, name: str, path: str, like: DataFrame, partition_cols: list[str] = S.DAY_PARTITION
+) -> None:
+    """Create the external table if absent, without scanning its partitions."""
+    if not spark.catalog.tableExists(name):
+        spark.sql(
+            f"CREATE TABLE {name} ({_ddl(like, partition_cols)}) USING parquet "
+            f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'"
+        )
+
+
+def add_partitions(spark: SparkSession, name: str, specs: list[dict[str, int]], batch: int = 500) -> None:
+    """Register just the given partitions (bounded by the run's period).
+
+    Unlike a full repair, the cost does not grow with the table's history.
+    """
+    for i in range(0, len(specs), batch):
+        parts = " ".join(
+            "PARTITION (" + ", ".join(f"{k}={v}" for k, v in spec.items()) + ")" for spec in specs[i : i + batch]
+        )
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(name)
+
+
 def refresh_partitions(spark: SparkSession, name: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
