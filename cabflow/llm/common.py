@@ -35,30 +35,82 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def running_sum(
-    df: DataFrame, keys: list[str], bucket: str, order: list[Column], value: str, name: str
+def running_sums(
+    df: DataFrame, keys: list[str], bucket: str, order: list[Column], values: dict[str, str]
 ) -> DataFrame:
-    """Add ``name``: the sum of ``value`` over the rows before this one in its key.
+    """Add, for each ``new: value``, the sum of value over the rows before this one in its key.
 
     ``bucket`` is a column that never decreases along ``order`` within a key, so
     a hot key is split: its buckets are summed first, their offsets are
     accumulated over one row per bucket, and only the rows of one (key, bucket)
     meet in a task. Rows that tie on ``order`` may swap places among themselves.
     """
-    per = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    sums = df.groupBy(*keys, bucket).agg(F.sum(value).alias("__sum"))
+    before = (Window.unboundedPreceding, 0)
+    over = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(bucket).rowsBetween(*before)
+    sums = df.groupBy(*keys, bucket).agg(*[F.sum(v).alias(f"__s_{n}") for n, v in values.items()])
     offsets = sums.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         F.col(bucket).alias("__kb"),
-        (
-            F.sum("__sum").over(per.orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0))
-            - F.col("__sum")
-        ).alias("__offset"),
+        *[(F.sum(f"__s_{n}").over(over) - F.col(f"__s_{n}")).alias(f"__o_{n}") for n in values],
     )
     on = [F.col(bucket) == F.col("__kb")] + [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    inner = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn("__local", F.sum(value).over(inner) - F.col(value))
+    inner = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(*before)
+    local = df.withColumns({f"__l_{n}": F.sum(v).over(inner) - F.col(v) for n, v in values.items()})
     joined = local.join(offsets, on, "inner")
-    return joined.withColumn(name, F.col("__offset") + F.col("__local")).drop(
-        "__offset", "__local", "__kb", *[f"__k{i}" for i in range(len(keys))]
+    joined = joined.withColumns({n: F.col(f"__o_{n}") + F.col(f"__l_{n}") for n in values})
+    extra = [f"__{kind}_{n}" for kind in "ol" for n in values]
+    return joined.drop("__kb", *extra, *[f"__k{i}" for i in range(len(keys))])
+
+
+def running_sum(
+    df: DataFrame, keys: list[str], bucket: str, order: list[Column], value: str, name: str
+) -> DataFrame:
+    """:func:`running_sums` of one column."""
+    return running_sums(df, keys, bucket, order, {name: value})
+
+
+def native_spans(text: Column, pattern: str, groups: tuple[int, ...] = ()) -> Column:
+    """Leftmost non-overlapping matches as array<struct<start, end, match, g1, ...>>.
+
+    Built from the matches and the pieces between them: a match starts after all
+    earlier pieces and matches. Offsets are code points, the end is exclusive.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    more = [F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in groups]
+    zipped = F.arrays_zip(
+        found.alias("match"),
+        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)).alias("piece"),
+        *[m.alias(f"g{g}") for g, m in zip(groups, more)],
+    )
+    names = ["match", "piece", *[f"g{g}" for g in groups]]
+    kind = "array<struct<start:int,end:int," + ",".join(f"{n}:string" for n in names if n != "piece") + ">>"
+    zipped = zipped.cast("array<struct<" + ",".join(f"{n}:string" for n in names) + ">>")
+    start = lambda acc, x: acc["at"] + F.length(x["piece"])
+    step = lambda acc, x: F.struct(
+        (start(acc, x) + F.length(x["match"])).alias("at"),
+        F.concat(
+            acc["spans"],
+            F.array(
+                F.struct(
+                    start(acc, x).alias("start"),
+                    (start(acc, x) + F.length(x["match"])).alias("end"),
+                    *[x[n].alias(n) for n in names if n != "piece"],
+                )
+            ),
+        ).cast(kind).alias("spans"),
+    )
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans"))
+    return F.when(F.size(found) > 0, F.aggregate(zipped, zero, step, lambda acc: acc["spans"])).otherwise(
+        F.array().cast(kind)
+    )
+
+
+def spans_text(spans: Column) -> Column:
+    """``kind:start:end`` of array<struct<start, no, end, kind>>, by start, then kind number."""
+    return F.array_join(
+        F.transform(
+            F.array_sort(spans),
+            lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+        ),
+        ",",
     )

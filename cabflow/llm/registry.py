@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from cabflow.llm import chat_format as op9
 from cabflow.llm import mix_sources as op5
 
 # name -> (query, twin or None where SQL cannot express the operator)
 QUERIES = {
     "op5_mix_sources": (op5.op5_mix_sources, op5.OP5_SQL),
+    "op9_chat_format": (op9.op9_chat_format, op9.OP9_SQL),
 }
