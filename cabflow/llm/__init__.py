@@ -1 +1,11 @@
-"""Operators for preparing training text; nothing else in the library imports this."""
+"""Operators for preparing training text; nothing else in the library imports this.
+
+Functions that run in Python workers are shipped by value, so executors need no
+copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

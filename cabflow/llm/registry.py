@@ -5,10 +5,12 @@ from __future__ import annotations
 from cabflow.llm import chat_format as op9
 from cabflow.llm import decontaminate as op10
 from cabflow.llm import mix_sources as op5
+from cabflow.llm import quality_rules as op4
 from cabflow.llm import secret_scan as op7
 
 # name -> (query, twin or None where SQL cannot express the operator)
 QUERIES = {
+    "op4_quality_rules": (op4.op4_quality_rules, None),
     "op5_mix_sources": (op5.op5_mix_sources, op5.OP5_SQL),
     "op7_secret_scan": (op7.op7_secret_scan, None),
     "op9_chat_format": (op9.op9_chat_format, op9.OP9_SQL),
