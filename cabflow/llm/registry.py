@@ -5,12 +5,14 @@ from __future__ import annotations
 from cabflow.llm import chat_format as op9
 from cabflow.llm import decontaminate as op10
 from cabflow.llm import mix_sources as op5
+from cabflow.llm import pii as op1
 from cabflow.llm import quality_rules as op4
 from cabflow.llm import secret_scan as op7
 from cabflow.llm import toxicity as op3
 
 # name -> (query, twin or None where SQL cannot express the operator)
 QUERIES = {
+    "op1_pii": (op1.op1_pii, None),
     "op3_toxicity": (op3.op3_toxicity, None),
     "op4_quality_rules": (op4.op4_quality_rules, None),
     "op5_mix_sources": (op5.op5_mix_sources, op5.OP5_SQL),
