@@ -6,6 +6,7 @@ from cabflow.llm import chat_format as op9
 from cabflow.llm import decontaminate as op10
 from cabflow.llm import html_extract as op6
 from cabflow.llm import mix_sources as op5
+from cabflow.llm import near_dedup as op8
 from cabflow.llm import pii as op1
 from cabflow.llm import quality_rules as op4
 from cabflow.llm import secret_scan as op7
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_mix_sources": (op5.op5_mix_sources, op5.OP5_SQL),
     "op6_html_extract": (op6.op6_html_extract, None),
     "op7_secret_scan": (op7.op7_secret_scan, None),
+    "op8_near_dedup": (op8.op8_near_dedup, op8.OP8_SQL),
     "op9_chat_format": (op9.op9_chat_format, op9.OP9_SQL),
     "op10_decontaminate": (op10.op10_decontaminate, op10.OP10_SQL),
 }
