@@ -10,11 +10,13 @@ from cabflow.llm import near_dedup as op8
 from cabflow.llm import pii as op1
 from cabflow.llm import quality_rules as op4
 from cabflow.llm import secret_scan as op7
+from cabflow.llm import suffix_dedup as op2
 from cabflow.llm import toxicity as op3
 
 # name -> (query, twin or None where SQL cannot express the operator)
 QUERIES = {
     "op1_pii": (op1.op1_pii, None),
+    "op2_suffix_dedup": (op2.op2_suffix_dedup, None),
     "op3_toxicity": (op3.op3_toxicity, None),
     "op4_quality_rules": (op4.op4_quality_rules, None),
     "op5_mix_sources": (op5.op5_mix_sources, op5.OP5_SQL),
