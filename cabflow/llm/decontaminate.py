@@ -160,8 +160,8 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, all columns."""
-    bad = leaks(docs, bench).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    bad = materialized(leaks(docs, bench).select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(small_side(bad, bad.count()), docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

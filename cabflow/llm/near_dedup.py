@@ -170,10 +170,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _ids_side(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """Shingle sets of the documents whose id is in ``ids`` (column id)."""
-    ids = materialized(ids.distinct()).withColumnRenamed("id", "__id")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    side = _ids_side(materialized(ids.distinct()).withColumnRenamed("id", "__id"))
     rows = docs.select("doc_id", "text").join(side, F.col("doc_id") == F.col("__id")).select("doc_id", "text")
     return materialized(shingle_sets(rows, size))
 
@@ -232,7 +235,7 @@ def near_components(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: in
 def deduplicated(docs: DataFrame, size: int = 5) -> DataFrame:
     """One document of each component, all columns."""
     gone = near_components(docs, size).filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti")
+    return docs.join(_ids_side(materialized(gone)), F.col("doc_id") == F.col("__id"), "left_anti")
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
