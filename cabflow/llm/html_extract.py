@@ -369,7 +369,8 @@ def _page_wrappers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if host and source:
                 one = wrapper_of(page_tree(source))
                 own[host] = merged(own[host], one) if host in own else one
-        yield pd.DataFrame({"host": list(own), "wrapper": [json.dumps(w) for w in own.values()]}, dtype=object)
+        if own:
+            yield pd.DataFrame({"host": list(own), "wrapper": [json.dumps(w) for w in own.values()]})
 
 
 def _merge_group(group: pd.DataFrame) -> pd.DataFrame:

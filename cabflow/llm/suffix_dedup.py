@@ -287,9 +287,8 @@ def _sorted_runs(buckets: int):
                 for s in spans:
                     owner = (doc, th, s["at"], s["last"], raw[s["first"] : s["at"]])
                     entries.setdefault(s["gram"] % buckets, []).append((raw[s["at"] : s["last"] + LENGTH], owner))
-            yield pd.DataFrame(
-                {"bucket": list(entries), "run": [front_coded(e) for e in entries.values()]}
-            ).astype({"bucket": "int64"})
+            if entries:
+                yield pd.DataFrame({"bucket": list(entries), "run": [front_coded(e) for e in entries.values()]})
 
     return runs
 
