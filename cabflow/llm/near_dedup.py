@@ -4,10 +4,18 @@ A document is the set of its distinct word shingles. Two collections of ``bands`
 short MinHash bands are computed, and every pair of a band of the first with a band
 of the second is the key of one table: bands x bands tables from 2 x bands bands,
 so the hashing grows with the square root of the tables. Documents with equal sets
-are one node first. In each bucket every node is compared with the smallest one;
-links are confirmed on the full sets, and connected components are formed. Buckets
-that still hold several components are then compared pair by pair across them, so
-no candidate link between components is left out.
+are one node first. In each bucket every node is compared with one, its centre:
+pairs whose minhashes agree in under half of the places are passed over (a pair at
+similarity 0.8 does so with probability 1e-9), the others are confirmed on the full
+sets, and connected components are formed.
+
+Buckets that still hold several components are compared across them without
+listing all pairs of a bucket. Two nodes x, y near the centre c share at most
+min(|x & c|, |y & c|) shingles inside c; what they need beyond that must be shared
+outside c. So only pairs that share enough shingles outside c (an equi-join on
+those few shingles), or whose sizes need none, can link, and those are confirmed.
+Nodes far from the centre met it by chance; they are paired within their bucket
+with each other and with what the triangle inequality leaves, and confirmed alike.
 
 Equality of shingles is equality of 64-bit hashes. With 12 + 12 bands of 3 rows a
 pair at similarity 0.80 shares no bucket with probability 0.0004, at 0.85 with
@@ -87,20 +95,24 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(acc)
 
 
-def minhash_bands(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """2 x ``bands`` hashes, each of ``rows`` minima of the shingles."""
+def minhashes(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """2 x ``bands`` x ``rows`` minima of the shingles under different hashes."""
     rng = np.random.default_rng(8)
     n = 2 * bands * rows
     xor, odd = rng.integers(0, 2**63, n, dtype=np.uint64), rng.integers(0, 2**63, n, dtype=np.uint64) | np.uint64(1)
-    minima = np.array([((shingles ^ x) * m).min() for x, m in zip(xor, odd)], dtype=np.uint64).reshape(-1, rows)
-    acc = np.arange(1, 2 * bands + 1, dtype=np.uint64)
-    for k in range(rows):
-        acc = mix(acc * np.uint64(0xD6E8FEB86659FD93) + minima[:, k])
+    return np.array([((shingles ^ x) * m).min() for x, m in zip(xor, odd)], dtype=np.uint64).reshape(-1, rows)
+
+
+def bands_of(minima: np.ndarray) -> np.ndarray:
+    """One hash for each row of minima."""
+    acc = np.arange(1, len(minima) + 1, dtype=np.uint64)
+    for column in minima.T:
+        acc = mix(acc * np.uint64(0xD6E8FEB86659FD93) + column)
     return acc
 
 
 def fingerprints(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n (set size), h1, h2 (of the set), first and second collection of bands."""
+    """doc_id, n (set size), h1, h2 (of the set), two collections of bands, 16 bits of each minhash."""
 
     def prints(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
@@ -108,16 +120,18 @@ def fingerprints(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame
             for text in batch:
                 s = shingle_set(text, size)
                 if not len(s):
-                    out.append((0, 0, 0, None, None))
+                    out.append((0, 0, 0, None, None, None))
                     continue
-                h = minhash_bands(s, bands, rows).view(np.int64)
+                minima = minhashes(s, bands, rows)
+                h = bands_of(minima).view(np.int64)
                 h1 = np.add.reduce(mix(s)).astype(np.uint64).view(np.int64)
                 h2 = np.bitwise_xor.reduce(mix(s * np.uint64(0xD6E8FEB86659FD93))).view(np.int64)
-                out.append((len(s), int(h1), int(h2), h[:bands], h[bands:]))
-            yield pd.DataFrame(out, columns=["n", "h1", "h2", "first", "second"])
+                short = mix(minima.ravel()).astype(np.uint16).view(np.int16)
+                out.append((len(s), int(h1), int(h2), h[:bands], h[bands:], short))
+            yield pd.DataFrame(out, columns=["n", "h1", "h2", "first", "second", "sig"])
 
     prints.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    schema = "n long, h1 long, h2 long, first array<long>, second array<long>"
+    schema = "n long, h1 long, h2 long, first array<long>, second array<long>, sig array<smallint>"
     return docs.select("doc_id", F.pandas_udf(prints, schema)(F.col("text")).alias("p")).select("doc_id", "p.*")
 
 
@@ -130,25 +144,122 @@ def shingle_sets(docs: DataFrame, size: int):
 
 
 def tensored_buckets(nodes: DataFrame) -> DataFrame:
-    """key, id, n: a row per node and table."""
-    tables = nodes.select("id", "n", F.posexplode("first").alias("i", "a"), "second").select(
-        "id", "n", "i", "a", F.posexplode("second").alias("j", "b")
+    """key, id: a row per node and table."""
+    tables = nodes.select("id", F.posexplode("first").alias("i", "a"), "second").select(
+        "id", "i", "a", F.posexplode("second").alias("j", "b")
+    )
+    return tables.select(F.xxhash64("i", "a", "j", "b").alias("key"), "id")
+
+
+def _enough(shared: Column, n: Column, m: Column) -> Column:
+    """Whether so many shared shingles make sets of n and m similar by 0.8."""
+    return 9 * shared >= 4 * (n + m)
+
+
+def agreement(x: Column, y: Column) -> Column:
+    """Share of equal minhashes: an estimate of the similarity."""
+    same = F.aggregate(F.zip_with(x, y, lambda p, q: (p == q).cast("int")), F.lit(0), lambda acc, p: acc + p)
+    return same / F.size(x)
+
+
+def estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) with their estimate."""
+    left = nodes.select(F.col("id").alias("a"), F.col("sig").alias("asig"))
+    right = nodes.select(F.col("id").alias("b"), F.col("sig").alias("bsig"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", agreement(F.col("asig"), F.col("bsig")).alias("estimate"))
+
+
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, an, bn (set sizes) and shared (shingles in both) of the pairs."""
+    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
+    return pairs.join(right, "b").join(left, "a").select(
+        "a", "b", F.size("sa").alias("an"), F.size("sb").alias("bn"), F.size(F.array_intersect("sa", "sb")).alias("shared")
     )
-    return tables.select(F.xxhash64("i", "a", "j", "b").alias("key"), "id", "n")
 
 
-def _may_link(n: Column, m: Column) -> Column:
-    """The sizes alone allow a similarity of 0.8."""
-    return 100 * F.least(n, m) >= 80 * F.greatest(n, m)
+def linked(rows: DataFrame) -> DataFrame:
+    return rows.filter(_enough(F.col("shared"), F.col("an"), F.col("bn"))).select("a", "b")
+
 
+def near_centre(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that may link, both near one centre.
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
+    ``stars`` are the compared pairs (centre a, node b).
+    """
+    label = found.select(F.col("id").alias("__id"), "component")
+    of = lambda df, name, to: df.join(
+        label.withColumnRenamed("component", to), F.col(name) == F.col("__id"), "left"
+    ).withColumn(to, F.coalesce(to, name)).drop("__id")
+    rows = of(of(stars, "b", "comp"), "a", "centre")
+    open_centres = rows.filter("comp != centre").select("a").distinct()
+    rows = rows.join(open_centres, "a", "left_semi")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    rows = pairs.join(right, "b").join(left, "a")
-    return rows.filter(100 * both >= 80 * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    rows = rows.join(right, "b").join(left, "a").select(
+        F.col("a").alias("c"), "b", "comp", (F.col("comp") == F.col("centre")).alias("central"),
+        F.col("bn").alias("n"), "shared", F.array_except("sb", "sa").alias("outside"),
+    )
+    rows = materialized(rows)
+    x = rows.filter("not central").select(
+        "c", F.col("b").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("shared").alias("xs"), "outside"
+    )
+    y = rows.select(
+        "c", F.col("b").alias("y"), F.col("comp").alias("yc"), "central", F.col("n").alias("yn"), F.col("shared").alias("ys"), "outside"
+    )
+    apart = F.col("central") | (F.col("xc") < F.col("yc"))
+    inside, both = F.least("xs", "ys"), F.col("xn") + F.col("yn")
+    most = inside + F.least(F.col("xn") - F.col("xs"), F.col("yn") - F.col("ys"))
+    by_shingle = (
+        x.withColumn("e", F.explode("outside")).drop("outside")
+        .join(y.withColumn("e", F.explode("outside")).drop("outside"), ["c", "e"])
+        .filter(apart & (9 * most >= 4 * both) & (9 * F.least("xn", "yn") >= 4 * both))
+    )
+    needed = by_shingle.groupBy("c", "x", "y").agg(
+        F.count(F.lit(1)).alias("more"), F.first(inside).alias("inside"), F.first(both).alias("both")
+    )
+    needed = needed.filter(9 * (F.col("inside") + F.col("more")) >= 4 * F.col("both")).select("x", "y")
+    # Pairs that need nothing outside the centre: y has at most 9/4 of x's share in it, less x.
+    low = F.ceil(F.col("xn") * 4 / F.lit(5.0)).cast("int")
+    high = F.floor(9 * F.col("xs") / F.lit(4.0) - F.col("xn")).cast("int")
+    by_size = (
+        x.drop("outside").filter(low <= high).withColumn("yn", F.explode(F.sequence(low, high)))
+        .join(y.drop("outside"), ["c", "yn"])
+        .filter(apart & (9 * F.least("xs", "ys") >= 4 * (F.col("xn") + F.col("yn"))))
+        .select("x", "y")
+    )
+    return needed.union(by_size).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def far_from_centre(
+    members: DataFrame, pairs: DataFrame, stars: DataFrame, found: DataFrame, nodes: DataFrame
+) -> DataFrame:
+    """Likely pairs (a, b) of different components in one bucket, one of them not near its centre.
+
+    ``pairs`` has the estimates of all centres with their nodes. A node far from
+    the centre can be linked with a near one only if that one's distance from the
+    centre differs by at most 0.2; the estimate is given 0.2 (three and a half
+    standard errors) on top.
+    """
+    rows = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    mixed = rows.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c")
+    )
+    rows = rows.join(mixed.filter("lo < hi and c > 2").select("key"), "key").filter("id != a")
+    exact = stars.select(
+        "a", F.col("b").alias("id"), (F.col("shared") / (F.col("an") + F.col("bn") - F.col("shared"))).alias("exact")
+    )
+    rows = rows.join(pairs.withColumnRenamed("b", "id"), ["a", "id"]).join(exact, ["a", "id"], "left")
+    rows = rows.join(nodes.select("id", "sig"), "id")
+    rows = materialized(rows.select("key", "id", "component", "estimate", "exact", "sig"))
+    x = rows.filter("exact is null").select(
+        "key", F.col("id").alias("x"), F.col("component").alias("xc"), "estimate", F.col("sig").alias("xsig")
+    )
+    y = rows.select("key", F.col("id").alias("y"), F.col("component").alias("yc"), "exact", F.col("sig").alias("ysig"))
+    close = F.when(F.col("exact").isNull(), F.col("x") < F.col("y")).otherwise(F.col("exact") <= F.col("estimate") + 0.4)
+    likely = agreement(F.col("xsig"), F.col("ysig")) >= 0.5
+    across = x.join(y, (x["key"] == y["key"]) & (F.col("xc") != F.col("yc")) & close & likely)
+    return across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -188,41 +299,40 @@ def near_components(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: in
     # Equal sets are one node, named by their smallest id.
     nodes = materialized(
         known.groupBy("h1", "h2", "n").agg(
-            F.min("doc_id").alias("id"), F.first("first").alias("first"), F.first("second").alias("second")
+            F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("first", "second", "sig")]
         )
     )
-    buckets = tensored_buckets(nodes)
-    shared = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("low"), F.max("id").alias("high"))
-    shared = shared.filter("low.id < high").select("key", F.col("low.id").alias("a"), F.col("low.n").alias("an"))
-    members = materialized(buckets.join(shared, "key").select("key", "id", "n", "a", "an"))
-    stars = members.filter((F.col("id") != F.col("a")) & _may_link(F.col("n"), F.col("an")))
-    stars = materialized(stars.select("a", F.col("id").alias("b")).distinct())
-    everyone = members.select("id")
-    sets = _sets_of(docs, everyone, size)
-    links = materialized(confirmed(stars, sets))
+    # Every node makes bands x bands rows: enough tasks that none has to spill them.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = tensored_buckets(nodes.select("id", "first", "second").repartition(parts, "id"))
+    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    members = materialized(buckets.join(shared, "key"))
+    # The centre of a bucket is its node with most neighbours: not one that met the others by chance.
+    degree = members.groupBy("id").agg(F.sum("c").alias("degree"))
+    centre = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("top"))
+    members = members.select("key", "id").join(centre.select("key", (-F.col("top.minus")).alias("a")), "key")
+    members = materialized(members)
+    pairs = members.filter("id != a").select("a", F.col("id").alias("b")).distinct()
+    pairs = materialized(estimated(pairs, nodes))
+    near = pairs.filter("estimate >= 0.5").select("a", "b")
+    sets = _sets_of(docs, near.select(F.col("a").alias("id")).union(near.select("b")), size)
+    stars = materialized(compared(near, sets))
+    links = linked(stars)
     found = components(links)
 
-    # Buckets with several components: every pair across them that was not compared yet.
-    placed = members.join(found, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
-    )
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    open_rows = materialized(placed.join(mixed.select("key"), "key"))
-    other = open_rows.select("key", F.col("id").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-    across = open_rows.select("key", F.col("id").alias("a"), F.col("n").alias("an"), F.col("component").alias("ac")).join(other, "key")
-    across = across.filter((F.col("ac") < F.col("bc")) & _may_link(F.col("an"), F.col("bn")))
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    across = across.join(stars, ["a", "b"], "left_anti")
-    more = materialized(confirmed(across, sets))
+    more = linked(compared(near_centre(stars, found, sets), sets))
+    far = materialized(far_from_centre(members, pairs, stars, found, nodes))
+    others = _sets_of(docs, far.select(F.col("a").alias("id")).union(far.select("b")), size)
+    more = materialized(more.union(linked(compared(far, others))))
     if more.limit(1).count():
         found = components(links.union(more))
 
-    named = nodes.join(found, "id", "left").select(
+    named = nodes.drop("first", "second", "sig").join(found, "id", "left").select(
         F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("n").alias("__n"),
         F.coalesce("component", "id").alias("component_id"),
     )
     same = (F.col("h1") == F.col("__h1")) & (F.col("h2") == F.col("__h2")) & (F.col("n") == F.col("__n"))
-    out = prints.join(named, same & F.col("doc_id").isNotNull(), "left")
+    out = prints.drop("first", "second", "sig").join(named, same & F.col("doc_id").isNotNull(), "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select(
         "doc_id",
