@@ -15,8 +15,10 @@ nothing that could pass the verification.
 
 Defined results: words are runs of letters and digits, lower-cased; a null or
 empty text has none and matches nothing; an item of fewer than ``shingle`` words
-is one shingle; a document shorter than an item is one window; repeated rows and
-items each count; empty tables give an empty result. Other columns are ignored.
+is one shingle; a document shorter than an item is one window; rows that share a
+doc_id, repeated items and (in ``leaks``) rows without a doc_id count as one
+document; ``decontaminated`` judges rows without a doc_id by their text; empty
+tables give an empty result. Other columns are ignored or passed on.
 """
 
 from __future__ import annotations
@@ -160,8 +162,10 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item, all columns."""
-    bad = materialized(leaks(docs, bench).select(F.col("doc_id").alias("__id")).distinct())
-    return docs.join(small_side(bad, bad.count()), docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    key = F.coalesce(docs["doc_id"].cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce(docs["text"], F.lit("")))))
+    named = docs.select(key.alias("doc_id"), "text")
+    bad = materialized(leaks(named, bench).select(F.col("doc_id").alias("__id")).distinct())
+    return docs.join(small_side(bad, bad.count()), key == F.col("__id"), "left_anti")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
