@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from cabflow.session import shared_dir
+from cabflow.session import shared_dir, shared_path
 
 # A word is a run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,6 +27,13 @@ def materialized(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a compressed table in the shared folder: less room than a checkpoint."""
+    path = shared_path(df.sparkSession, f"written-{uuid.uuid4().hex}")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """Hint a broadcast for a side whose counted rows are within the bound."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import load, materialized
+from cabflow.llm.common import load, written
 
 BANDS = 12
 ROWS = 3
@@ -200,7 +200,7 @@ def near_centre(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFram
         F.col("a").alias("c"), "b", "comp", (F.col("comp") == F.col("centre")).alias("central"),
         F.col("bn").alias("n"), "shared", F.array_except("sb", "sa").alias("outside"),
     )
-    rows = materialized(rows)
+    rows = written(rows)
     x = rows.filter("not central").select(
         "c", F.col("b").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("shared").alias("xs"), "outside"
     )
@@ -250,8 +250,12 @@ def far_from_centre(
         "a", F.col("b").alias("id"), (F.col("shared") / (F.col("an") + F.col("bn") - F.col("shared"))).alias("exact")
     )
     rows = rows.join(pairs.withColumnRenamed("b", "id"), ["a", "id"]).join(exact, ["a", "id"], "left")
+    rows = written(rows.select("key", "id", "component", "estimate", "exact"))
+    # Most buckets have no far node, and of the near ones only some are close enough to one.
+    reach = rows.filter("exact is null").groupBy("key").agg(F.max("estimate").alias("reach"))
+    rows = rows.join(reach, "key").filter("exact is null or exact <= reach + 0.4")
     rows = rows.join(nodes.select("id", "sig"), "id")
-    rows = materialized(rows.select("key", "id", "component", "estimate", "exact", "sig"))
+    rows = written(rows.select("key", "id", "component", "estimate", "exact", "sig"))
     x = rows.filter("exact is null").select(
         "key", F.col("id").alias("x"), F.col("component").alias("xc"), "estimate", F.col("sig").alias("xsig")
     )
@@ -264,9 +268,9 @@ def far_from_centre(
 
 def components(links: DataFrame) -> DataFrame:
     """id and component (the smallest id reachable) of every node on a link."""
-    edges = materialized(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    edges = written(links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component"))
-    labels = materialized(labels)
+    labels = written(labels)
     while True:
         near = edges.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(
             F.min("component").alias("near")
@@ -274,7 +278,7 @@ def components(links: DataFrame) -> DataFrame:
         lower = labels.join(near, "id").select("id", F.col("component").alias("was"), F.least("component", "near").alias("c"))
         jump = labels.select(F.col("id").alias("c"), F.col("component").alias("further"))
         moved = lower.join(jump, "c", "left").select("id", "was", F.least("c", F.coalesce("further", "c")).alias("component"))
-        moved = materialized(moved)
+        moved = written(moved)
         changed = moved.filter("component < was").limit(1).count()
         labels = moved.select("id", "component")
         if not changed:
@@ -287,17 +291,17 @@ def _ids_side(ids: DataFrame) -> DataFrame:
 
 def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """Shingle sets of the documents whose id is in ``ids`` (column id)."""
-    side = _ids_side(materialized(ids.distinct()).withColumnRenamed("id", "__id"))
+    side = _ids_side(written(ids.distinct()).withColumnRenamed("id", "__id"))
     rows = docs.select("doc_id", "text").join(side, F.col("doc_id") == F.col("__id")).select("doc_id", "text")
-    return materialized(shingle_sets(rows, size))
+    return written(shingle_sets(rows, size))
 
 
 def near_components(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document."""
-    prints = materialized(fingerprints(docs, size, bands, rows))
+    prints = written(fingerprints(docs, size, bands, rows))
     known = prints.filter("n > 0 and doc_id is not null")
     # Equal sets are one node, named by their smallest id.
-    nodes = materialized(
+    nodes = written(
         known.groupBy("h1", "h2", "n").agg(
             F.min("doc_id").alias("id"), *[F.first(c).alias(c) for c in ("first", "second", "sig")]
         )
@@ -306,24 +310,24 @@ def near_components(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: in
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = tensored_buckets(nodes.select("id", "first", "second").repartition(parts, "id"))
     shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    members = materialized(buckets.join(shared, "key"))
+    members = written(buckets.join(shared, "key"))
     # The centre of a bucket is its node with most neighbours: not one that met the others by chance.
     degree = members.groupBy("id").agg(F.sum("c").alias("degree"))
     centre = members.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("top"))
     members = members.select("key", "id").join(centre.select("key", (-F.col("top.minus")).alias("a")), "key")
-    members = materialized(members)
+    members = written(members)
     pairs = members.filter("id != a").select("a", F.col("id").alias("b")).distinct()
-    pairs = materialized(estimated(pairs, nodes))
+    pairs = written(estimated(pairs, nodes))
     near = pairs.filter("estimate >= 0.5").select("a", "b")
     sets = _sets_of(docs, near.select(F.col("a").alias("id")).union(near.select("b")), size)
-    stars = materialized(compared(near, sets))
+    stars = written(compared(near, sets))
     links = linked(stars)
     found = components(links)
 
     more = linked(compared(near_centre(stars, found, sets), sets))
-    far = materialized(far_from_centre(members, pairs, stars, found, nodes))
+    far = written(far_from_centre(members, pairs, stars, found, nodes))
     others = _sets_of(docs, far.select(F.col("a").alias("id")).union(far.select("b")), size)
-    more = materialized(more.union(linked(compared(far, others))))
+    more = written(more.union(linked(compared(far, others))))
     if more.limit(1).count():
         found = components(links.union(more))
 
@@ -345,7 +349,7 @@ def near_components(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: in
 def deduplicated(docs: DataFrame, size: int = 5) -> DataFrame:
     """One document of each component, all columns."""
     gone = near_components(docs, size).filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(_ids_side(materialized(gone)), F.col("doc_id") == F.col("__id"), "left_anti")
+    return docs.join(_ids_side(written(gone)), F.col("doc_id") == F.col("__id"), "left_anti")
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import load, materialized
-from cabflow.session import shared_path
+from cabflow.llm.common import load, written
 
 LENGTH = 100
 GRAM = 32
@@ -319,13 +317,6 @@ def _kept_part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["doc", "th", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """A compressed table in the shared folder: texts take less room there than in a checkpoint."""
-    path = shared_path(df.sparkSession, f"suffix-{uuid.uuid4().hex}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """doc, th, text: the key that orders documents (th is 0 where ids alone are a key)."""
     ids = docs.select(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("d")).first()
@@ -343,18 +334,18 @@ def repeated_spans(rows: DataFrame, max_group: int = MAX_GROUP) -> tuple[DataFra
     # A gram met twice in one document stands there twice: once is enough from here on.
     once = grams.select("doc", "th", F.explode(F.array_distinct("grams")).alias("gram"))
     lists = once.join(twice, "gram").groupBy("doc", "th").agg(F.collect_list("gram").alias("grams"))
-    lists = _written(lists)
+    lists = written(lists)
     n = lists.count()
     ids = lists.select(F.col("doc").alias("__d"), F.col("th").alias("__t"))
     chosen = rows.join(F.broadcast(ids), (F.col("doc") == F.col("__d")) & (F.col("th") == F.col("__t")), "left_semi") if n <= BROADCAST_IDS else rows
-    held = _written(chosen.dropDuplicates(["doc", "th"]).join(lists, ["doc", "th"]) if n else chosen.limit(0).join(lists, ["doc", "th"]))
+    held = written(chosen.dropDuplicates(["doc", "th"]).join(lists, ["doc", "th"]) if n else chosen.limit(0).join(lists, ["doc", "th"]))
 
     fields = "doc long, th long, at long, first long, last long, gram long, h1 long, h2 long"
     spans = held.mapInPandas(spans_of_anchors, fields)
     classes = spans.groupBy("h1", "h2").agg(
         F.min(F.struct("doc", "th", "first", "last", "at")).alias("low"), F.min("gram").alias("gram"), F.count(F.lit(1)).alias("c")
     )
-    classes = _written(classes)
+    classes = written(classes)
     several = classes.filter("c > 1").select("h1", "h2", "low")
     again = spans.join(several, ["h1", "h2"]).filter(
         (F.col("doc") != F.col("low.doc")) | (F.col("th") != F.col("low.th")) | (F.col("first") != F.col("low.first"))
@@ -365,7 +356,7 @@ def repeated_spans(rows: DataFrame, max_group: int = MAX_GROUP) -> tuple[DataFra
     mixed = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = classes.select("gram", "low.*").join(mixed, "gram")
     firsts = firsts.groupBy("doc", "th").agg(F.collect_list(F.struct("at", "first", "last", "gram", "n")).alias("spans"))
-    texts = _written(held.select("doc", "th", "text").join(firsts, ["doc", "th"]))
+    texts = written(held.select("doc", "th", "text").join(firsts, ["doc", "th"]))
     size = texts.agg(F.sum(F.size("spans"))).first()[0] or 0
     usual = texts.withColumn("spans", F.filter("spans", lambda s: s["n"] <= max_group))
     buckets = max(1, -(-size // SPANS_PER_BUCKET), int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")))
