@@ -68,10 +68,6 @@ def in_period(ts: str, start, end) -> Column:
     return F.to_date(F.col(ts)).between(F.lit(start), F.lit(end))
 
 
-def outside_location_range(name: str, lo: int = S.MIN_LOCATION_ID, hi: int = S.MAX_LOCATION_ID) -> Column:
-    return (F.col(name) < lo) | (F.col(name) > hi)
-
-
 def iso_seconds(c: Column) -> Column:
     """ISO-8601 text with seconds, no zone."""
     return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")

@@ -19,6 +19,7 @@ from cabflow.session import shared_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 STAT_DIGITS = 6
+ROWS_PER_RANGE = 1_000_000
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -28,6 +29,11 @@ def dtypes_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
+def shape(df: DataFrame) -> DataFrame:
+    """One row: row_count and column_count (the size of the files is ``input_size_mb``)."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"), F.lit(len(df.columns)).cast("bigint").alias("column_count"))
+
+
 def head(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows in an explicit order over all columns (top-k, no global sort)."""
     return df.orderBy(*[F.asc_nulls_first(c) for c in df.columns]).limit(n)
@@ -59,8 +65,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
         _long_values(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
     )
     # Materialize the range partition assignment once so retries and the
-    # two uses below see the same partition ids.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # two uses below see the same partition ids. Its width follows the data.
+    distinct = distinct.checkpoint(eager=True)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() // ROWS_PER_RANGE))
     ranged = (
         distinct.repartitionByRange(parts, "column_name", "value")
         .withColumn("pid", F.spark_partition_id())
@@ -72,11 +79,18 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     offsets = per_part.select(
         "column_name",
         "pid",
+        "part_cnt",
         F.coalesce(F.sum("part_cnt").over(w_off), F.lit(0)).alias("offset"),
         F.sum("part_cnt").over(Window.partitionBy("column_name")).alias("n"),
     )
+    # Only range partitions that hold a target rank (six a column at most) are ranked inside.
+    upto = F.col("offset") + F.col("part_cnt")
+    holds = F.lit(False)
+    for p in probs:
+        for k in (F.floor(F.lit(float(p)) * (F.col("n") - 1)), F.ceil(F.lit(float(p)) * (F.col("n") - 1))):
+            holds = holds | ((k >= F.col("offset")) & (k < upto))
     w_run = Window.partitionBy("column_name", "pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.join(F.broadcast(offsets), ["column_name", "pid"]).select(
+    ranked = ranged.join(F.broadcast(offsets.filter(holds).drop("part_cnt")), ["column_name", "pid"]).select(
         "column_name",
         "value",
         "n",

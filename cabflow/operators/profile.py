@@ -1,26 +1,40 @@
 """Data-quality profile of a raw trip table.
 
 All scalar metrics come from a single aggregation pass (partial + final hash
-aggregate; only one row reaches the driver). Duplicate detection is the only
-metric that needs a shuffle of row identities; it shuffles a 128-bit row
-fingerprint first and compares whole rows only for fingerprints that repeat,
-so its exact answer costs a narrow shuffle when duplicates are rare.
+aggregate; only one row reaches the driver). NaN counts as missing. Duplicate
+detection is the only metric that needs a shuffle of row identities: it counts a
+160-bit row fingerprint first and then compares whole rows only for fingerprints
+that repeat, by broadcasting those when their counted number is small; beyond
+that, whole rows are counted before they are shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cabflow import schema as S
 from cabflow.functions import trip_columns as C
+from cabflow.session import shared_dir
 
 
 def _count_if(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def profile_metrics(raw: DataFrame, expected_year: int, expected_month: int) -> DataFrame:
+def _known(df: DataFrame, name: str) -> Column:
+    """The column, with NaN as NULL."""
+    c = F.col(name)
+    return F.nanvl(c, F.lit(None)) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else c
+
+
+def profile_metrics(
+    raw: DataFrame,
+    expected_year: int,
+    expected_month: int,
+    location_range: tuple[int, int] = (S.MIN_LOCATION_ID, S.MAX_LOCATION_ID),
+) -> DataFrame:
     """One row with the scalar profile metrics (flat names)."""
     cols = set(raw.columns)
     pickup = C.coerce_timestamp("tpep_pickup_datetime") if "tpep_pickup_datetime" in cols else F.lit(None).cast("timestamp_ntz")
@@ -29,11 +43,11 @@ def profile_metrics(raw: DataFrame, expected_year: int, expected_month: int) ->
     inside = (F.year(pickup) == expected_year) & (F.month(pickup) == expected_month)
 
     def num(name: str) -> Column:
-        return F.col(name) if name in cols else F.lit(None).cast("double")
+        return _known(raw, name) if name in cols else F.lit(None).cast("double")
 
     dist, fare, tip, total = num("trip_distance"), num("fare_amount"), num("tip_amount"), num("total_amount")
     pu, do = num("PULocationID"), num("DOLocationID")
-    outside = lambda c: (c < S.MIN_LOCATION_ID) | (c > S.MAX_LOCATION_ID)
+    outside = lambda c: (c < location_range[0]) | (c > location_range[1])
     return raw.agg(
         F.lit(expected_year).alias("expected_year"),
         F.lit(expected_month).alias("expected_month"),
@@ -68,7 +82,7 @@ def null_counts(raw: DataFrame) -> DataFrame:
     """
     counts = raw.agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in raw.columns],
+        *[F.count_if(_known(raw, c).isNull()).alias(c) for c in raw.columns],
     )
     long = counts.unpivot("__rows", raw.columns, "column_name", "null_count")
     return long.filter(F.col("null_count") > 0).select(
@@ -79,24 +93,34 @@ def null_counts(raw: DataFrame) -> DataFrame:
 
 
 def _fingerprint(columns) -> Column:
-    """Two independent 64-bit hashes of the whole row (NULL-aware)."""
+    """160 bits of the whole row (NULL-aware): two 64-bit hashes and one of 32."""
     cols = [F.col(c) for c in columns]
     return F.struct(F.xxhash64(*cols).alias("h1"), F.hash(*cols).alias("h2"), F.xxhash64(F.lit("salt"), *cols).alias("h3"))
 
 
-def duplicate_rows(raw: DataFrame) -> DataFrame:
+# Repeated fingerprints are broadcast up to this counted number (28 bytes each).
+MAX_REPEATED = 500_000
+
+
+def duplicate_rows(raw: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
     """One row: rows that repeat an earlier identical row (all columns).
 
-    Phase 1 counts fingerprints (a narrow shuffle, map-side combined so one
-    row copied a billion times is one partial row per task). Phase 2 groups
-    the full rows of repeated fingerprints only, which keeps the answer exact
-    even if two different rows shared a fingerprint.
+    The fingerprints are counted first and the repeated ones kept in the shared
+    folder. Few of them are broadcast, so only rows that may repeat are grouped;
+    if there are more, all rows are grouped. Either way equal rows are counted in
+    each task before the shuffle, so a row copied a billion times is one row per
+    task, and the answer is exact even if different rows share a fingerprint.
     """
     cols = raw.columns
+    shared_dir(raw.sparkSession)  # checkpoint() needs the shared folder registered
     keyed = raw.withColumn("__fp", _fingerprint(cols))
     repeated = keyed.groupBy("__fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__fp")
-    candidates = keyed.join(repeated, "__fp", "left_semi")
-    groups = candidates.groupBy("__fp", *cols).agg(F.count(F.lit(1)).alias("n"))
+    repeated = repeated.checkpoint(eager=True)
+    if repeated.count() <= max_repeated:
+        rows = keyed.join(F.broadcast(repeated), "__fp", "left_semi").select(*cols)
+    else:
+        rows = raw
+    groups = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
@@ -104,18 +128,19 @@ def missing_required_columns(raw: DataFrame) -> list[str]:
     return [c for c in S.PROFILE_REQUIRED_COLUMNS if c not in raw.columns]
 
 
-def input_size_mb(raw: DataFrame) -> DataFrame:
-    """Total size in MB (2 dp) of the files behind a file scan.
-
-    Reads only the hidden ``_metadata`` column; one row per file before the
-    sum, pre-aggregated per task.
-    """
-    files = raw.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.round(F.sum("file_size") / (1024 * 1024), 2).alias("file_size_mb"))
+def input_size_mb(spark: SparkSession, path: str) -> DataFrame:
+    """Total size in MB (2 dp) of the Parquet files below ``path``; no content is read."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        .load(path).select("length")
+    )
+    return files.agg(F.round(F.coalesce(F.sum("length"), F.lit(0)) / (1024 * 1024), 2).alias("file_size_mb"))
 
 
-def profile_report(raw: DataFrame, expected_year: int, expected_month: int, file_label: str | None = None) -> DataFrame:
-    """The nested profile document as one row (sections as structs).
+def profile_report(
+    raw: DataFrame, expected_year: int, expected_month: int, file_label: str | None = None, path: str | None = None
+) -> DataFrame:
+    """The nested profile document as one row (sections as structs); ``path`` gives the size of its files.
 
     Built from the three distributed aggregations above; only their one-row
     results are combined, by joining single rows, never by collecting data.
@@ -134,9 +159,14 @@ def profile_report(raw: DataFrame, expected_year: int, expected_month: int, file
     )
     missing = missing_required_columns(raw)
     one = F.lit(1).alias("__one")
+    size = input_size_mb(raw.sparkSession, path) if path else raw.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("file_size_mb")
+    )
     doc = m.select("*", one).join(dup.select("*", one), "__one").join(nulls.select("*", one), "__one")
+    doc = doc.join(size.select("*", one), "__one")
     return doc.select(
         F.lit(file_label).alias("file"),
+        "file_size_mb",
         F.struct(F.col("expected_year").alias("year"), F.col("expected_month").alias("month")).alias("expected_period"),
         F.struct("row_count", "column_count", "duplicate_rows").alias("dataset"),
         F.struct(

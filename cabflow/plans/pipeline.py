@@ -27,6 +27,7 @@ class PipelineConfig:
     curated_table: str = "curated_trips"
     rejected_table: str = "rejected_trips"
     run_ts: dt.datetime | None = None
+    fail_on_test_error: bool = True
 
 
 SUMMARY_SCHEMA = (
@@ -60,10 +61,10 @@ def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name:
     """
     before = []
     if spark.catalog.tableExists(table):
-        before = _in_period(K.existing_partitions(spark, table), period)
+        before = _in_period(K.existing_partitions(spark, table, (period.start.year, period.end.year)), period)
     elif K.path_has_data(spark, path):
         K.register_table(spark, table, path, df)  # first sight of old data: one full repair
-        before = _in_period(K.existing_partitions(spark, table), period)
+        before = _in_period(K.existing_partitions(spark, table, (period.start.year, period.end.year)), period)
     written = write_day_partitioned(df, path, name)
     K.create_table(spark, table, path, df)
     K.add_partitions(
@@ -73,17 +74,17 @@ def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name:
     )
     keep = set(written.days)
     stale = [spec for day, spec in before if day not in keep]
-    K.clear_partitions(spark, table, stale, df)
-    if stale:
-        K.refresh_partitions(spark, table)
+    K.clear_partitions(spark, table, path, stale)
     return written, len(stale)
 
 
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """Run the whole job for one period; fails fast on any step.
+    """Run the whole job for one period; a step that fails, fails the run.
 
-    Returns a one-row summary built from metrics observed during the writes
-    (no extra pass over the data).
+    The model tests come last and read the staging view once; with
+    ``fail_on_test_error`` (the default) a failing test raises after the tables
+    are written. Returns a one-row summary built from metrics observed during the
+    writes (no extra pass over the data).
     """
     run_ts = cfg.run_ts or dt.datetime.now(dt.timezone.utc)
     raw = scan_period(spark, cfg.raw_root, cfg.period)
@@ -93,8 +94,11 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     cur, stale_c = _publish(spark, routed.curated, cfg.curated_path, cfg.curated_table, cfg.period, "curated")
     rej, stale_r = _publish(spark, routed.rejected, cfg.rejected_path, cfg.rejected_table, cfg.period, "rejected")
     views = M.register_models(spark, spark.table(cfg.curated_table), spark.table(cfg.rejected_table))
-    tests = Q.model_tests(views).collect()  # six rows
-    errors = sum(1 for t in tests if t["status"] == "ERROR")
+    tests = Q.model_tests(views["stg_trips"]).collect()  # six rows
+    failed = [f"{t['model']}.{t['column_name']}" for t in tests if t["status"] == "ERROR"]
+    if failed and cfg.fail_on_test_error:
+        raise RuntimeError(f"model tests failed: {failed}")
+    errors = len(failed)
     row = (
         cfg.period.start,
         cfg.period.end,

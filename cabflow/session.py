@@ -48,8 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for written tables and checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``; that setting is read
-    from the session. Only when it is unset (local runs and tests) a private
-    scratch folder is created and registered, so checkpoint() works too.
+    from the session. When it is unset, a local run gets a private scratch folder,
+    registered so that checkpoint() works too; on a cluster, where executors could
+    not see such a folder, that is an error.
     """
     app = spark.sparkContext.applicationId
     if app in _SHARED:
@@ -62,6 +63,8 @@ def shared_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         root = configured.rstrip("/")
     else:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="cabflow-")
         spark.sparkContext.setCheckpointDir(os.path.join(root, "checkpoints"))
     _SHARED[app] = root

@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from cabflow import schema as S
+from cabflow.sinks.parquet import clear_days
 
 
 def path_has_data(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable Parquet dataset (PATH_NOT_FOUND -> False)."""
+    """True when ``path`` holds a Parquet dataset; a missing or empty folder holds none."""
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def _ddl(df: DataFrame, partition_cols: list[str]) -> str:
@@ -31,28 +33,30 @@ def register_table(
     like: DataFrame,
     partition_cols: list[str] = S.DAY_PARTITION,
 ) -> None:
-    """Create the external Parquet table if absent, then load its partitions.
-
-    New columns of ``like`` are not added to an existing table; partitions
-    written since the last call appear after the repair.
-    """
-    if not spark.catalog.tableExists(name):
-        spark.sql(
-            f"CREATE TABLE {name} ({_ddl(like, partition_cols)}) USING parquet "
-            f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'"
-        )
+    """Create or widen the external Parquet table, then load all its partitions."""
+    create_table(spark, name, path, like, partition_cols)
     refresh_partitions(spark, name)
 
 
 def create_table(
     spark: SparkSession, name: str, path: str, like: DataFrame, partition_cols: list[str] = S.DAY_PARTITION
 ) -> None:
-    """Create the external table if absent, without scanning its partitions."""
+    """Create the external table if absent, without scanning its partitions.
+
+    Columns that ``like`` has and an existing table lacks are added to it; older
+    partitions read NULL there.
+    """
     if not spark.catalog.tableExists(name):
         spark.sql(
             f"CREATE TABLE {name} ({_ddl(like, partition_cols)}) USING parquet "
             f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'"
         )
+        return
+    known = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in like.schema.fields if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
 
 
 def add_partitions(spark: SparkSession, name: str, specs: list[dict[str, int]], batch: int = 500) -> None:
@@ -73,31 +77,29 @@ def refresh_partitions(spark: SparkSession, name: str) -> None:
     spark.catalog.refreshTable(name)
 
 
-def existing_partitions(spark: SparkSession, name: str) -> list[dict[str, int]]:
-    """Partition specs of a table (metadata only, no data read)."""
+def existing_partitions(spark: SparkSession, name: str, years: tuple[int, int] | None = None) -> list[dict[str, int]]:
+    """Partition specs of a table, of the given years only if set (metadata, no data read)."""
+    if years is None:
+        found = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    else:
+        found = [
+            r
+            for year in range(years[0], years[1] + 1)
+            for r in spark.sql(f"SHOW PARTITIONS {name} PARTITION (pickup_year={year})").collect()
+        ]
     out = []
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+    for row in found:
         spec = dict(kv.split("=", 1) for kv in row[0].split("/"))
         out.append({k: int(v) for k, v in spec.items()})
     return out
 
 
-def clear_partitions(spark: SparkSession, name: str, specs: list[dict[str, int]], like: DataFrame) -> None:
-    """Empty and drop the given partitions of an external table.
-
-    A static partition spec makes ``INSERT OVERWRITE`` delete that
-    partition's files even under dynamic overwrite mode; dropping the
-    partition then removes the catalog entry.
-    """
+def clear_partitions(spark: SparkSession, name: str, path: str, specs: list[dict[str, int]]) -> None:
+    """Drop the given partitions of an external table and delete their folders, without a Spark job."""
     if not specs:
         return
-    part_cols = list(specs[0].keys())
-    table_schema = spark.table(name).schema
-    data_schema = T.StructType([f for f in table_schema.fields if f.name not in part_cols])
-    empty_view = f"__empty_{name}"
-    spark.createDataFrame([], data_schema).createOrReplaceTempView(empty_view)
-    for spec in specs:
-        where = ", ".join(f"{k}={v}" for k, v in spec.items())
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({where}) SELECT * FROM {empty_view}")
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({where})")
-    spark.catalog.dropTempView(empty_view)
+    parts = ", ".join("PARTITION (" + ", ".join(f"{k}={v}" for k, v in s.items()) + ")" for s in specs)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    days = {(s["pickup_year"], s["pickup_month"], s["pickup_day"]) for s in specs}
+    clear_days(spark, path, sorted({d[:2] for d in days}), lambda y, m, d: (y, m, d) in days)
+    spark.catalog.refreshTable(name)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow import schema as S
@@ -40,13 +42,32 @@ def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> Writ
     )
     try:
         got = obs.get
-    except Exception:
-        # AQE replaces a plan it proves empty, dropping the observation with
-        # it; recount explicitly (cheap in exactly that case).
+    except Py4JJavaError:
+        # AQE replaces a plan it proves empty, and the observation goes with it:
+        # there is nothing to read but the metrics of (almost always) no rows.
         got = df.agg(*metrics).first().asDict()
     return WriteResult(int(got.get("rows") or 0), sorted(got.get("days") or []))
 
 
+def clear_days(
+    spark: SparkSession, path: str, months: list[tuple[int, int]], stale: Callable[[int, int, int], bool]
+) -> int:
+    """Delete the day folders of the given months that ``stale(y, m, d)`` names; return how many.
+
+    Folders are listed month by month, so the cost does not grow with the history.
+    """
+    gone = 0
+    for year, month in months:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pickup_year={year}/pickup_month={month}")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in fs.listStatus(folder) if fs.exists(folder) else []:
+            name = status.getPath().getName()
+            if name.startswith("pickup_day=") and stale(year, month, int(name.partition("=")[2])):
+                fs.delete(status.getPath(), True)
+                gone += 1
+    return gone
+
+
 def write_sample(df: DataFrame, path: str, n: int = S.SAMPLE_SIZE) -> None:
     """First ``n`` rows as one Parquet output (a sample is the feature here)."""
     df.limit(n).write.mode("overwrite").parquet(path)

@@ -1,66 +1,71 @@
-"""Incremental landing of monthly trip data into ``year=YYYY/month=MM``."""
+"""Incremental landing of whole monthly files into ``year=YYYY/month=MM``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-from cabflow.sources.period import Period, month_plan, period_coverage
-from cabflow.sources.raw import read_raw_trips
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder, on whichever store it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
-def existing_months(spark, root: str) -> DataFrame:
-    """(year, month) partitions already present under ``root`` (empty if none).
 
-    Only partition values are selected, so the scan reads no data columns.
-    """
-    try:
-        raw = read_raw_trips(spark, root)
-    except AnalysisException:
-        return spark.createDataFrame([], "year int, month int")
-    if not {"year", "month"} <= set(raw.columns):
-        return spark.createDataFrame([], "year int, month int")
-    return raw.select(F.col("year").cast("int"), F.col("month").cast("int")).distinct()
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _folder(spark, path)
+    return fs.exists(where)
 
 
-def land_months(
-    source: DataFrame,
-    root: str,
-    period: Period,
-    overwrite: bool = False,
-    pickup: str = "tpep_pickup_datetime",
-) -> list[tuple[int, int]]:
-    """Write the period's months of ``source`` below ``root``; return months written.
+def month_path(root: str, year: int, month: int) -> str:
+    return f"{root.rstrip('/')}/year={year}/month={month:02d}"
+
 
-    Months already present are skipped unless ``overwrite``; a planned month
-    without any source row is an error (nothing is written then). Only the
-    written months are replaced (dynamic partition overwrite); the write is
-    rebalanced by month so a heavy month is split across tasks instead of
-    landing in one.
+def month_landed(spark: SparkSession, root: str, year: int, month: int) -> bool:
+    """Whether the month's folder is there: a listing, no data is read."""
+    return folder_exists(spark, month_path(root, year, month))
+
+
+def land_labelled(source: DataFrame, root: str, year: Column, month: Column) -> None:
+    """Write every row of ``source`` below ``root`` by the label of its file.
+
+    The label is the month of the file a row came in, whatever its pickup time
+    says: rows without a pickup and rows of other months stay in their file. Only
+    the labelled months are replaced; the write is rebalanced by month, so a heavy
+    month is split across tasks.
     """
-    spark = source.sparkSession
-    coverage = period_coverage(source, period).collect()  # one row per planned month
-    empty = [(r["year"], r["month"]) for r in coverage if r["row_count"] == 0]
-    if empty:
-        raise ValueError(f"no source rows for month(s) {empty}")
-    plan = month_plan(spark, period)
-    if not overwrite:
-        plan = plan.join(F.broadcast(existing_months(spark, root)), ["year", "month"], "left_anti")
-    todo = sorted((r["year"], r["month"]) for r in plan.collect())
-    if not todo:
-        return []
-    keys = [y * 100 + m for y, m in todo]
-    out = (
-        source.withColumn("year", F.year(pickup))
-        .withColumn("month", F.lpad(F.month(pickup).cast("string"), 2, "0"))
-        .filter((F.col("year") * 100 + F.col("month").cast("int")).isin(keys))
-        .hint("rebalance", "year", "month")
-    )
+    out = source.withColumns(
+        {"year": year.cast("int"), "month": F.lpad(month.cast("int").cast("string"), 2, "0")}
+    ).drop("__year", "__month")
     (
-        out.write.mode("overwrite")
+        out.hint("rebalance", "year", "month")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(root)
     )
+
+
+def land_months(
+    sources: dict[tuple[int, int], DataFrame | str], root: str, overwrite: bool = False
+) -> list[tuple[int, int]]:
+    """Land the file of each (year, month), a frame or a Parquet path; return the months written.
+
+    Months whose folder is present are skipped unless ``overwrite``; a month whose
+    source has no row is an error, and nothing is written then.
+    """
+    spark = SparkSession.getActiveSession()
+    todo = sorted(k for k in sources if overwrite or not month_landed(spark, root, *k))
+    frames = {k: spark.read.parquet(s) if isinstance(s, str) else s for k, s in sources.items() if k in todo}
+    empty = [k for k in todo if frames[k].isEmpty()]
+    if empty:
+        raise ValueError(f"no source rows for month(s) {empty}")
+    if todo:
+        labelled = [
+            frames[k].withColumns({"__year": F.lit(k[0]), "__month": F.lit(k[1])}) for k in todo
+        ]
+        every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
+        land_labelled(every, root, F.col("__year"), F.col("__month"))
     return todo

@@ -46,15 +46,6 @@ class Period:
 
         return shift(self.start, -widen), shift(self.end, widen)
 
-    def months(self) -> list[tuple[int, int]]:
-        """(year, month) for every month touched, across years."""
-        lo, hi = self.month_keys()
-        out, y, m = [], lo // 100, lo % 100
-        while y * 100 + m <= hi:
-            out.append((y, m))
-            y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-        return out
-
 
 def month_plan(spark: SparkSession, period: Period) -> DataFrame:
     """One row per month touched by the period: (year, month).
@@ -83,12 +74,18 @@ def month_plan(spark: SparkSession, period: Period) -> DataFrame:
 def period_coverage(trips: DataFrame, period: Period, year: Column | None = None, month: Column | None = None) -> DataFrame:
     """Months of the period with their raw row count (0 = month missing).
 
-    ``year``/``month`` default to the pickup time's calendar parts; pass the
-    ``year``/``month`` partition columns of a landed layout to count by file
-    placement instead. The plan side is bounded by the period length and is
-    broadcast; the trip side is pre-aggregated to one row per month.
+    ``year``/``month`` default to the pickup time's calendar parts, with a plain
+    range on the pickup time that reaches the scan; pass the ``year``/``month``
+    partition columns of a landed layout to count by file placement instead. The
+    trips are aggregated to one row per month before the join.
     """
     spark = trips.sparkSession
+    if year is None and month is None:
+        pickup = F.col("tpep_pickup_datetime")
+        first = period.start.replace(day=1)
+        after = (period.end.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        kind = trips.schema["tpep_pickup_datetime"].dataType
+        trips = trips.filter((pickup >= F.lit(first).cast(kind)) & (pickup < F.lit(after).cast(kind)))
     year = year if year is not None else F.year("tpep_pickup_datetime")
     month = month if month is not None else F.month("tpep_pickup_datetime")
     lo, hi = period.month_keys()
@@ -98,8 +95,7 @@ def period_coverage(trips: DataFrame, period: Period, year: Column | None = None
         .groupBy("year", "month")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    plan = F.broadcast(month_plan(spark, period))
-    return plan.join(counts, ["year", "month"], "left").select(
+    return month_plan(spark, period).join(counts, ["year", "month"], "left").select(
         "year", "month", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count")
     )
 

@@ -16,15 +16,21 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def read_raw_trips(spark: SparkSession, root: str) -> DataFrame:
-    """Scan ``root`` with Hive-style discovery of ``year=YYYY/month=MM``."""
-    return spark.read.option("basePath", root).parquet(root)
+    """Scan ``root`` with Hive-style discovery of ``year=YYYY/month=MM``.
+
+    The schemas of all months are merged, so a column that only some months have
+    is NULL in the others instead of depending on the file that is looked at.
+    """
+    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(root)
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
-    """Zone lookup CSV with a header, read with an explicit schema (no inference pass)."""
-    header = spark.read.option("header", True).csv(path).limit(0).columns
+    """Zone lookup CSV with a header: the four columns by name, in any order, others ignored."""
+    header = spark.read.option("header", True).csv(path).columns
     require_columns(header, S.ZONE_COLUMNS, what="zone lookup")
-    return spark.read.schema(S.ZONE_SCHEMA).option("header", True).option("enforceSchema", False).csv(path)
+    as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    rows = spark.read.schema(as_text).option("header", True).csv(path)
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.ZONE_SCHEMA.fields])
 
 
 def require_columns(columns, required, what: str = "input") -> None:
@@ -34,11 +40,6 @@ def require_columns(columns, required, what: str = "input") -> None:
         raise ValueError(f"missing columns in {what}: {missing}")
 
 
-def catalog_table(spark: SparkSession, name: str) -> DataFrame:
-    """A registered table (curated_trips, rejected_trips, ...)."""
-    return spark.table(name)
-
-
 def approx_row_bytes(df: DataFrame):
     """Rough in-memory width of one row: string bytes plus 8 per other column."""
     sizes = []
@@ -53,24 +54,6 @@ def approx_row_bytes(df: DataFrame):
     return total
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the side is unexpectedly large.
-    """
-    probe = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(approx_row_bytes(df)).alias("b"))
-        .first()
-    )
-    return probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
-
-
-def lookup_side(df: DataFrame, small: bool | None = None) -> DataFrame:
+def lookup_side(df: DataFrame, small: bool) -> DataFrame:
     """``broadcast(df)`` when its checked size fits, else ``df`` itself."""
-    if small is None:
-        small = fits_broadcast(df)
     return F.broadcast(df) if small else df

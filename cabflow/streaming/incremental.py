@@ -1,13 +1,10 @@
 """Incremental mode of the job with Structured Streaming.
 
-Months keep landing under ``year=YYYY/month=MM``. Instead of remembering by
-hand which months were already processed, a file stream over the raw root
-processes each landed file exactly once (the source records consumed files
-in its checkpoint) and the Parquet file sink commits each micro-batch exactly
-once (its ``_spark_metadata`` log). The enrichment is the batch one: a
-stream-static left join with the broadcast zone lookup, no state. Run it with
-``availableNow`` after each landing to catch up and stop; a lost executor or
-a crashed run resumes from the checkpoint without duplicates.
+Months keep landing under ``year=YYYY/month=MM``, and a month may be landed again.
+A file stream over the raw root tells which months have new files; each micro-batch
+(``foreachBatch``) rewrites the days of those months from the raw layout with the
+day overwrite of the batch job. Running a batch twice, or landing a month again,
+therefore gives the same tables, and batch runs and streaming runs can share them.
 """
 
 from __future__ import annotations
@@ -16,22 +13,77 @@ import datetime as dt
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cabflow import schema as S
 from cabflow.operators import enrich as E
 from cabflow.operators import route as R
+from cabflow.sinks.parquet import clear_days, write_day_partitioned
 from cabflow.sources.period import Period
 from cabflow.sources.raw import read_raw_trips, read_zones
 
+PICKUP = "tpep_pickup_datetime"
+
 
 def raw_stream(spark: SparkSession, raw_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of the raw layout; the schema comes from the files already there."""
+    """Streaming scan of the raw layout; only its year and month are used."""
     schema = read_raw_trips(spark, raw_root).schema
     reader = spark.readStream.schema(schema).option("basePath", raw_root)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(raw_root).drop("year", "month")
+    return reader.parquet(raw_root).select("year", "month")
+
+
+def _index(year, month):
+    return year * 12 + month - 1
+
+
+def affected_trips(spark: SparkSession, raw_root: str, touched: list[int]) -> DataFrame:
+    """Raw trips of every day that files of the touched months can hold.
+
+    A file may hold rows of the neighbouring months, so the days are all days of
+    the touched months and their neighbours that the files name; each day is read
+    from the files of its own month and both neighbours. ``touched`` are month
+    indexes (year * 12 + month - 1), bounded by the files of a micro-batch.
+    """
+    raw = read_raw_trips(spark, raw_root)
+    label = _index(F.col("year").cast("int"), F.col("month").cast("int"))
+    near = sorted({m + k for m in touched for k in (-2, -1, 0, 1, 2)})
+    raw = raw.filter(label.isin(near)).withColumn("__label", label)
+    raw = raw.withColumn("__pickup", _index(F.year(PICKUP), F.month(PICKUP)))
+    raw = raw.filter(F.abs(F.col("__label") - F.col("__pickup")) <= 1)
+    strays = raw.filter(F.col("__label").isin(touched) & ~F.col("__pickup").isin(touched))
+    days = strays.select(F.to_date(PICKUP).alias("__day")).distinct()  # two months of days a month at most
+    day = F.to_date(PICKUP)
+    mine = raw.join(F.broadcast(days), day == F.col("__day"), "left")
+    mine = mine.filter(F.col("__pickup").isin(touched) | F.col("__day").isNotNull())
+    return mine.drop("__label", "__pickup", "__day", "year", "month")
+
+
+def rewrite_months(
+    spark: SparkSession,
+    touched: list[int],
+    raw_root: str,
+    zones_path: str,
+    curated_path: str,
+    rejected_path: str,
+    period: Period | None = None,
+    run_ts: dt.datetime | None = None,
+) -> None:
+    """Rewrite both tables for the days of the touched months."""
+    trips = affected_trips(spark, raw_root, touched)
+    enriched = E.enrich(trips, read_zones(spark, zones_path), run_ts=run_ts or dt.datetime.now(dt.timezone.utc))
+    scoped = R.filter_period(enriched, period) if period else enriched.filter(F.col("pickup_date").isNotNull())
+    for name, frame, path in (
+        ("curated", R.curated(scoped), curated_path),
+        ("rejected", R.rejected(scoped), rejected_path),
+    ):
+        written = write_day_partitioned(frame, path, name)
+        keep = {(d.year, d.month, d.day) for d in written.days}
+        months = [(m // 12, m % 12 + 1) for m in touched]
+        inside = lambda y, m, d: period is None or period.start <= dt.date(y, m, d) <= period.end
+        clear_days(spark, path, months, lambda y, m, d: (y, m, d) not in keep and inside(y, m, d))
 
 
 def start_incremental(
@@ -44,35 +96,35 @@ def start_incremental(
     period: Period | None = None,
     run_ts: dt.datetime | None = None,
     available_now: bool = True,
-) -> list[StreamingQuery]:
-    """Start the curated and rejected streams; returns both queries.
+) -> StreamingQuery:
+    """Start the stream; ``checkpoint_root`` must be on storage shared by the cluster.
 
-    ``checkpoint_root`` must be on storage shared by the cluster (e.g. below
-    ``spark.checkpoint.dir``). With ``period`` set, only pickups inside it are
-    routed, as in the batch job; NULL flags go to rejected.
+    With ``period`` set only pickups inside it are routed, as in the batch job;
+    NULL flags go to rejected. ``run_ts`` fixes the processing time (tests);
+    without it every micro-batch carries its own.
     """
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
-    enriched = E.enrich(raw_stream(spark, raw_root), read_zones(spark, zones_path), run_ts=run_ts)
-    scoped = R.filter_period(enriched, period) if period else enriched
-    queries = []
-    for name, frame, path in (
-        ("curated", R.curated(scoped), curated_path),
-        ("rejected", R.rejected(scoped), rejected_path),
-    ):
-        writer = (
-            frame.writeStream.format("parquet")
-            .partitionBy(*S.DAY_PARTITION)
-            .option("checkpointLocation", os.path.join(checkpoint_root, name))
-            .queryName(f"incremental_{name}_{os.path.basename(checkpoint_root.rstrip('/'))}")
-        )
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-        queries.append(writer.start(path))
-    return queries
+
+    def process(batch: DataFrame, _batch_id: int) -> None:
+        months = batch.select(F.col("year").cast("int"), F.col("month").cast("int")).distinct().collect()
+        if months:  # one row per landed month
+            touched = sorted(_index(r[0], r[1]) for r in months)
+            rewrite_months(
+                batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, period, run_ts
+            )
+
+    writer = (
+        raw_stream(spark, raw_root)
+        .writeStream.foreachBatch(process)
+        .option("checkpointLocation", os.path.join(checkpoint_root, "months"))
+        .queryName(f"incremental_{os.path.basename(checkpoint_root.rstrip('/'))}")
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
 
 
 def run_incremental_once(spark: SparkSession, **kwargs) -> None:
-    """Catch up on every landed file not yet processed, then stop."""
-    for q in start_incremental(spark, available_now=True, **kwargs):
-        q.awaitTermination()
-        if q.exception():
-            raise q.exception()
+    """Catch up on every month with files not yet seen, then stop."""
+    query = start_incremental(spark, available_now=True, **kwargs)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()

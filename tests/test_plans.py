@@ -35,14 +35,42 @@ def test_top_k_is_take_ordered(spark):
 def test_raw_month_pruning_reaches_partition_filters(spark, scratch):
     from tests.test_enrich import TS, raw_frame
     from cabflow.sources.landing import land_months
-    import datetime as dt
 
     rows = [{"tpep_pickup_datetime": TS(2025, m, 2, 8, 0, 0), "tpep_dropoff_datetime": TS(2025, m, 2, 8, 5, 0)} for m in range(1, 7)]
-    land_months(raw_frame(spark, rows), scratch + "/raw", P.Period.parse("01/01/2025", "30/06/2025"))
+    land_months({(2025, m): raw_frame(spark, rows[m - 1 : m]) for m in range(1, 7)}, scratch + "/raw")
     from cabflow.sources.raw import read_raw_trips
 
     pruned = P.prune_raw_months(read_raw_trips(spark, scratch + "/raw"), P.Period.parse("10/03/2025", "20/03/2025"))
     plan = plan_of(pruned)
     assert "PartitionFilters: [isnotnull(year" in plan
     assert sorted(r["month"] for r in pruned.select("month").distinct().collect()) == [2, 3, 4]
-    assert dt.date(2025, 3, 10)
+
+
+def test_coverage_range_reaches_the_scan(spark, scratch):
+    from tests.test_enrich import raw_frame
+
+    raw_frame(spark, [{}]).write.parquet(scratch + "/t")
+    plan = plan_of(P.period_coverage(spark.read.parquet(scratch + "/t"), P.Period.parse("10/03/2025", "20/04/2025")))
+    pushed = plan.split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(tpep_pickup_datetime,2025-03-01T00:00), Less" in pushed
+    assert ">= 2025-03-01 00:00:00" in plan and "< 2025-05-01 00:00:00" in plan
+
+
+def test_duplicates_count_before_any_whole_row_shuffle(spark):
+    from cabflow.operators.profile import duplicate_rows
+    from tests.test_enrich import raw_frame
+
+    raw = raw_frame(spark, [{"VendorID": i % 3} for i in range(12)] + [{"VendorID": 50 + i} for i in range(4)])
+    assert duplicate_rows(raw).first()[0] == 9
+    assert duplicate_rows(raw, max_repeated=0).first()[0] == 9
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for plan in (plan_of(duplicate_rows(raw)), plan_of(duplicate_rows(raw, max_repeated=0))):
+            assert "SortMergeJoin" not in plan
+            whole = [line for line in plan.splitlines() if "Exchange hashpartitioning(VendorID" in line]
+            assert len(whole) == 1  # rows are counted in each task first
+            below = plan.splitlines()[plan.splitlines().index(whole[0]) + 1]
+            assert "partial_count" in below
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

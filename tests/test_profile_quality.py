@@ -110,3 +110,24 @@ def test_expectations_column_order_is_strict(spark):
 def test_empty_table_fails_row_count(spark):
     res = {r["expectation"]: r["success"] for r in Q.raw_expectations(raw_frame(spark, [{}]).limit(0)).collect()}
     assert res[Q.ROW_COUNT] is False
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    raw = raw_frame(spark, [{"trip_distance": nan}, {"trip_distance": 7.0}, {"total_amount": nan}, {"trip_distance": nan}])
+    [m] = PR.profile_metrics(raw, 2025, 1).collect()
+    assert m["maximum_trip_distance"] == 7.0 and m["trip_distance_over_100_miles"] == 0 and m["maximum_total_amount"] == 12.5
+    nulls = {r["column_name"]: r["null_count"] for r in PR.null_counts(raw).collect()}
+    assert nulls == {"trip_distance": 2, "total_amount": 1}
+
+
+def test_expectations_fail_on_absent_columns(spark):
+    raw = raw_frame(spark, [{}]).drop("PULocationID", "trip_distance")
+    res = {(r["expectation"], r["column_name"]): r["success"] for r in Q.raw_expectations(raw).collect()}
+    assert res[(Q.BETWEEN, "PULocationID")] is False and res[(Q.BETWEEN, "trip_distance")] is False
+    assert res[(Q.BETWEEN, "DOLocationID")] is True
+
+
+def test_shape(spark):
+    [r] = I.shape(raw_frame(spark, [{}, {}, {}])).collect()
+    assert (r["row_count"], r["column_count"]) == (3, 20)

@@ -1,7 +1,6 @@
 import os
 
 from cabflow.sources import landing as L
-from cabflow.sources import period as P
 from cabflow.streaming.incremental import run_incremental_once
 from tests.test_enrich import raw_frame, zones_frame
 from tests.test_sinks_pipeline import _trip
@@ -11,8 +10,7 @@ def test_incremental_processes_each_file_once(spark, scratch):
     raw_root = os.path.join(scratch, "raw")
     zones = os.path.join(scratch, "zones")
     zones_frame(spark).coalesce(1).write.option("header", True).csv(zones)
-    jan = P.Period.parse("01/01/2025", "31/01/2025")
-    L.land_months(raw_frame(spark, [_trip(3), _trip(4), _trip(5, minutes=0)]), raw_root, jan)
+    L.land_months({(2025, 1): raw_frame(spark, [_trip(3), _trip(4), _trip(5, minutes=0)])}, raw_root)
     args = dict(
         raw_root=raw_root,
         zones_path=zones,
@@ -27,14 +25,23 @@ def test_incremental_processes_each_file_once(spark, scratch):
     run_incremental_once(spark, **args)
     assert spark.read.parquet(args["curated_path"]).count() == 2
     # a new month lands: only its rows are added
-    feb = P.Period.parse("01/02/2025", "28/02/2025")
     import datetime as dt
 
     feb_rows = [{"tpep_pickup_datetime": dt.datetime(2025, 2, 2, 9), "tpep_dropoff_datetime": dt.datetime(2025, 2, 2, 9, 20)}]
-    L.land_months(raw_frame(spark, feb_rows), raw_root, feb)
+    L.land_months({(2025, 2): raw_frame(spark, feb_rows)}, raw_root)
     run_incremental_once(spark, **args)
     cur = spark.read.parquet(args["curated_path"])
     assert cur.count() == 3
     assert sorted((r["pickup_month"], r["pickup_day"]) for r in cur.select("pickup_month", "pickup_day").distinct().collect()) == [
         (1, 3), (1, 4), (2, 2)
     ]
+    # a month lands again with a day less and a stray row: same days, no duplicates, the lost day goes
+    again = [_trip(3), _trip(3), {"tpep_pickup_datetime": dt.datetime(2025, 2, 3, 9), "tpep_dropoff_datetime": dt.datetime(2025, 2, 3, 9, 5)}]
+    L.land_months({(2025, 1): raw_frame(spark, again)}, raw_root, overwrite=True)
+    run_incremental_once(spark, **args)
+    cur = spark.read.parquet(args["curated_path"])
+    assert sorted((r["pickup_month"], r["pickup_day"], r["count"]) for r in cur.groupBy("pickup_month", "pickup_day").count().collect()) == [
+        (1, 3, 2), (2, 2, 1), (2, 3, 1)
+    ]
+    days = [d for d in os.listdir(os.path.join(args["rejected_path"], "pickup_year=2025", "pickup_month=1")) if "=" in d]
+    assert days == []
