@@ -267,13 +267,14 @@ def spans_of_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """doc, th, at, first, last, gram and the 128-bit hash of the whole span."""
     names = ["doc", "th", "at", "first", "last", "gram", "h1", "h2"]
     for batch in batches:
-        out = []
+        parts = [np.zeros((0, len(names)), dtype=np.int64)]
         for doc, th, text, grams in zip(batch["doc"], batch["th"], batch["text"], batch["grams"]):
             for raw, rows in _held_anchors(text, np.asarray(grams)):
-                out += [
-                    (doc, th, a, f, z, g, *_digest(raw[f : z + LENGTH])) for a, f, z, g in rows.tolist()
-                ]
-        yield pd.DataFrame(out, columns=names, dtype="int64")
+                spans = zip(rows[:, 1].tolist(), (rows[:, 2] + LENGTH).tolist())
+                digests = b"".join([hashlib.blake2b(raw[f:z], digest_size=16).digest() for f, z in spans])
+                key = np.broadcast_to(np.array([doc, th], dtype=np.int64), (len(rows), 2))
+                parts.append(np.hstack([key, rows, np.frombuffer(digests, dtype="<i8").reshape(-1, 2)]))
+        yield pd.DataFrame(np.concatenate(parts), columns=names)
 
 
 def _sorted_runs(buckets: int):
@@ -356,20 +357,32 @@ def repeated_spans(rows: DataFrame, max_group: int = MAX_GROUP) -> tuple[DataFra
     mixed = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     firsts = classes.select("gram", "low.*").join(mixed, "gram")
     firsts = firsts.groupBy("doc", "th").agg(F.collect_list(F.struct("at", "first", "last", "gram", "n")).alias("spans"))
-    texts = written(held.select("doc", "th", "text").join(firsts, ["doc", "th"]))
-    size = texts.agg(F.sum(F.size("spans"))).first()[0] or 0
-    usual = texts.withColumn("spans", F.filter("spans", lambda s: s["n"] <= max_group))
-    buckets = max(1, -(-size // SPANS_PER_BUCKET), int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    runs = usual.mapInPandas(_sorted_runs(buckets), "bucket long, run binary")
-    partly = runs.groupBy("bucket").applyInPandas(merge_bucket, _SPAN)
-    crowded = texts.withColumn("spans", F.filter("spans", lambda s: s["n"] > max_group)).filter(F.size("spans") > 0)
-    windows = crowded.mapInPandas(_spread_windows, "h1 long, h2 long, doc long, th long, start long")
-    lowest = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "th", "start")).alias("low"), F.count(F.lit(1)).alias("c"))
-    spread = windows.join(lowest.filter("c > 1"), ["h1", "h2"]).filter(
-        (F.col("doc") != F.col("low.doc")) | (F.col("th") != F.col("low.th")) | (F.col("start") != F.col("low.start"))
-    )
-    spread = spread.select("doc", "th", "start", (F.col("start") + LENGTH).alias("end"))
-    return held, whole.union(partly.select("doc", "th", "start", "end")).union(spread)
+    firsts = written(firsts)
+    have = firsts.agg(
+        F.sum(F.size("spans")).alias("size"), F.max(F.array_max(F.transform("spans", lambda x: x["n"]))).alias("most")
+    ).first()
+
+    def texts(wanted) -> DataFrame:
+        """The texts with their first spans of the wanted grams."""
+        some = firsts.withColumn("spans", F.filter("spans", wanted)).filter(F.size("spans") > 0)
+        return held.select("doc", "th", "text").join(some, ["doc", "th"])
+
+    partitions = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(1, -(-(have["size"] or 0) // SPANS_PER_BUCKET), partitions)
+    runs = texts(lambda x: x["n"] <= max_group).mapInPandas(_sorted_runs(buckets), "bucket long, run binary")
+    spans = whole.union(runs.groupBy("bucket").applyInPandas(merge_bucket, _SPAN))
+    if (have["most"] or 0) > max_group:
+        windows = texts(lambda x: x["n"] > max_group).mapInPandas(
+            _spread_windows, "h1 long, h2 long, doc long, th long, start long"
+        )
+        lowest = windows.groupBy("h1", "h2").agg(
+            F.min(F.struct("doc", "th", "start")).alias("low"), F.count(F.lit(1)).alias("c")
+        )
+        spread = windows.join(lowest.filter("c > 1"), ["h1", "h2"]).filter(
+            (F.col("doc") != F.col("low.doc")) | (F.col("th") != F.col("low.th")) | (F.col("start") != F.col("low.start"))
+        )
+        spans = spans.union(spread.select("doc", "th", "start", (F.col("start") + LENGTH).alias("end")))
+    return held, spans
 
 
 def deduplicate(docs: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
