@@ -140,7 +140,7 @@ class FuzzyTrie:
         if len(token) < 4 or len(token) > 40 or token in self.stop:
             return 0.0
         if not token.isalpha():
-            token = re.sub(r"[\W_]", "", raw.strip("\"'`.,;:?()[]{}").translate(LEET))
+            token = re.sub(r"[\W_]", "", token.translate(LEET))
             if not token.isalpha() or token in self.stop:
                 return 0.0
             if token in self.words:
