@@ -10,7 +10,9 @@ those wrappers are merged, then the groups: no task sees all pages of a host.
 The wrapper says which texts are the template's (the same on all pages) and, for
 pages without an article element, which element holds the varying text. A page's
 main text is what stands in that element outside menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments.
+sidebars, notices, adverts, forms, scripts, styles and reader comments. Names of
+classes and ids that are also ordinary words (discussion, related, search) remove an
+element only where its host's wrapper shows it constant or mostly links.
 
 Defined results: null or empty html gives an empty text; white space of any kind
 inside a block becomes one space; a line break tag is white space; blocks are
@@ -25,6 +27,7 @@ import html as entities
 import json
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +41,8 @@ SALTS = 64
 MAX_KIDS = 64
 # Pages that must agree before a text counts as the template's.
 TEMPLATE_PAGES = 5
+# Share of the characters inside links from which a doubtful element is a list of links.
+MOSTLY_LINKS = 0.5
 
 RAW = ("script", "style", "noscript", "textarea", "template", "iframe", "svg", "title", "select")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -71,7 +76,7 @@ ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)\s*(?:=\s*(
 
 SKIPPED_TAGS = frozenset("head nav footer aside form fieldset button menu search dialog legend option optgroup".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-# Parts of class and id names that mark what is not the article.
+# Parts of class and id names that may mark what is not the article.
 SKIPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion promoted"
     " cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup"
@@ -80,52 +85,88 @@ SKIPPED_NAMES = frozenset(
     " recommended recommendations widget widgets toolbar pagination pager login search skip skiplink copyright disclaimer"
     " hidden".split()
 )
+# Ordinary words of them: such a name alone, or beside a word that is not listed, says nothing certain.
+ORDINARY_NAMES = frozenset(
+    "side aside related search discussion reply replies respond response responses share sharing social notice notices"
+    " alert alerts consent login skip copyright disclaimer promotion promoted recommended recommendations overlay widget"
+    " widgets signup subscribe subscription menu menus navigation foot sponsor sponsored advertising comment".split()
+)
+# Parts that name a box of the page when they stand beside a listed one.
+BOX_NAMES = frozenset("list box slot bar container wrapper wrap block links buttons button form icons unit panel thread".split())
+# Ids are often made from headings: alone only names that are no headings, in compounds one part of these.
+CLEAR_IDS = frozenset(
+    "comments commentlist disqus sidebar sidenav navbar breadcrumb breadcrumbs masthead topbar adsense adslot pagination"
+    " pager skiplink".split()
+)
+CLEAR_ID_PARTS = CLEAR_IDS | frozenset("ad ads cookie cookies gdpr comment newsletter nav".split())
 MAIN_NAMES = frozenset("content article post entry story main body text".split())
 
 
 def label_of(tag: str, attrs: str) -> str:
-    """tag, then .names of class and id without digits, @role and ! if hidden."""
+    """tag, then .names of class and #names of id without digits, @role and ! if hidden."""
     if not attrs or "=" not in attrs and "hidden" not in attrs:
         return tag
     names, role, hidden = [], "", ""
     for m in ATTR.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id", "itemprop"):
-            names += [n for n in re.split(r"[\s0-9]+", value.lower()) if n.strip("-_")]
+            mark = "#" if key == "id" else "."
+            names += [mark + n.strip("-_") for n in re.split(r"[\s0-9]+", value.lower()) if n.strip("-_")]
         elif key == "role":
             role = "@" + value.strip().lower()
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             hidden = "!"
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             hidden = "!"
-    return tag + "".join("." + n.strip("-_") for n in dict.fromkeys(names)) + role + hidden
+    return tag + "".join(dict.fromkeys(names)) + role + hidden
+
+
+def parts_of(name: str) -> list[str]:
+    return [p for p in re.split(r"[-_:]+", name) if p]
 
 
 def name_parts(label: str) -> list[str]:
-    return [p for name in re.split(r"[.@!]", label)[1:] for p in re.split(r"[-_:]+", name) if p]
+    return [p for name in re.split(r"[.@!#]", label)[1:] for p in parts_of(name)]
 
 
 def tag_of(label: str) -> str:
-    return re.split(r"[.@!]", label, maxsplit=1)[0]
+    return re.split(r"[.@!#]", label, maxsplit=1)[0]
 
 
-def is_skipped(label: str, inside_article: bool) -> bool:
-    """Whether an element is never part of the main text."""
+def is_clear(mark: str, name: str) -> bool:
+    """Whether a class (.) or id (#) name can only mean a part of the page that is not the article."""
+    parts = parts_of(name)
+    if len(parts) == 1:
+        return parts[0] in CLEAR_IDS if mark == "#" else parts[0] in SKIPPED_NAMES - ORDINARY_NAMES
+    if not set(parts) <= SKIPPED_NAMES | BOX_NAMES:
+        return False
+    return not set(parts).isdisjoint(CLEAR_ID_PARTS if mark == "#" else SKIPPED_NAMES)
+
+
+@lru_cache(maxsize=100_000)
+def kind_of(label: str, inside_article: bool) -> str:
+    """"skipped": never part of the main text; "doubtful": its names may say so; else empty."""
     tag = tag_of(label)
     if label.endswith("!") or tag in SKIPPED_TAGS:
-        return True
+        return "skipped"
     if tag == "header" and not inside_article:
-        return True
+        return "skipped"
     role = re.search(r"@([a-z]+)", label)
     if role and role[1] in SKIPPED_ROLES:
-        return True
+        return "skipped"
     if tag in ("html", "body", "article", "main") or tag in HEADINGS:
         # Names of these describe the page or its type; reader comments are often articles.
-        return tag in ("article", "main") and bool({"comment", "reply"} & set(name_parts(label)))
-    parts = set(name_parts(label))
-    if "header" in parts and not inside_article:
-        return True
-    return bool(parts & SKIPPED_NAMES)
+        return "skipped" if tag in ("article", "main") and {"comment", "reply"} & set(name_parts(label)) else ""
+    names = re.findall(r"([.#])([^.@!#]+)", label)
+    if any(is_clear(mark, name) or mark == "." and name == "header" and not inside_article for mark, name in names):
+        return "skipped"
+    parts = {p for _, name in names for p in parts_of(name)}
+    return "doubtful" if parts & SKIPPED_NAMES or "header" in parts and not inside_article else ""
+
+
+def is_skipped(label: str, inside_article: bool) -> bool:
+    """Whether an element is never part of the main text."""
+    return kind_of(label, inside_article) == "skipped"
 
 
 def page_tree(source: str | None) -> list:
@@ -281,6 +322,13 @@ def wrapper_facts(wrapper: list) -> dict:
     pages = wrapper[1]
     fixed: dict[str, str] = {}
     slots: set[str] = set()
+    linked: dict[str, list[int]] = {}  # characters, and those in links, of the doubtful elements by path
+
+    def size_of(node: list) -> tuple[int, int]:
+        if node[0] == "#":
+            return node[5], node[6]
+        sizes = [size_of(k) for k in node[4]]
+        return sum(n for n, _ in sizes), sum(n for _, n in sizes)
 
     def walk(node: list, path: str) -> float:
         """Weight of the varying text below, links left out."""
@@ -292,7 +340,12 @@ def wrapper_facts(wrapper: list) -> dict:
                 fixed.pop(path, None)
                 slots.add(path)
             return 0.0 if same else max(0.0, node[5] - 2.0 * node[6])
-        return sum(walk(k, f"{path}/{node[0]}") for k in node[4])
+        inside = f"{path}/{node[0]}" if node[0] else path
+        if node[0] and kind_of(node[0], True) == "doubtful":
+            chars, links = size_of(node)
+            had = linked.setdefault(inside, [0, 0])
+            had[0], had[1] = had[0] + chars, had[1] + links
+        return sum(walk(k, inside) for k in node[4])
 
     total = walk(wrapper, "")
     main, node = "", wrapper
@@ -304,7 +357,8 @@ def wrapper_facts(wrapper: list) -> dict:
         if kid[2] or tag_of(kid[0]) in ("p", "li", "tr", *HEADINGS):
             break
         main, node = f"{main}/{kid[0]}", kid
-    return {"pages": pages, "fixed": fixed if slots else {}, "main": main}
+    links = {path for path, (chars, inner) in linked.items() if inner >= MOSTLY_LINKS * max(1, chars)}
+    return {"pages": pages, "fixed": fixed if slots else {}, "links": links, "main": main}
 
 
 def weight_of(node: list, pages: int) -> float:
@@ -322,14 +376,20 @@ def main_text(source: str | None, facts: dict | None) -> str:
     if facts is None:
         facts = wrapper_facts(wrapper_of(tree))
     found: dict[str, list[str]] = {"article": [], "main": [], "named": [], "region": [], "rest": []}
-    fixed, region = facts["fixed"], facts["main"]
+    fixed, links, region = facts["fixed"], facts["links"], facts["main"]
+
+    def all_fixed(node: list, inside: str) -> bool:
+        return all(
+            fixed.get(inside) == k[1] if k[0] == "#" else all_fixed(k, f"{inside}/{k[0]}") for k in node[1]
+        )
 
     def walk(node: list, path: str, where: frozenset[str]) -> None:
         label = node[0]
         tag = tag_of(label)
-        if label and is_skipped(label, "article" in where):
-            return
         inside = f"{path}/{label}" if label else path
+        kind = kind_of(label, "article" in where) if label else ""
+        if kind == "skipped" or kind == "doubtful" and (inside in links or all_fixed(node, inside)):
+            return
         if tag in ("article", "main"):
             where = where | {tag}
         if "@main" in label or re.search(r"\.articlebody\b", label):
@@ -341,7 +401,7 @@ def main_text(source: str | None, facts: dict | None) -> str:
         for kid in node[1]:
             if kid[0] != "#":
                 walk(kid, inside, where)
-            elif tag in HEADINGS or "/" + fixed.get("/" + inside, "") != "/" + kid[1]:
+            elif tag in HEADINGS or fixed.get(inside) != kid[1]:
                 found["rest"].append(kid[1])
                 for kind in where:
                     found[kind].append(kid[1])

@@ -46,6 +46,26 @@ def test_article_and_region_pages(spark, tmp_path):
     assert sorted(map(str, again)) == sorted(map(str, out))
 
 
+def test_sections_named_by_ordinary_words_stay():
+    ids = ("side-effects", "related-work", "discussion", "search-strategy", "hidden-layers", "response-rates", "social", "advertising")
+    sources, want = [], []
+    for i in range(8):
+        body = "".join(f'<section id="{n}"><h2>{n}</h2><p>{n} text {i} {prose(9, i)}</p></section>' for n in ids)
+        boxes = '<div class="related"><p>Read our magazine</p></div><div class="cookie-notice">ok %d</div>' % i
+        boxes += f'<ul class="share-links"><li>{i}</ul><div class="social-feed"><p><a href="/{i}">Other story {i}</a></p></div>'
+        boxes += f'<section id="comments"><p>Nice {i}</p></section><div class="ad">Buy {i}</div>'
+        sources.append(page(i, f"<article><h1>Head {i}</h1>{body}{boxes}</article>"))
+        want.append("\n".join([f"Head {i}", *[x for n in ids for x in (n, f"{n} text {i} {prose(9, i)}")]]))
+    wrapper = None
+    for source in sources:
+        one = h.wrapper_of(h.page_tree(source))
+        wrapper = one if wrapper is None else h.merged(wrapper, one)
+    facts = h.wrapper_facts(wrapper)
+    assert [h.main_text(s, facts) for s in sources] == want
+    alone = h.main_text(sources[0], None)  # without a wrapper nothing shows that the magazine's line is constant
+    assert alone == want[0] + "\nRead our magazine"
+
+
 def test_wrapper_groups():
     a = h.wrapper_of(h.page_tree("<div><h2>a</h2><p>x</p><h2>b</h2><p>y</p></div><div class=n1>same</div>"))
     b = h.wrapper_of(h.page_tree("<div><h2>c</h2><p>z</p></div><div class=n2>same</div><hr><p>new</p>"))
