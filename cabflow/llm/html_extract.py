@@ -3,12 +3,16 @@
 A page is read as a tree of block elements with text between them. The trees of one
 host are aligned one after the other into a wrapper, a union-free regular
 expression over tokens: equal neighbours fold into a repeated group, a token that
-only one side has becomes optional, a text that differs becomes a slot. Wrappers
+only one side has becomes optional, a text that differs becomes a slot, which keeps
+a hash of its most frequent text with that text's votes. Wrappers
 merge like pages do, so each task aligns its own pages of a host, then groups of
 those wrappers are merged, then the groups: no task sees all pages of a host.
 
-The wrapper says which texts are the template's (the same on all pages) and, for
-pages without an article element, which element holds the varying text. A page's
+The wrapper says which texts are the template's (the same on nearly all pages) and
+which element holds the varying text: an article, main or named element where the
+wrapper finds at least half of the varying text in it, otherwise the element down to
+which most of it leads. Where the wrapper does not decide (fewer than five pages, or
+nothing narrower than the body), the tags do. A page's
 main text is what stands in that element outside menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments. Names of
 classes and ids that are also ordinary words (discussion, related, search) remove an
@@ -23,6 +27,7 @@ extracted each time; an empty table gives an empty result. Other columns are ign
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -41,6 +46,11 @@ SALTS = 64
 MAX_KIDS = 64
 # Pages that must agree before a text counts as the template's.
 TEMPLATE_PAGES = 5
+# Votes (pages with the text less those with another) over pages from which a text is the template's:
+# one on 90 % of a host's pages always is, one on fewer than 80 % never.
+TEMPLATE_VOTES = 0.8
+# Share of a host's varying text that an element named as the main one has to hold to be taken at its word.
+HELD = 0.5
 # Share of the characters inside links from which a doubtful element is a list of links.
 MOSTLY_LINKS = 0.5
 
@@ -242,14 +252,20 @@ def page_tree(source: str | None) -> list:
 
 
 # --- wrappers -----------------------------------------------------------------
-# [label, pages, repeated, optional, kids] or ["#", pages, repeated, optional, text or None, characters, linked]
+# [label, pages, repeated, optional, kids]
+# or ["#", pages, repeated, optional, text or None, characters, linked, key of the most frequent text, its votes]
+
+
+def key_of(text: str) -> str:
+    """Names a whole text of any length."""
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=9).hexdigest()
 
 
 def wrapper_of(node: list) -> list:
     """The wrapper of a single page (sub)tree."""
     if node[0] == "#":
-        text = node[1] if len(node[1]) <= 200 else None
-        return ["#", 1, False, False, text, len(node[1]), node[2]]
+        key = key_of(node[1])
+        return ["#", 1, False, False, node[1] if len(node[1]) <= 18 else key, len(node[1]), node[2], key, 1]
     return [node[0], 1, False, False, folded([wrapper_of(k) for k in node[1]])]
 
 
@@ -284,7 +300,11 @@ def merged(a: list, b: list, pages: bool = True) -> list:
     head = [a[0], n, a[2] or b[2], a[3] or b[3]]
     if a[0] == "#":
         text = a[4] if a[4] == b[4] else None
-        return [*head, text, a[5] + b[5], a[6] + b[6]]
+        if a[7] == b[7]:
+            key, votes = a[7], a[8] + b[8] if pages else max(a[8], b[8])
+        else:  # majority vote: a text's votes never exceed the pages that have it
+            key, votes = (a[7], a[8] - b[8]) if a[8] >= b[8] else (b[7], b[8] - a[8])
+        return [*head, text, a[5] + b[5], a[6] + b[6], key, votes]
     return [*head, aligned(a[4], b[4], pages)]
 
 
@@ -317,12 +337,23 @@ def aligned(a: list, b: list, pages: bool) -> list:
     return out
 
 
+def kinds_at(label: str) -> set[str]:
+    """What the names of an element claim it to be: article, main or a named container."""
+    tag = tag_of(label)
+    kinds = {tag} & {"article", "main"}
+    if "@main" in label or re.search(r"[.#]articlebody\b", label):
+        kinds.add("main")
+    if tag in ("div", "section", "td") and MAIN_NAMES & set(name_parts(label)):
+        kinds.add("named")
+    return kinds
+
+
 def wrapper_facts(wrapper: list) -> dict:
-    """What extraction needs: texts of the template by path, and the path of the main element."""
+    """What extraction needs: texts of the template and lists of links by path, the main element, the order to look in."""
     pages = wrapper[1]
-    fixed: dict[str, str] = {}
-    slots: set[str] = set()
+    fixed: dict[str, set[str]] = {}
     linked: dict[str, list[int]] = {}  # characters, and those in links, of the doubtful elements by path
+    held = {"article": 0.0, "main": 0.0, "named": 0.0}
 
     def size_of(node: list) -> tuple[int, int]:
         if node[0] == "#":
@@ -330,42 +361,59 @@ def wrapper_facts(wrapper: list) -> dict:
         sizes = [size_of(k) for k in node[4]]
         return sum(n for n, _ in sizes), sum(n for _, n in sizes)
 
-    def walk(node: list, path: str) -> float:
-        """Weight of the varying text below, links left out."""
+    def walk(node: list, path: str, where: frozenset[str]) -> None:
         if node[0] == "#":
-            same = node[4] is not None and node[1] >= max(TEMPLATE_PAGES, pages) and not node[2]
-            if same and fixed.get(path, node[4]) == node[4] and path not in slots:
-                fixed[path] = node[4]
-            else:
-                fixed.pop(path, None)
-                slots.add(path)
-            return 0.0 if same else max(0.0, node[5] - 2.0 * node[6])
+            if is_template(node, pages):
+                fixed.setdefault(path, set()).add(node[7])
+            for kind in where:
+                held[kind] += weight_of(node, pages, where)
+            return
         inside = f"{path}/{node[0]}" if node[0] else path
-        if node[0] and kind_of(node[0], True) == "doubtful":
+        kind = kind_of(node[0], "article" in where) if node[0] else ""
+        if kind == "skipped":
+            return
+        if kind == "doubtful":
             chars, links = size_of(node)
             had = linked.setdefault(inside, [0, 0])
             had[0], had[1] = had[0] + chars, had[1] + links
-        return sum(walk(k, inside) for k in node[4])
+        where = where | kinds_at(node[0])
+        for k in node[4]:
+            walk(k, inside, where)
 
-    total = walk(wrapper, "")
+    walk(wrapper, "", frozenset())
+    total = weight_of(wrapper, pages)
     main, node = "", wrapper
     while total > 0:
-        kids = [(weight_of(k, pages), k) for k in node[4] if k[0] != "#" and not is_skipped(k[0], False)]
+        kids = [(weight_of(k, pages), k) for k in node[4] if k[0] != "#"]
         weight, kid = max(kids, key=lambda z: z[0], default=(0.0, None))
-        if kid is None or weight < 0.7 * sum(weight_of(k, pages) for k in node[4] if not is_skipped(k[0], False)):
+        if kid is None or weight <= 0 or weight < 0.7 * sum(weight_of(k, pages) for k in node[4]):
             break
         if kid[2] or tag_of(kid[0]) in ("p", "li", "tr", *HEADINGS):
             break
         main, node = f"{main}/{kid[0]}", kid
     links = {path for path, (chars, inner) in linked.items() if inner >= MOSTLY_LINKS * max(1, chars)}
-    return {"pages": pages, "fixed": fixed if slots else {}, "links": links, "main": main}
+    named = list(held)
+    trusted = [k for k in named if total > 0 and held[k] >= HELD * total]
+    if pages < TEMPLATE_PAGES or tag_of(node[0]) in ("", "html", "body"):  # the wrapper does not decide
+        order = [*named, "region", "rest"]
+    else:
+        order = [*trusted, "region", *[k for k in named if k not in trusted], "rest"]
+    return {"pages": pages, "fixed": fixed, "links": links, "main": main, "trusted": trusted, "order": order}
+
+
+def is_template(node: list, pages: int) -> bool:
+    return node[8] >= max(TEMPLATE_PAGES, TEMPLATE_VOTES * pages)
 
 
-def weight_of(node: list, pages: int) -> float:
+def weight_of(node: list, pages: int, where: frozenset[str] = frozenset()) -> float:
+    """Weight of the varying text below, links and what is never main text left out."""
     if node[0] == "#":
-        same = node[4] is not None and node[1] >= max(TEMPLATE_PAGES, pages) and not node[2]
-        return 0.0 if same else max(0.0, node[5] - 2.0 * node[6])
-    return 0.0 if is_skipped(node[0], False) else sum(weight_of(k, pages) for k in node[4])
+        share = 1.0 - node[8] / node[1] if is_template(node, pages) else 1.0
+        return share * max(0.0, node[5] - 2.0 * node[6])
+    if node[0] and is_skipped(node[0], "article" in where):
+        return 0.0
+    where = where | kinds_at(node[0])
+    return sum(weight_of(k, pages, where) for k in node[4])
 
 
 def main_text(source: str | None, facts: dict | None) -> str:
@@ -375,42 +423,45 @@ def main_text(source: str | None, facts: dict | None) -> str:
     tree = page_tree(source)
     if facts is None:
         facts = wrapper_facts(wrapper_of(tree))
-    found: dict[str, list[str]] = {"article": [], "main": [], "named": [], "region": [], "rest": []}
+    # (text, whether it is the template's, whether it is left out then)
+    found: dict[str, list[tuple[str, bool, bool]]] = {k: [] for k in facts["order"]}
     fixed, links, region = facts["fixed"], facts["links"], facts["main"]
 
+    def is_fixed(text: str, inside: str) -> bool:
+        return inside in fixed and key_of(text) in fixed[inside]
+
     def all_fixed(node: list, inside: str) -> bool:
-        return all(
-            fixed.get(inside) == k[1] if k[0] == "#" else all_fixed(k, f"{inside}/{k[0]}") for k in node[1]
-        )
+        return all(is_fixed(k[1], inside) if k[0] == "#" else all_fixed(k, f"{inside}/{k[0]}") for k in node[1])
 
-    def walk(node: list, path: str, where: frozenset[str]) -> None:
+    def walk(node: list, path: str, where: frozenset[str], boxed: bool) -> None:
         label = node[0]
-        tag = tag_of(label)
         inside = f"{path}/{label}" if label else path
         kind = kind_of(label, "article" in where) if label else ""
-        if kind == "skipped" or kind == "doubtful" and (inside in links or all_fixed(node, inside)):
+        if kind == "skipped" or kind == "doubtful" and inside in links:
             return
-        if tag in ("article", "main"):
-            where = where | {tag}
-        if "@main" in label or re.search(r"\.articlebody\b", label):
-            where = where | {"main"}
-        if tag in ("div", "section", "td") and MAIN_NAMES & set(name_parts(label)):
-            where = where | {"named"}
+        boxed = boxed or kind == "doubtful" and all_fixed(node, inside)
+        where = where | kinds_at(label)
         if region and inside == region:
             where = where | {"region"}
         for kid in node[1]:
             if kid[0] != "#":
-                walk(kid, inside, where)
-            elif tag in HEADINGS or fixed.get(inside) != kid[1]:
-                found["rest"].append(kid[1])
-                for kind in where:
-                    found[kind].append(kid[1])
-
-    walk(tree, "", frozenset())
-    for kind in ("article", "main", "named", "region", "rest"):
-        if found[kind]:
-            return "\n".join(found[kind])
-    return ""
+                walk(kid, inside, where, boxed)
+                continue
+            same = is_fixed(kid[1], inside)
+            one = (kid[1], same, same and (boxed or tag_of(label) not in HEADINGS))
+            found["rest"].append(one)
+            for kind in where:
+                found[kind].append(one)
+
+    walk(tree, "", frozenset(), False)
+    for kind in facts["order"]:
+        if not all(same for _, same, _ in found[kind]):
+            return "\n".join(text for text, _, out in found[kind] if not out)
+        if found[kind] and kind in facts["trusted"]:
+            break
+    # The page repeats what most pages of its host are: a copy, not a template without a text.
+    kind = next((k for k in facts["order"] if found[k]), "rest")
+    return "\n".join(text for text, _, _ in found[kind])
 
 
 # --- over all pages -----------------------------------------------------------

@@ -66,6 +66,39 @@ def test_sections_named_by_ordinary_words_stay():
     assert alone == want[0] + "\nRead our magazine"
 
 
+def facts_of(sources):
+    wrapper = None
+    for source in sources:
+        one = h.wrapper_of(h.page_tree(source))
+        wrapper = one if wrapper is None else h.merged(wrapper, one)
+    return h.wrapper_facts(wrapper)
+
+
+def test_wrapper_chooses_the_region_before_tags():
+    teaser = "<article><h3>Other</h3><p>Read our magazine</p></article>"
+    sources = [page(i, f'<div id="wrap"><h1>Head {i}</h1><p>{prose(60, i)}</p></div>{teaser}') for i in range(8)]
+    facts = facts_of(sources)
+    assert [h.main_text(s, facts) for s in sources] == [f"Head {i}\n{prose(60, i)}" for i in range(8)]
+
+
+def test_template_texts_of_any_length_on_nearly_all_pages():
+    consent = "We use your data. " + prose(80)
+    assert len(consent) > 200
+    sources = [page(i, f"<article><h1>Head {i}</h1><p>{prose(40, i)}</p><div>{consent}</div></article>") for i in range(20)]
+    other = page(99, f"<article><h1>Head</h1><p>{prose(40, 99)}</p><div>Something else</div></article>")
+    facts = facts_of([*sources[:9], other, *sources[9:], "<table><tr><td>another layout</table>"])
+    assert [h.main_text(s, facts) for s in sources] == [f"Head {i}\n{prose(40, i)}" for i in range(20)]
+    assert h.main_text(other, facts) == f"Head\n{prose(40, 99)}\nSomething else"
+
+
+def test_copies_of_a_page_keep_their_text():
+    same = page(1, f"<article><h1>Head</h1><p>{prose(40, 1)}</p></article>")
+    other = page(2, f"<article><h1>Another</h1><p>{prose(40, 2)}</p></article>")
+    facts = facts_of([same] * 30 + [other])
+    assert h.main_text(same, facts) == f"Head\n{prose(40, 1)}"
+    assert h.main_text(other, facts) == f"Another\n{prose(40, 2)}"
+
+
 def test_wrapper_groups():
     a = h.wrapper_of(h.page_tree("<div><h2>a</h2><p>x</p><h2>b</h2><p>y</p></div><div class=n1>same</div>"))
     b = h.wrapper_of(h.page_tree("<div><h2>c</h2><p>z</p></div><div class=n2>same</div><hr><p>new</p>"))
