@@ -926,8 +926,11 @@ SELECT 'rejected', pickup_year, pickup_month, COUNT(*) FROM rejected GROUP BY AL
 )
 
 
-def _incremental(spark, sf_dir, land_again: bool) -> DataFrame:
-    """The streaming (availableNow) job over the landed fixture, read back per month."""
+def _incremental(spark, sf_dir, land_again: bool, shift_days: int = 0) -> DataFrame:
+    """The streaming (availableNow) job over the landed fixture, read back per month.
+
+    Files are labelled ``shift_days`` before the pickups that they hold.
+    """
     import uuid
 
     from cabflow.sources.landing import land_labelled
@@ -936,7 +939,7 @@ def _incremental(spark, sf_dir, land_again: bool) -> DataFrame:
     fx = _fx(spark, sf_dir)
     out = fx.scratch(f"stream_{uuid.uuid4().hex[:10]}")
     paths = {r: os.path.join(out, r) for r in ("curated", "rejected")}
-    raw_root = _land_fixture(fx)
+    raw_root = _land_fixture(fx, shift_days)
     if land_again:
         raw_root = os.path.join(out, "raw")
         land_labelled(fx.raw, raw_root, *_label(0))
@@ -972,3 +975,9 @@ def q_incremental_tables_by_month(spark, sf_dir):
 def q_incremental_relanded_by_month(spark, sf_dir):
     """A year of months landed twice gives the same tables."""
     return _incremental(spark, sf_dir, True)
+
+
+@query("incremental_strays_by_month", _BY_MONTH_SQL)
+def q_incremental_strays_by_month(spark, sf_dir):
+    """Files labelled two to three months before their pickups give the same tables."""
+    return _incremental(spark, sf_dir, False, 75)

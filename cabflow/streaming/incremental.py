@@ -2,9 +2,11 @@
 
 Months keep landing under ``year=YYYY/month=MM``, and a month may be landed again.
 A file stream over the raw root tells which months have new files; each micro-batch
-(``foreachBatch``) rewrites the days of those months from the raw layout with the
-day overwrite of the batch job. Running a batch twice, or landing a month again,
-therefore gives the same tables, and batch runs and streaming runs can share them.
+(``foreachBatch``) rewrites the days of those months, and all other days that their
+files hold or held, from the raw layout with the day overwrite of the batch job.
+Running a batch twice, or landing a month again, therefore gives the same tables, and
+batch runs and streaming runs can share them. A file may hold pickups of any month: a
+written table of label (month of the file) and day says which files to read for a day.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cabflow import schema as S
+from cabflow.functions import trip_columns as C
 from cabflow.operators import enrich as E
 from cabflow.operators import route as R
+from cabflow.sinks.catalog import path_has_data
 from cabflow.sinks.parquet import clear_days, write_day_partitioned
 from cabflow.sources.period import Period
 from cabflow.sources.raw import read_raw_trips, read_zones
@@ -39,26 +42,51 @@ def _index(year, month):
     return year * 12 + month - 1
 
 
-def affected_trips(spark: SparkSession, raw_root: str, touched: list[int]) -> DataFrame:
-    """Raw trips of every day that files of the touched months can hold.
+def landed_labels(spark: SparkSession, raw_root: str) -> set[int]:
+    """Month indexes of the folders below the raw root: a listing, no data is read."""
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{raw_root.rstrip('/')}/year=*/month=*")
+    found = folders.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folders) or []
+    paths = [status.getPath() for status in found]
+    return {_index(*(int(x.getName().partition("=")[2]) for x in (p.getParent(), p))) for p in paths}
 
-    A file may hold rows of the neighbouring months, so the days are all days of
-    the touched months and their neighbours that the files name; each day is read
-    from the files of its own month and both neighbours. ``touched`` are month
-    indexes (year * 12 + month - 1), bounded by the files of a micro-batch.
+
+def label_days(spark: SparkSession, raw: DataFrame, raw_root: str, index_path: str, touched: list[int]) -> DataFrame:
+    """(label, day) of every file, with days that a file held before it landed again.
+
+    The pickups of the touched months, and of months not yet in the table, are read
+    and appended to it first. Rows are never taken out, so that a batch that runs
+    twice still knows the days of the first run.
+    """
+    known = set()
+    if path_has_data(spark, index_path):
+        known = {r[0] for r in spark.read.parquet(index_path).select("label").distinct().collect()}  # a row a month
+    todo = sorted(set(touched) | landed_labels(spark, raw_root) - known)
+    new = raw.filter(F.col("__label").isin(todo)).select(F.col("__label").alias("label"), F.col("__day").alias("day"))
+    new.distinct().write.mode("append").parquet(index_path)
+    return spark.read.parquet(index_path).distinct()
+
+
+def affected_trips(
+    spark: SparkSession, raw_root: str, index_path: str, touched: list[int], period: Period | None = None
+) -> tuple[DataFrame, list[dt.date]]:
+    """Raw trips of every day of the touched months or their files, and those days.
+
+    Each day is read from all files that hold it, however far their label is.
+    ``touched`` are month indexes (year * 12 + month - 1), bounded by the files of a
+    micro-batch; the days are bounded by the calendar, and by ``period`` if set.
     """
     raw = read_raw_trips(spark, raw_root)
     label = _index(F.col("year").cast("int"), F.col("month").cast("int"))
-    near = sorted({m + k for m in touched for k in (-2, -1, 0, 1, 2)})
-    raw = raw.filter(label.isin(near)).withColumn("__label", label)
-    raw = raw.withColumn("__pickup", _index(F.year(PICKUP), F.month(PICKUP)))
-    raw = raw.filter(F.abs(F.col("__label") - F.col("__pickup")) <= 1)
-    strays = raw.filter(F.col("__label").isin(touched) & ~F.col("__pickup").isin(touched))
-    days = strays.select(F.to_date(PICKUP).alias("__day")).distinct()  # two months of days a month at most
-    day = F.to_date(PICKUP)
-    mine = raw.join(F.broadcast(days), day == F.col("__day"), "left")
-    mine = mine.filter(F.col("__pickup").isin(touched) | F.col("__day").isNotNull())
-    return mine.drop("__label", "__pickup", "__day", "year", "month")
+    raw = raw.withColumns({"__label": label, "__day": F.to_date(C.coerce_timestamp(PICKUP))})
+    index = label_days(spark, raw, raw_root, index_path, touched).filter("day is not null")
+    if period:
+        index = index.filter(F.col("day").between(F.lit(period.start), F.lit(period.end)))
+    mine = F.col("label").isin(touched) | _index(F.year("day"), F.month("day")).isin(touched)
+    days = index.filter(mine).select(F.col("day").alias("__affected")).distinct()
+    holding = index.join(F.broadcast(days), F.col("day") == F.col("__affected"), "left_semi")
+    labels = [r[0] for r in holding.select("label").distinct().collect()]  # one row a month
+    trips = raw.filter(label.isin(labels)).join(F.broadcast(days), F.col("__day") == F.col("__affected"), "left_semi")
+    return trips.drop("__label", "__day", "year", "month"), [r[0] for r in days.collect()]
 
 
 def rewrite_months(
@@ -68,22 +96,26 @@ def rewrite_months(
     zones_path: str,
     curated_path: str,
     rejected_path: str,
+    index_path: str,
     period: Period | None = None,
     run_ts: dt.datetime | None = None,
 ) -> None:
-    """Rewrite both tables for the days of the touched months."""
-    trips = affected_trips(spark, raw_root, touched)
+    """Rewrite both tables for the days of the touched months and of their files."""
+    trips, days = affected_trips(spark, raw_root, index_path, touched, period)
     enriched = E.enrich(trips, read_zones(spark, zones_path), run_ts=run_ts or dt.datetime.now(dt.timezone.utc))
     scoped = R.filter_period(enriched, period) if period else enriched.filter(F.col("pickup_date").isNotNull())
+    own = {(m // 12, m % 12 + 1) for m in touched}
+    affected = {(d.year, d.month, d.day) for d in days}
+    months = sorted(own | {d[:2] for d in affected})
+    inside = lambda y, m, d: period is None or period.start <= dt.date(y, m, d) <= period.end
     for name, frame, path in (
         ("curated", R.curated(scoped), curated_path),
         ("rejected", R.rejected(scoped), rejected_path),
     ):
         written = write_day_partitioned(frame, path, name)
         keep = {(d.year, d.month, d.day) for d in written.days}
-        months = [(m // 12, m % 12 + 1) for m in touched]
-        inside = lambda y, m, d: period is None or period.start <= dt.date(y, m, d) <= period.end
-        clear_days(spark, path, months, lambda y, m, d: (y, m, d) not in keep and inside(y, m, d))
+        mine = lambda y, m, d: (y, m) in own or (y, m, d) in affected
+        clear_days(spark, path, months, lambda y, m, d: (y, m, d) not in keep and mine(y, m, d) and inside(y, m, d))
 
 
 def start_incremental(
@@ -104,12 +136,14 @@ def start_incremental(
     without it every micro-batch carries its own.
     """
 
+    index_path = os.path.join(checkpoint_root, "label_days")
+
     def process(batch: DataFrame, _batch_id: int) -> None:
         months = batch.select(F.col("year").cast("int"), F.col("month").cast("int")).distinct().collect()
         if months:  # one row per landed month
             touched = sorted(_index(r[0], r[1]) for r in months)
             rewrite_months(
-                batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, period, run_ts
+                batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, index_path, period, run_ts
             )
 
     writer = (

@@ -45,3 +45,37 @@ def test_incremental_processes_each_file_once(spark, scratch):
     ]
     days = [d for d in os.listdir(os.path.join(args["rejected_path"], "pickup_year=2025", "pickup_month=1")) if "=" in d]
     assert days == []
+
+
+def test_incremental_keeps_pickups_months_from_their_file(spark, scratch):
+    import datetime as dt
+
+    def at(*ymd):
+        return {"tpep_pickup_datetime": dt.datetime(*ymd, 9), "tpep_dropoff_datetime": dt.datetime(*ymd, 9, 20)}
+
+    def days(path):
+        rows = spark.read.parquet(path).groupBy("pickup_year", "pickup_month", "pickup_day").count().collect()
+        return sorted(tuple(r) for r in rows)
+
+    raw_root = os.path.join(scratch, "raw")
+    zones = os.path.join(scratch, "zones")
+    zones_frame(spark).coalesce(1).write.option("header", True).csv(zones)
+    args = dict(
+        raw_root=raw_root,
+        zones_path=zones,
+        curated_path=os.path.join(scratch, "curated"),
+        rejected_path=os.path.join(scratch, "rejected"),
+        checkpoint_root=os.path.join(scratch, "ckpt"),
+    )
+    # wrong clocks: the file of January holds pickups of May and of 2009
+    L.land_months({(2025, 1): raw_frame(spark, [_trip(3), at(2025, 5, 2), at(2009, 1, 1)])}, raw_root)
+    run_incremental_once(spark, **args)
+    assert days(args["curated_path"]) == [(2009, 1, 1, 1), (2025, 1, 3, 1), (2025, 5, 2, 1)]
+    # the file of May adds to the day that January's file holds too
+    L.land_months({(2025, 5): raw_frame(spark, [at(2025, 5, 2), at(2025, 5, 3)])}, raw_root)
+    run_incremental_once(spark, **args)
+    assert days(args["curated_path"]) == [(2009, 1, 1, 1), (2025, 1, 3, 1), (2025, 5, 2, 2), (2025, 5, 3, 1)]
+    # January lands again without its strays: they go, the trip of May's file stays
+    L.land_months({(2025, 1): raw_frame(spark, [_trip(3)])}, raw_root, overwrite=True)
+    run_incremental_once(spark, **args)
+    assert days(args["curated_path"]) == [(2025, 1, 3, 1), (2025, 5, 2, 1), (2025, 5, 3, 1)]
