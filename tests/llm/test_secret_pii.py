@@ -110,6 +110,41 @@ def test_added_spans_and_redaction(spark):
     assert row["n_chars"] == len(row["text"])
 
 
+def test_checks_of_accounts_and_addresses():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        account, address = pii.account_number("4929348385146306", rng), pii.colon_address(rng)
+        assert pii.iban_ok(account) and pii.GENERATORS["account"].fullmatch(account)
+        assert pii.colon_ok(address)
+        labels = [(kind, pii.verified(kind, text)) for k in (1, 2) for kind, text in pii.broken(k, ["", "1.2.3.4", CARDS[0]][k], rng)]
+        assert [v for kind, v in labels if kind in (6, 7)] == [0.0, 0.0, 0.0]
+    assert pii.iban_ok("GB82 WEST 1234 5698 7654 32") and not pii.iban_ok("GB82 WEST 1234 5698 7654 33")
+
+
+def test_accounts_and_colon_addresses_are_found(spark):
+    model = pii.fit_model(documents(spark, [(i, personal(i), "a") for i in range(600)]))
+    good = ["DE89 3704 0044 0532 0130 00", "NL91ABNA0417164300", "2001:db8:85a3::8a2e:370:7334", "2A02:0908:1111:2222:3333:4444:5555:6666"]
+    bad = ["DE89 3704 0044 0532 0130 01", "NL92ABNA0417164300", "2001:db8:85a3:8a2e:370", "12:30:45:10"]
+    for span in good + bad:
+        text = f"{prose(8, 2)} please use {span} for this, {prose(8, 3)}"
+        assert (span in [text[s:e] for s, _, e in pii.added_spans(text, pii.base_spans(text), model)]) == (span in good), span
+    text = "pay GB82 WEST 1234 5698 7654 32 ABLE"
+    assert "GB82 WEST 1234 5698 7654 32" in [text[s:e] for s, _, e in pii.added_spans(text, [], model)]
+
+
+def test_unlabelled_data_is_no_negative(spark):
+    # as many real written-out addresses and phones without + as verified ones
+    rows = [(i, f"{personal(i)} ask user.{i} (at) mail{i % 9} dot example dot com or (4{i % 10}7) 555-{2000 + i}, {prose(9, i)}", "a") for i in range(400)]
+    labels = {r[0] for _, text, _ in rows[:20] for r in pii.training_rows(text, 1) if r[1] in (4, 5)}
+    assert pii.UNLABELLED in labels
+    model = pii.fit_model(documents(spark, rows))
+    text = "please write to jane.doe (at) mail dot com or call (415) 555-2671, look at this. Then on 2024-01-15 10:30"
+    found = [text[s:e] for s, _, e in pii.added_spans(text, [], model)]
+    assert "jane.doe (at) mail dot com" in found and "(415) 555-2671" in found and len(found) == 2
+
+
 def test_pii_edges(spark):
     assert pii.redact(documents(spark)).count() == 12
     assert pii.redact(documents(spark, [])).count() == 0
