@@ -1,17 +1,16 @@
-"""Benchmark decontamination with SimHash windows, in DataFrame functions only.
+"""Benchmark decontamination by aligned windows, in DataFrame functions only.
 
-A document is searched for windows as long as a benchmark item (in words). Each
-window and item has a 64-bit SimHash of its words; the fingerprint is cut into
-``radius + 1`` blocks, so two fingerprints within ``radius`` bits agree on at
-least one block and the equi-join on blocks finds all of them. What is within the
-radius is verified exactly: the weight of the item's shingles found in the window
-over the weight of all its shingles must reach ``threshold``. A shingle weighs
-ln(1 + N / (1 + df)), df being the documents of the corpus that hold it.
+A document is searched for windows as long as a benchmark item (in words). All
+shingles of all documents are looked up in the shingles of the benchmark; each shared
+one aligns a window with its item. A window that shares no shingle with an item has
+similarity 0, so nothing that could pass is lost. Every aligned window is verified
+exactly: the weight of the item's shingles found in the window over the weight of all
+its shingles must reach ``threshold``. A shingle weighs ln(1 + N / (1 + df)), df being
+the documents of the corpus that hold it.
 
-A window that shares no shingle with an item has similarity 0, so fingerprints are
-computed only for windows aligned with a shared shingle: all shingles of all
-documents are looked up in the shingles of the benchmark first, which loses
-nothing that could pass the verification.
+The 64-bit SimHashes of a found window and its item are reported by their Hamming
+distance and decide nothing: they count all words alike, so a copy of an item's rare
+part among other boilerplate can be far away.
 
 Defined results: words are runs of letters and digits, lower-cased; a null or
 empty text has none and matches nothing; an item of fewer than ``shingle`` words
@@ -88,7 +87,6 @@ def leaks(
     bench: DataFrame,
     shingle: int = SHINGLE,
     threshold: float = THRESHOLD,
-    radius: int = RADIUS,
 ) -> DataFrame:
     """doc_id, item_id, start (word), hamming, similarity: the best window per pair."""
     items = bench.select("item_id", norm_words(F.col("text")).alias("words")).filter(F.size("words") > 0)
@@ -119,7 +117,7 @@ def leaks(
         .withColumn("w", F.log(F.lit(1.0) + F.lit(float(n_docs)) / (F.lit(1.0) + F.coalesce("df", F.lit(0)))))
         .groupBy("item_id").agg(F.collect_list(F.struct("h", "w")).alias("weights"), F.sum("w").alias("all_w"))
     )
-    known = materialized(items.join(weighted, "item_id").select("item_id", "n", "k", "print", "weights", "all_w"))
+    known = materialized(items.join(weighted, "item_id").select("item_id", "k", F.col("print").alias("b_print"), "weights", "all_w"))
 
     starts = hits.select("doc_id", "item_id", "n", F.greatest(F.col("i") - F.col("j"), F.lit(0)).alias("start")).distinct()
     ids = starts.select(F.col("doc_id").alias("__id")).distinct()
@@ -128,30 +126,18 @@ def leaks(
         starts.join(held, F.col("doc_id").eqNullSafe(F.col("__id")), "inner")
         .select("doc_id", "item_id", "n", "start", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
         .filter(F.size("words") > 0)
-        .withColumn("print", simhash(_window_hashes(F.col("words"))))
     )
-    exploded = windows.select("*", F.explode(blocks(F.col("print"), radius)).alias("block"))
-    index = known.select(
-        F.col("item_id").alias("b_item"), F.col("print").alias("b_print"), "k", "weights", "all_w",
-        F.explode(blocks(F.col("print"), radius)).alias("b_block"),
-    )
-    near = exploded.join(index, (F.col("item_id") == F.col("b_item")) & (F.col("block") == F.col("b_block")))
-    near = near.withColumn("hamming", F.bit_count(F.col("print").bitwiseXOR(F.col("b_print"))))
-    # A pair that agrees on several blocks is verified once, at the first of them.
-    agree = F.filter(
-        F.arrays_zip(blocks(F.col("print"), radius).alias("a"), blocks(F.col("b_print"), radius).alias("b")),
-        lambda z: z["a"] == z["b"],
-    )
-    near = near.filter((F.col("hamming") <= radius) & (F.col("block")["no"] == agree[0]["a"]["no"]))
+    near = windows.join(small_side(known, n_shingles), "item_id")
     in_window = F.coalesce(*[F.when(F.col("k") == k, shingle_hashes(F.col("words"), k)) for k in range(1, shingle + 1)])
     common = F.aggregate(
         "weights", F.lit(0.0), lambda acc, s: acc + F.when(F.array_contains(F.col("seen"), s["h"]), s["w"]).otherwise(0.0)
     )
     scored = near.withColumn("seen", in_window).withColumn("similarity", common / F.col("all_w"))
     best = scored.filter(F.col("similarity") >= threshold - 1e-9).groupBy("doc_id", "item_id").agg(
-        F.max_by(F.struct("start", "hamming", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
+        F.max_by(F.struct("start", "words", "b_print", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
     )
-    return best.select("doc_id", "item_id", "best.start", "best.hamming", "best.similarity")
+    hamming = F.bit_count(simhash(_window_hashes(F.col("best.words"))).bitwiseXOR(F.col("best.b_print")))
+    return best.select("doc_id", "item_id", "best.start", hamming.alias("hamming"), "best.similarity")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:

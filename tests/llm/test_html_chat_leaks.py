@@ -191,6 +191,17 @@ def test_blocks_find_all_fingerprints_in_radius(spark):
     assert df.filter(~same).count() == 0
 
 
+def test_copied_rare_part_among_other_boilerplate(spark, tmp_path):
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    items = [(i, f"{words('common', 60)} {words(f'rare{i}x', 50)}") for i in range(8)]
+    rows = [(i, words("common", 60), "a") for i in range(4000)]
+    rows += [(5000 + i, f"{words(f'other{i}y', 60)} {words(f'rare{i}x', 50)}", "a") for i in range(8)]
+    sf = write(spark, tmp_path, documents(spark, rows), benchmark=items)
+    out = d.leaks(load(spark, sf, "documents"), load(spark, sf, "benchmark")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in out} == {(5000 + i, i) for i in range(8)}
+    assert max(r["hamming"] for r in out) > d.RADIUS and min(r["similarity"] for r in out) >= 0.8
+
+
 def test_leak_edges(spark, tmp_path):
     sf = write(spark, tmp_path, documents(spark), benchmark=[(1, prose(40, 5)), (1, prose(40, 5)), (2, prose(30, 6))])
     out = d.decontaminated(load(spark, sf, "documents"), load(spark, sf, "benchmark"))
