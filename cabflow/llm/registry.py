@@ -5,6 +5,7 @@ from __future__ import annotations
 from cabflow.llm import chat_format as op9
 from cabflow.llm import decontaminate as op10
 from cabflow.llm import html_extract as op6
+from cabflow.llm import importance as op11
 from cabflow.llm import mix_sources as op5
 from cabflow.llm import near_dedup as op8
 from cabflow.llm import pii as op1
@@ -25,4 +26,5 @@ QUERIES = {
     "op8_near_dedup": (op8.op8_near_dedup, op8.OP8_SQL),
     "op9_chat_format": (op9.op9_chat_format, op9.OP9_SQL),
     "op10_decontaminate": (op10.op10_decontaminate, op10.OP10_SQL),
+    "op11_importance": (op11.op11_importance, op11.OP11_SQL),
 }
