@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from cabflow.llm import chat_format as op9
 from cabflow.llm import decontaminate as op10
+from cabflow.llm import hard_negatives as op12
 from cabflow.llm import html_extract as op6
 from cabflow.llm import importance as op11
 from cabflow.llm import mix_sources as op5
@@ -27,4 +28,5 @@ QUERIES = {
     "op9_chat_format": (op9.op9_chat_format, op9.OP9_SQL),
     "op10_decontaminate": (op10.op10_decontaminate, op10.OP10_SQL),
     "op11_importance": (op11.op11_importance, op11.OP11_SQL),
+    "op12_hard_negatives": (op12.op12_hard_negatives, op12.OP12_SQL),
 }
