@@ -12,6 +12,7 @@ from cabflow.llm import near_dedup as op8
 from cabflow.llm import pii as op1
 from cabflow.llm import quality_rules as op4
 from cabflow.llm import secret_scan as op7
+from cabflow.llm import substring_dedup as op13
 from cabflow.llm import suffix_dedup as op2
 from cabflow.llm import toxicity as op3
 
@@ -29,4 +30,5 @@ QUERIES = {
     "op10_decontaminate": (op10.op10_decontaminate, op10.OP10_SQL),
     "op11_importance": (op11.op11_importance, op11.OP11_SQL),
     "op12_hard_negatives": (op12.op12_hard_negatives, op12.OP12_SQL),
+    "op13_substring_dedup": (op13.op13_substring_dedup, op13.OP13_SQL),
 }
