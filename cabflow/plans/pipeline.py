@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +13,10 @@ from cabflow.operators import route as R
 from cabflow.plans import models as M
 from cabflow.sinks import catalog as K
 from cabflow.sinks.parquet import write_day_partitioned
-from cabflow.sources.period import Period, prune_raw_months
-from cabflow.sources.raw import read_raw_trips, read_zones
+from cabflow.sources import month_index as MI
+from cabflow.sources.landing import land_months
+from cabflow.sources.period import Period
+from cabflow.sources.raw import read_zones
 
 
 @dataclass
@@ -28,6 +30,11 @@ class PipelineConfig:
     rejected_table: str = "rejected_trips"
     run_ts: dt.datetime | None = None
     fail_on_test_error: bool = True
+    # Monthly files to land first, by (year, month); months that are there are skipped.
+    sources: dict[tuple[int, int], DataFrame | str] = field(default_factory=dict)
+    # Whether the raw trips of the period must meet the expectations before anything is written.
+    validate_raw: bool = False
+    index_path: str | None = None
 
 
 SUMMARY_SCHEMA = (
@@ -37,10 +44,16 @@ SUMMARY_SCHEMA = (
 )
 
 
-def scan_period(spark: SparkSession, raw_root: str, period: Period) -> DataFrame:
-    """Raw trips of the months near the period; partition pruning drops the rest."""
-    raw = prune_raw_months(read_raw_trips(spark, raw_root), period)
-    return raw.drop("year", "month")
+def scan_period(spark: SparkSession, raw_root: str, period: Period, index_path: str | None = None) -> DataFrame:
+    """Raw trips of every folder that holds a day of the period, however far its label is.
+
+    Other folders are neither listed nor opened; the columns are those of the whole
+    history, so that the tables do not depend on the period of a run.
+    """
+    index = MI.refresh(spark, raw_root, index_path)
+    schema = MI.merged_schema(m for m in index.values() if m.landed)
+    months = MI.holding(index, start=period.start, end=period.end)
+    return MI.read_months(spark, raw_root, months, schema).drop("year", "month")
 
 
 def _in_period(specs, period: Period):
@@ -81,13 +94,23 @@ def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name:
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Run the whole job for one period; a step that fails, fails the run.
 
+    Months given as ``sources`` are landed first. With ``validate_raw`` the expectations
+    are checked on the raw trips to be read, and a failing one stops the run before
+    anything is written.
     The model tests come last and read the staging view once; with
     ``fail_on_test_error`` (the default) a failing test raises after the tables
     are written. Returns a one-row summary built from metrics observed during the
     writes (no extra pass over the data).
     """
     run_ts = cfg.run_ts or dt.datetime.now(dt.timezone.utc)
-    raw = scan_period(spark, cfg.raw_root, cfg.period)
+    if cfg.sources:
+        land_months(cfg.sources, cfg.raw_root, index_path=cfg.index_path)
+    raw = scan_period(spark, cfg.raw_root, cfg.period, cfg.index_path)
+    if cfg.validate_raw:
+        results = Q.raw_expectations(raw)
+        if not Q.gate(results):
+            failed = [r["expectation"] for r in results.filter("NOT success").collect()]  # seven rows at most
+            raise RuntimeError(f"raw expectations failed: {failed}")
     zones = read_zones(spark, cfg.zones_path)
     enriched = E.enrich(raw, zones, run_ts=run_ts)
     routed = R.route(enriched, cfg.period)

@@ -515,6 +515,29 @@ def q_raw_month_quality(spark, sf_dir):
     )
 
 
+@query(
+    "month_index_days",
+    O.with_raw(
+        """SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(tpep_pickup_datetime AS DATE) AS day, COUNT(*) AS row_count
+FROM (SELECT *, CAST(tpep_pickup_datetime AS DATE) - 75 AS d FROM raw_trips) GROUP BY ALL"""
+    ),
+)
+def q_month_index_days(spark, sf_dir):
+    """The written month index: days and row counts of files labelled 75 days early."""
+    from cabflow.sources import month_index as MI
+
+    root = _land_fixture(_fx(spark, sf_dir), 75)
+    MI.refresh(spark, root)
+    rows = spark.read.parquet(MI.index_path(root)).select("label", F.explode("days").alias("d"))
+    return rows.select(
+        F.floor(F.col("label") / 12).cast("int").alias("year"),
+        (F.col("label") % 12 + 1).cast("int").alias("month"),
+        F.col("d.day").alias("day"),
+        F.col("d.row_count").alias("row_count"),
+    )
+
+
 _lo, _hi = NARROW_PERIOD.month_keys(1)
 
 
@@ -850,21 +873,26 @@ def q_model_test_summary(spark, sf_dir):
 # ----------------------------------------------------- sinks, catalog, job (K*)
 
 
-def _run_pipeline(spark, sf_dir) -> tuple[DataFrame, str]:
-    """Land the fixture, write the zone CSV, run the job into a fresh folder."""
+def _run_pipeline(
+    spark, sf_dir, period: P.Period = FULL_PERIOD, shift_days: int = 0, out: str | None = None
+) -> tuple[DataFrame, str]:
+    """Land the fixture, write the zone CSV, run the job into a fresh folder.
+
+    Files are labelled ``shift_days`` before the pickups that they hold.
+    """
     import uuid
 
     from cabflow.plans.pipeline import PipelineConfig, run_pipeline
 
     fx = _fx(spark, sf_dir)
     token = uuid.uuid4().hex[:10]
-    out = fx.scratch(f"run_{token}")
+    out = out or fx.scratch(f"run_{token}")
     cfg = PipelineConfig(
-        raw_root=_land_fixture(fx),
+        raw_root=_land_fixture(fx, shift_days),
         zones_path=_zones_csv(fx),
         curated_path=os.path.join(out, "curated"),
         rejected_path=os.path.join(out, "rejected"),
-        period=FULL_PERIOD,
+        period=period,
         curated_table=f"curated_trips_{token}",
         rejected_table=f"rejected_trips_{token}",
         run_ts=RUN_TS,
@@ -894,39 +922,47 @@ def q_pipeline_run(spark, sf_dir):
     return _run_pipeline(spark, sf_dir)[0]
 
 
-@query(
-    "pipeline_tables_by_month",
-    O.with_routed(
-        FULL_PERIOD,
+def _by_month_sql(period: P.Period) -> str:
+    return O.with_routed(
+        period,
         """SELECT 'curated' AS route, pickup_year, pickup_month, COUNT(*) AS trip_count FROM curated GROUP BY ALL
 UNION ALL
 SELECT 'rejected', pickup_year, pickup_month, COUNT(*) FROM rejected GROUP BY ALL""",
-    ),
-)
-def q_pipeline_tables_by_month(spark, sf_dir):
-    """Both catalog tables read back after the job (K1, K2, K5), counted per month."""
-    _, token = _run_pipeline(spark, sf_dir)
+    )
+
+
+def _by_month(frames: dict[str, DataFrame]) -> DataFrame:
     parts = [
-        spark.table(f"{route}_trips_{token}").groupBy("pickup_year", "pickup_month").agg(
-            F.count(F.lit(1)).alias("trip_count")
-        ).select(F.lit(route).alias("route"), "pickup_year", "pickup_month", "trip_count")
-        for route in ("curated", "rejected")
+        df.groupBy("pickup_year", "pickup_month")
+        .agg(F.count(F.lit(1)).alias("trip_count"))
+        .select(F.lit(route).alias("route"), "pickup_year", "pickup_month", "trip_count")
+        for route, df in frames.items()
     ]
     return parts[0].unionByName(parts[1])
 
 
-# ------------------------------------------------------------------ streaming
+def _tables(spark, token: str) -> dict[str, DataFrame]:
+    return {route: spark.table(f"{route}_trips_{token}") for route in ("curated", "rejected")}
 
 
-_BY_MONTH_SQL = O.with_routed(
-    FULL_PERIOD,
-    """SELECT 'curated' AS route, pickup_year, pickup_month, COUNT(*) AS trip_count FROM curated GROUP BY ALL
-UNION ALL
-SELECT 'rejected', pickup_year, pickup_month, COUNT(*) FROM rejected GROUP BY ALL""",
-)
+@query("pipeline_tables_by_month", _by_month_sql(FULL_PERIOD))
+def q_pipeline_tables_by_month(spark, sf_dir):
+    """Both catalog tables read back after the job (K1, K2, K5), counted per month."""
+    return _by_month(_tables(spark, _run_pipeline(spark, sf_dir)[1]))
+
+
+@query("pipeline_strays_by_month", _by_month_sql(NARROW_PERIOD))
+def q_pipeline_strays_by_month(spark, sf_dir):
+    """The job over files labelled 75 days before their pickups: no trip of the period is lost."""
+    return _by_month(_tables(spark, _run_pipeline(spark, sf_dir, NARROW_PERIOD, 75)[1]))
+
+
+# ------------------------------------------------------------------ streaming
 
 
-def _incremental(spark, sf_dir, land_again: bool, shift_days: int = 0) -> DataFrame:
+def _incremental(
+    spark, sf_dir, land_again: bool, shift_days: int = 0, period: P.Period = FULL_PERIOD, out: str | None = None
+) -> DataFrame:
     """The streaming (availableNow) job over the landed fixture, read back per month.
 
     Files are labelled ``shift_days`` before the pickups that they hold.
@@ -937,7 +973,7 @@ def _incremental(spark, sf_dir, land_again: bool, shift_days: int = 0) -> DataFr
     from cabflow.streaming.incremental import run_incremental_once
 
     fx = _fx(spark, sf_dir)
-    out = fx.scratch(f"stream_{uuid.uuid4().hex[:10]}")
+    out = out or fx.scratch(f"stream_{uuid.uuid4().hex[:10]}")
     paths = {r: os.path.join(out, r) for r in ("curated", "rejected")}
     raw_root = _land_fixture(fx, shift_days)
     if land_again:
@@ -949,35 +985,42 @@ def _incremental(spark, sf_dir, land_again: bool, shift_days: int = 0) -> DataFr
         curated_path=paths["curated"],
         rejected_path=paths["rejected"],
         checkpoint_root=os.path.join(out, "checkpoints"),
-        period=FULL_PERIOD,
+        period=period,
         run_ts=RUN_TS,
     )
     run_incremental_once(spark, **args)
     if land_again:  # 1997 arrives a second time, in new files
         land_labelled(fx.raw.filter(F.year("tpep_pickup_datetime") == 1997), raw_root, *_label(0))
         run_incremental_once(spark, **args)
-    parts = [
-        spark.read.parquet(paths[r])
-        .groupBy("pickup_year", "pickup_month")
-        .agg(F.count(F.lit(1)).alias("trip_count"))
-        .select(F.lit(r).alias("route"), "pickup_year", "pickup_month", "trip_count")
-        for r in ("curated", "rejected")
-    ]
-    return parts[0].unionByName(parts[1])
+    return _by_month({r: spark.read.parquet(p) for r, p in paths.items()})
 
 
-@query("incremental_tables_by_month", _BY_MONTH_SQL)
+@query("incremental_tables_by_month", _by_month_sql(FULL_PERIOD))
 def q_incremental_tables_by_month(spark, sf_dir):
     return _incremental(spark, sf_dir, False)
 
 
-@query("incremental_relanded_by_month", _BY_MONTH_SQL)
+@query("incremental_relanded_by_month", _by_month_sql(FULL_PERIOD))
 def q_incremental_relanded_by_month(spark, sf_dir):
     """A year of months landed twice gives the same tables."""
     return _incremental(spark, sf_dir, True)
 
 
-@query("incremental_strays_by_month", _BY_MONTH_SQL)
+@query("incremental_strays_by_month", _by_month_sql(FULL_PERIOD))
 def q_incremental_strays_by_month(spark, sf_dir):
     """Files labelled two to three months before their pickups give the same tables."""
     return _incremental(spark, sf_dir, False, 75)
+
+
+# One quarter of the fixture, in the middle of its files.
+QUARTER = P.Period.parse("01/01/1998", "31/03/1998", min_year=FIXTURE_MIN_YEAR)
+
+
+@query("pipeline_after_stream_by_month", _by_month_sql(NARROW_PERIOD))
+def q_pipeline_after_stream_by_month(spark, sf_dir):
+    """A batch run over a quarter of what the stream wrote: both read strays by one index."""
+    import uuid
+
+    out = _fx(spark, sf_dir).scratch(f"both_{uuid.uuid4().hex[:10]}")
+    _incremental(spark, sf_dir, False, 75, NARROW_PERIOD, out)
+    return _by_month(_tables(spark, _run_pipeline(spark, sf_dir, QUARTER, 75, out)[1]))

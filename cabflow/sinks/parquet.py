@@ -18,6 +18,7 @@ from cabflow import schema as S
 class WriteResult:
     rows: int
     days: list[dt.date] = field(default_factory=list)
+    undated: int = 0  # rows without a day
 
 
 def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> WriteResult:
@@ -30,7 +31,11 @@ def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> Writ
     itself: no second pass. The day set is bounded by the days of the
     processing period.
     """
-    metrics = [F.count(F.lit(1)).alias("rows"), F.collect_set("pickup_date").alias("days")]
+    metrics = [
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set("pickup_date").alias("days"),
+        F.count_if(F.col("pickup_date").isNull()).alias("undated"),
+    ]
     obs = Observation(f"{name}_{uuid.uuid4().hex}")  # names must not repeat in a session
     observed = df.observe(obs, *metrics)
     (
@@ -46,7 +51,13 @@ def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> Writ
         # AQE replaces a plan it proves empty, and the observation goes with it:
         # there is nothing to read but the metrics of (almost always) no rows.
         got = df.agg(*metrics).first().asDict()
-    return WriteResult(int(got.get("rows") or 0), sorted(got.get("days") or []))
+    return WriteResult(int(got.get("rows") or 0), sorted(got.get("days") or []), int(got.get("undated") or 0))
+
+
+def clear_undated(spark: SparkSession, path: str) -> None:
+    """Delete the folder of rows without a day."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{S.DAY_PARTITION[0]}=__HIVE_DEFAULT_PARTITION__")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def clear_days(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabflow import schema as S
+from cabflow.sources import month_index as MI
 
 # A lookup side is broadcast only below both bounds; beyond them the join is
 # left to the planner (sort-merge, or AQE's runtime broadcast when the
@@ -15,13 +16,14 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def read_raw_trips(spark: SparkSession, root: str) -> DataFrame:
-    """Scan ``root`` with Hive-style discovery of ``year=YYYY/month=MM``.
+def read_raw_trips(spark: SparkSession, root: str, index_path: str | None = None) -> DataFrame:
+    """Scan all of ``root`` (``year=YYYY/month=MM``) with its ``year`` and ``month``.
 
-    The schemas of all months are merged, so a column that only some months have
-    is NULL in the others instead of depending on the file that is looked at.
+    The schema is merged from those stored in the month index, so a column that only
+    some months have is NULL in the others and only footers of new files are opened.
     """
-    return spark.read.option("basePath", root).option("mergeSchema", True).parquet(root)
+    index = MI.refresh(spark, root, index_path)
+    return MI.read_months(spark, root, index.values())
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:

@@ -5,8 +5,9 @@ A file stream over the raw root tells which months have new files; each micro-ba
 (``foreachBatch``) rewrites the days of those months, and all other days that their
 files hold or held, from the raw layout with the day overwrite of the batch job.
 Running a batch twice, or landing a month again, therefore gives the same tables, and
-batch runs and streaming runs can share them. A file may hold pickups of any month: a
-written table of label (month of the file) and day says which files to read for a day.
+batch runs and streaming runs can share them. A file may hold pickups of any month: the
+month index that batch runs use too says which folders to read for a day, and which days
+a folder held before it landed again.
 """
 
 from __future__ import annotations
@@ -18,75 +19,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cabflow.functions import trip_columns as C
 from cabflow.operators import enrich as E
 from cabflow.operators import route as R
-from cabflow.sinks.catalog import path_has_data
-from cabflow.sinks.parquet import clear_days, write_day_partitioned
+from cabflow.sinks.parquet import clear_days, clear_undated, write_day_partitioned
+from cabflow.sources import month_index as MI
 from cabflow.sources.period import Period
-from cabflow.sources.raw import read_raw_trips, read_zones
-
-PICKUP = "tpep_pickup_datetime"
+from cabflow.sources.raw import read_zones
 
 
 def raw_stream(spark: SparkSession, raw_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of the raw layout; only its year and month are used."""
-    schema = read_raw_trips(spark, raw_root).schema
-    reader = spark.readStream.schema(schema).option("basePath", raw_root)
+    """Streaming scan of the raw layout; only the year and month of the folders are read."""
+    reader = spark.readStream.schema("year int, month int").option("basePath", raw_root)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(raw_root).select("year", "month")
 
 
-def _index(year, month):
-    return year * 12 + month - 1
-
-
-def landed_labels(spark: SparkSession, raw_root: str) -> set[int]:
-    """Month indexes of the folders below the raw root: a listing, no data is read."""
-    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{raw_root.rstrip('/')}/year=*/month=*")
-    found = folders.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folders) or []
-    paths = [status.getPath() for status in found]
-    return {_index(*(int(x.getName().partition("=")[2]) for x in (p.getParent(), p))) for p in paths}
-
-
-def label_days(spark: SparkSession, raw: DataFrame, raw_root: str, index_path: str, touched: list[int]) -> DataFrame:
-    """(label, day) of every file, with days that a file held before it landed again.
+def affected_days(index: dict[int, MI.Month], touched: list[int], period: Period | None) -> set[dt.date | None]:
+    """Days of the touched months, and days that their folders hold or ever held.
 
-    The pickups of the touched months, and of months not yet in the table, are read
-    and appended to it first. Rows are never taken out, so that a batch that runs
-    twice still knows the days of the first run.
+    None stands for trips without a pickup time, which no period covers.
     """
-    known = set()
-    if path_has_data(spark, index_path):
-        known = {r[0] for r in spark.read.parquet(index_path).select("label").distinct().collect()}  # a row a month
-    todo = sorted(set(touched) | landed_labels(spark, raw_root) - known)
-    new = raw.filter(F.col("__label").isin(todo)).select(F.col("__label").alias("label"), F.col("__day").alias("day"))
-    new.distinct().write.mode("append").parquet(index_path)
-    return spark.read.parquet(index_path).distinct()
+    mine = [index[k] for k in touched if k in index]
+    days = {d for m in mine for d in (*m.days, *m.past)}
+    days |= {d for m in index.values() for d in m.days if d and MI.label_of(d.year, d.month) in touched}
+    if period:
+        return {d for d in days if d and period.start <= d <= period.end}
+    return days | {None}
 
 
 def affected_trips(
-    spark: SparkSession, raw_root: str, index_path: str, touched: list[int], period: Period | None = None
-) -> tuple[DataFrame, list[dt.date]]:
+    spark: SparkSession, raw_root: str, touched: list[int], period: Period | None = None, index_path: str | None = None
+) -> tuple[DataFrame, set[dt.date | None]]:
     """Raw trips of every day of the touched months or their files, and those days.
 
-    Each day is read from all files that hold it, however far their label is.
-    ``touched`` are month indexes (year * 12 + month - 1), bounded by the files of a
-    micro-batch; the days are bounded by the calendar, and by ``period`` if set.
+    Each day is read from all folders that hold it, however far their label is.
+    ``touched`` are month labels, bounded by the files of a micro-batch; the days are
+    bounded by the calendar, and by ``period`` if set.
     """
-    raw = read_raw_trips(spark, raw_root)
-    label = _index(F.col("year").cast("int"), F.col("month").cast("int"))
-    raw = raw.withColumns({"__label": label, "__day": F.to_date(C.coerce_timestamp(PICKUP))})
-    index = label_days(spark, raw, raw_root, index_path, touched).filter("day is not null")
-    if period:
-        index = index.filter(F.col("day").between(F.lit(period.start), F.lit(period.end)))
-    mine = F.col("label").isin(touched) | _index(F.year("day"), F.month("day")).isin(touched)
-    days = index.filter(mine).select(F.col("day").alias("__affected")).distinct()
-    holding = index.join(F.broadcast(days), F.col("day") == F.col("__affected"), "left_semi")
-    labels = [r[0] for r in holding.select("label").distinct().collect()]  # one row a month
-    trips = raw.filter(label.isin(labels)).join(F.broadcast(days), F.col("__day") == F.col("__affected"), "left_semi")
-    return trips.drop("__label", "__day", "year", "month"), [r[0] for r in days.collect()]
+    index = MI.refresh(spark, raw_root, index_path)
+    days = affected_days(index, touched, period)
+    schema = MI.merged_schema(m for m in index.values() if m.landed)
+    raw = MI.read_months(spark, raw_root, MI.holding(index, days), schema)
+    trips = MI.on_days(raw, days - {None})
+    if None in days:
+        undated = MI.read_months(spark, raw_root, MI.holding(index, {None}), schema)
+        trips = trips.unionByName(undated.filter(MI.pickup_time(undated).isNull()))
+    return trips.drop("year", "month"), days
 
 
 def rewrite_months(
@@ -96,16 +75,20 @@ def rewrite_months(
     zones_path: str,
     curated_path: str,
     rejected_path: str,
-    index_path: str,
     period: Period | None = None,
     run_ts: dt.datetime | None = None,
+    index_path: str | None = None,
 ) -> None:
-    """Rewrite both tables for the days of the touched months and of their files."""
-    trips, days = affected_trips(spark, raw_root, index_path, touched, period)
+    """Rewrite both tables for the days of the touched months and of their files.
+
+    Without a period every trip is routed: those without a pickup time have a NULL flag
+    and go to rejected, below the default folder of a NULL day.
+    """
+    trips, days = affected_trips(spark, raw_root, touched, period, index_path)
     enriched = E.enrich(trips, read_zones(spark, zones_path), run_ts=run_ts or dt.datetime.now(dt.timezone.utc))
-    scoped = R.filter_period(enriched, period) if period else enriched.filter(F.col("pickup_date").isNotNull())
+    scoped = R.filter_period(enriched, period) if period else enriched
     own = {(m // 12, m % 12 + 1) for m in touched}
-    affected = {(d.year, d.month, d.day) for d in days}
+    affected = {(d.year, d.month, d.day) for d in days if d}
     months = sorted(own | {d[:2] for d in affected})
     inside = lambda y, m, d: period is None or period.start <= dt.date(y, m, d) <= period.end
     for name, frame, path in (
@@ -116,6 +99,8 @@ def rewrite_months(
         keep = {(d.year, d.month, d.day) for d in written.days}
         mine = lambda y, m, d: (y, m) in own or (y, m, d) in affected
         clear_days(spark, path, months, lambda y, m, d: (y, m, d) not in keep and mine(y, m, d) and inside(y, m, d))
+        if None in days and not written.undated:
+            clear_undated(spark, path)
 
 
 def start_incremental(
@@ -128,6 +113,7 @@ def start_incremental(
     period: Period | None = None,
     run_ts: dt.datetime | None = None,
     available_now: bool = True,
+    index_path: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; ``checkpoint_root`` must be on storage shared by the cluster.
 
@@ -136,14 +122,12 @@ def start_incremental(
     without it every micro-batch carries its own.
     """
 
-    index_path = os.path.join(checkpoint_root, "label_days")
-
     def process(batch: DataFrame, _batch_id: int) -> None:
         months = batch.select(F.col("year").cast("int"), F.col("month").cast("int")).distinct().collect()
         if months:  # one row per landed month
-            touched = sorted(_index(r[0], r[1]) for r in months)
+            touched = sorted(MI.label_of(r[0], r[1]) for r in months)
             rewrite_months(
-                batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, index_path, period, run_ts
+                batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, period, run_ts, index_path
             )
 
     writer = (
