@@ -1,25 +1,31 @@
 """Inspector: schema listing, head, null counts and numeric statistics.
 
-Numeric statistics are exact. Moments come from one grouped aggregation over
-the long (column, value) form. Quartiles use a distributed rank search: the
-values are first reduced to distinct (column, value, count) rows, range
-partitioned, and ranked with running sums inside each range partition plus a
-per-partition offset, so no task ever holds all values of a column and a
-value repeated a billion times is one row.
+Numeric statistics are exact. Moments come from one wide aggregation. Quartiles are
+selected by refinement: mergeable quantile sketches, taken in the same pass, give a
+narrow bracket around each target rank; one more pass counts what lies below the
+brackets and keeps only the values inside. No other value is shuffled, and a value that
+stands a billion times is one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import math
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cabflow.operators.profile import null_counts
-from cabflow.session import shared_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 STAT_DIGITS = 6
-ROWS_PER_RANGE = 1_000_000
+# A sketch's rank error is one part in ACCURACY; a bracket reaches this many errors each way.
+ACCURACY = 10_000
+MARGIN = 2.0
+# Brackets that hold more values than this are narrowed by a further sketch first.
+KEPT = 200_000
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -47,10 +53,181 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
 
 
-def _long_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = wide.unpivot([], columns, "column_name", "value")
-    return long.filter(F.col("value").isNotNull())
+@dataclass
+class Bracket:
+    """Values of a column among which the ranks around ``prob`` are looked for.
+
+    ``count`` is the column's number of values (NaN apart), ``below`` of those under
+    ``low``, ``inside`` of those from ``low`` to ``high``.
+    """
+
+    column: str
+    prob: float
+    count: int
+    nans: int
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+    inside: int = 0
+    margin: float = MARGIN
+
+    @property
+    def place(self) -> float:
+        return self.prob * (self.count + self.nans - 1)
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        """The ranks that are interpolated, those of NaN (the largest) left out."""
+        last = max(self.count - 1, 0)
+        return min(math.floor(self.place), last), min(math.ceil(self.place), last)
+
+    @property
+    def found(self) -> bool:
+        first, last = self.ranks
+        return self.below <= first and last < self.below + self.inside
+
+    def whole(self) -> None:
+        self.low, self.high, self.below, self.inside = -math.inf, math.inf, 0, self.count
+
+
+def _number(name: str) -> Column:
+    return F.col(f"`{name}`").cast("double")
+
+
+def _real(name: str) -> Column:
+    """The column as double; NULL for NaN."""
+    return F.nanvl(_number(name), F.lit(None).cast("double"))
+
+
+def _sketch(value: Column, low: float, high: float) -> Column:
+    """Values near two relative ranks; a rank of 0 or 1 is the extreme itself."""
+    return F.percentile_approx(value, [min(max(low, 0.0), 1.0), min(max(high, 0.0), 1.0)], ACCURACY)
+
+
+def _within(b: Bracket) -> Column:
+    return _real(b.column).between(b.low, b.high)
+
+
+def _narrow(df: DataFrame, brackets: list[Bracket]) -> None:
+    """One sketch of each bracket's values, and one count of what its new bounds hold."""
+    aims = []
+    for i, b in enumerate(brackets):
+        first, last = ((r - b.below) / max(b.inside, 1) for r in b.ranks)
+        error = b.margin / ACCURACY
+        aims.append(_sketch(F.when(_within(b), _real(b.column)), first - error, last + error).alias(f"b{i}"))
+    row = df.agg(*aims).first()
+    before = [(b.below, b.inside) for b in brackets]
+    for i, b in enumerate(brackets):
+        b.low, b.high = row[f"b{i}"]
+    row = df.agg(
+        *[F.count_if(_real(b.column) < b.low).alias(f"l{i}") for i, b in enumerate(brackets)],
+        *[F.count_if(_within(b)).alias(f"i{i}") for i, b in enumerate(brackets)],
+    ).first()
+    for i, (b, (_, inside)) in enumerate(zip(brackets, before)):
+        b.below, b.inside = row[f"l{i}"], row[f"i{i}"]
+        if not b.found or (b.inside == inside and b.low < b.high):
+            b.margin = 8 * b.margin + 1
+            b.whole()
+
+
+def _intervals(brackets: list[Bracket]) -> list[tuple[float, float]]:
+    """The brackets of one column, overlapping ones as one."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted((b.low, b.high) for b in brackets):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _kept_values(df: DataFrame, intervals: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """column_name, part, value, n: values inside the intervals counted one by one, the others together.
+
+    Odd parts are the intervals, even ones what lies before, between and after them.
+    """
+    kind = "struct<column_name: string, part: int, value: double>"
+    entries = []
+    for name, spans in intervals.items():
+        v = _real(name)
+        part = F.lit(2 * len(spans))
+        for i, (low, high) in reversed(list(enumerate(spans))):
+            part = F.when(v < low, 2 * i).when(v <= high, 2 * i + 1).otherwise(part)
+        inside = reduce(lambda a, b: a | b, [v.between(low, high) for low, high in spans])
+        entry = F.struct(F.lit(name), F.when(v.isNotNull(), part), F.when(inside, v))
+        entries.append(entry.cast(kind))
+    rows = df.select(F.inline(F.array(*entries))).filter(F.col("part").isNotNull())
+    return rows.groupBy("column_name", "part", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _select(df: DataFrame, brackets: list[Bracket]) -> dict[tuple[str, float], tuple]:
+    """(value at the first rank, at the last) of each bracket; None where a rank lies outside."""
+    by_column: dict[str, list[Bracket]] = {}
+    for b in brackets:
+        by_column.setdefault(b.column, []).append(b)
+    kept = _kept_values(df, {c: _intervals(bs) for c, bs in by_column.items()})
+    order = Window.partitionBy("column_name").orderBy("part", "value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = kept.withColumn("upto", F.sum("n").over(order))  # few values a column, by KEPT
+    wanted = df.sparkSession.createDataFrame(
+        [(b.column, b.prob, r) for b in brackets for r in b.ranks], "column_name string, prob double, rank long"
+    ).distinct()
+    hit = (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+    found = ranked.join(F.broadcast(wanted), "column_name").filter(hit)
+    at = {(r["column_name"], r["prob"], r["rank"]): r["value"] for r in found.collect()}  # two rows a bracket
+    return {(b.column, b.prob): tuple(at.get((b.column, b.prob, r)) for r in b.ranks) for b in brackets}
+
+
+def _refined(df: DataFrame, brackets: list[Bracket]) -> dict[tuple[str, float], float]:
+    """The interpolated value of each bracket."""
+    out: dict[tuple[str, float], float] = {}
+    todo = [b for b in brackets if b.count]
+    for b in brackets:
+        if not b.count and b.nans:
+            out[b.column, b.prob] = math.nan
+    while todo:
+        while wide := [b for b in todo if b.inside > KEPT and b.low < b.high and b.margin < ACCURACY]:
+            _narrow(df, wide)
+        values = _select(df, todo)
+        again = []
+        for b in todo:
+            low, high = values[b.column, b.prob]
+            if low is None or high is None:  # the sketch was further off than it says
+                b.margin = 8 * b.margin + 1
+                b.whole()
+                again.append(b)
+                continue
+            part = b.place - math.floor(b.place)
+            if math.floor(b.place) >= b.count or (part and math.ceil(b.place) >= b.count):
+                out[b.column, b.prob] = math.nan
+            else:
+                out[b.column, b.prob] = low + part * (high - low)
+        todo = again
+    return out
+
+
+def _first_sketches(columns: list[str], probs) -> list[Column]:
+    """Sketches and counts of whole columns, to be taken with other aggregates in one pass."""
+    out = []
+    for i, c in enumerate(columns):
+        out += [F.count(_real(c)).alias(f"real_{i}"), F.count(_number(c)).alias(f"all_{i}")]
+        for j, p in enumerate(probs):
+            error = MARGIN / ACCURACY
+            out.append(_sketch(_real(c), p - error, p + error).alias(f"near_{i}_{j}"))
+    return out
+
+
+def _brackets(row, columns: list[str], probs) -> list[Bracket]:
+    out = []
+    for i, c in enumerate(columns):
+        count, nans = row[f"real_{i}"], row[f"all_{i}"] - row[f"real_{i}"]
+        for j, p in enumerate(probs):
+            b = Bracket(c, p, count, nans)
+            b.whole()
+            if count and count * (4 * MARGIN + 1) <= KEPT * ACCURACY and not nans:
+                b.low, b.high = row[f"near_{i}_{j}"]  # few enough values inside to keep them
+                b.inside = min(count, KEPT)
+            out.append(b)
+    return out
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataFrame:
@@ -59,90 +236,22 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
     For n non-null values and probability p the position is p*(n-1); the
     result interpolates the values at its floor and ceiling ranks.
     """
-    spark = df.sparkSession
-    shared_dir(spark)  # checkpoint() needs the shared folder registered
-    distinct = (
-        _long_values(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    # Materialize the range partition assignment once so retries and the
-    # two uses below see the same partition ids. Its width follows the data.
-    distinct = distinct.checkpoint(eager=True)
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-distinct.count() // ROWS_PER_RANGE))
-    ranged = (
-        distinct.repartitionByRange(parts, "column_name", "value")
-        .withColumn("pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    # Small table: one row per (column, range partition).
-    per_part = ranged.groupBy("column_name", "pid").agg(F.sum("cnt").alias("part_cnt"))
-    w_off = Window.partitionBy("column_name").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "column_name",
-        "pid",
-        "part_cnt",
-        F.coalesce(F.sum("part_cnt").over(w_off), F.lit(0)).alias("offset"),
-        F.sum("part_cnt").over(Window.partitionBy("column_name")).alias("n"),
-    )
-    # Only range partitions that hold a target rank (six a column at most) are ranked inside.
-    upto = F.col("offset") + F.col("part_cnt")
-    holds = F.lit(False)
-    for p in probs:
-        for k in (F.floor(F.lit(float(p)) * (F.col("n") - 1)), F.ceil(F.lit(float(p)) * (F.col("n") - 1))):
-            holds = holds | ((k >= F.col("offset")) & (k < upto))
-    w_run = Window.partitionBy("column_name", "pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.join(F.broadcast(offsets.filter(holds).drop("part_cnt")), ["column_name", "pid"]).select(
-        "column_name",
-        "value",
-        "n",
-        (F.col("offset") + F.sum("cnt").over(w_run)).alias("cum_end"),
-        "cnt",
-    )
-    ranked = ranked.withColumn("cum_start", F.col("cum_end") - F.col("cnt"))
-    # Target ranks per column and probability (0-based): floor and ceil of p*(n-1).
-    targets = (
-        offsets.select("column_name", "n")
-        .distinct()
-        .select(
-            "column_name",
-            "n",
-            F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"),
-        )
-        .withColumn("pos", F.col("prob") * (F.col("n") - 1))
-        .withColumn("k_lo", F.floor("pos"))
-        .withColumn("k_hi", F.ceil("pos"))
-    )
-    picks = ranked.join(
-        F.broadcast(targets.drop("n")),
-        (ranked["column_name"] == targets["column_name"])
-        & (
-            ((F.col("k_lo") >= F.col("cum_start")) & (F.col("k_lo") < F.col("cum_end")))
-            | ((F.col("k_hi") >= F.col("cum_start")) & (F.col("k_hi") < F.col("cum_end")))
-        ),
-    ).select(
-        ranked["column_name"],
-        "prob",
-        "pos",
-        "k_lo",
-        F.when((F.col("k_lo") >= F.col("cum_start")) & (F.col("k_lo") < F.col("cum_end")), F.col("value")).alias("v_lo"),
-        F.when((F.col("k_hi") >= F.col("cum_start")) & (F.col("k_hi") < F.col("cum_end")), F.col("value")).alias("v_hi"),
-    )
-    return picks.groupBy("column_name", "prob").agg(
-        (F.max("v_lo") + (F.first("pos") - F.first("k_lo")) * (F.max("v_hi") - F.max("v_lo"))).alias("value")
-    )
+    row = df.agg(*_first_sketches(columns, probs)).first()
+    found = _refined(df, _brackets(row, columns, probs))
+    rows = [(c, float(p), v) for (c, p), v in found.items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, prob double, value double")
 
 
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUARTILES) -> DataFrame:
     """Per numeric column: count, mean, std, min, 25/50/75 %, max (exact).
 
-    Moments come from one wide aggregation over the rows (partial + final,
-    one result row), reshaped to one row per column afterwards; only the
-    quartiles need the long (column, value) form.
+    Two passes over the rows: moments and sketches, then what the brackets hold.
     """
     columns = columns or numeric_columns(df)
     stats = ("count", "mean", "std", "min", "max")
     aggs = []
     for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
+        v = _number(c)
         aggs += [
             F.count(v).alias(f"count_{i}"),
             F.round(F.avg(v), STAT_DIGITS).alias(f"mean_{i}"),
@@ -150,19 +259,14 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUART
             F.min(v).alias(f"min_{i}"),
             F.max(v).alias(f"max_{i}"),
         ]
-    wide = df.agg(*aggs)
-    per_column = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), *[F.col(f"{s}_{i}").alias(s) for s in stats])
-            for i, c in enumerate(columns)
-        ]
-    )
-    moments = wide.select(F.inline(per_column))
-    q = exact_quantiles(df, columns, probs)
-    names = {p: f"p{int(round(p * 100))}" for p in probs}
-    wide_q = q.groupBy("column_name").agg(
-        *[F.round(F.max(F.when(F.col("prob") == p, F.col("value"))), STAT_DIGITS).alias(names[p]) for p in probs]
-    )
-    return moments.join(wide_q, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", *[names[p] for p in probs], "max"
+    row = df.agg(*aggs, *_first_sketches(columns, probs)).first()
+    found = _refined(df, _brackets(row, columns, probs))
+    names = [f"p{int(round(p * 100))}" for p in probs]
+    rows = [
+        (c, *[row[f"{s}_{i}"] for s in stats], *[found.get((c, p)) for p in probs]) for i, c in enumerate(columns)
+    ]
+    kinds = ", ".join(f"`{n}` double" for n in (*stats[1:], *names))
+    out = df.sparkSession.createDataFrame(rows, f"column_name string, count long, {kinds}")
+    return out.select(
+        "column_name", "count", "mean", "std", "min", *[F.round(n, STAT_DIGITS).alias(n) for n in names], "max"
     )

@@ -92,36 +92,47 @@ def null_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(columns) -> Column:
-    """160 bits of the whole row (NULL-aware): two 64-bit hashes and one of 32."""
-    cols = [F.col(c) for c in columns]
-    return F.struct(F.xxhash64(*cols).alias("h1"), F.hash(*cols).alias("h2"), F.xxhash64(F.lit("salt"), *cols).alias("h3"))
+def _fingerprint(columns) -> dict[str, Column]:
+    """What stands for a row: two 64-bit hashes, one of 32, and which columns are NULL.
 
-
-# Repeated fingerprints are broadcast up to this counted number (28 bytes each).
-MAX_REPEATED = 500_000
+    The hashes pass over NULLs, so (1, NULL) and (NULL, 1) differ by the last only.
+    """
+    cols = [F.col(f"`{c}`") for c in columns]
+    nulls = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+    return {"h1": F.xxhash64(*cols), "h2": F.hash(*cols), "h3": F.xxhash64(F.lit("salt"), *cols), "h4": F.xxhash64(nulls)}
 
 
-def duplicate_rows(raw: DataFrame, max_repeated: int = MAX_REPEATED) -> DataFrame:
+def duplicate_rows(raw: DataFrame) -> DataFrame:
     """One row: rows that repeat an earlier identical row (all columns).
 
-    The fingerprints are counted first and the repeated ones kept in the shared
-    folder. Few of them are broadcast, so only rows that may repeat are grouped;
-    if there are more, all rows are grouped. Either way equal rows are counted in
-    each task before the shuffle, so a row copied a billion times is one row per
-    task, and the answer is exact even if different rows share a fingerprint.
+    Rows are counted by fingerprint: equal ones in each task first, so that a row copied
+    a billion times is one row a task, and only fingerprints and counts are shuffled,
+    also where every row repeats. A further hash, over the columns in reverse, is
+    carried along as least and greatest value; fingerprints for which these differ
+    belong to different rows, and only their rows are grouped by all columns.
     """
     cols = raw.columns
     shared_dir(raw.sparkSession)  # checkpoint() needs the shared folder registered
-    keyed = raw.withColumn("__fp", _fingerprint(cols))
-    repeated = keyed.groupBy("__fp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("__fp")
-    repeated = repeated.checkpoint(eager=True)
-    if repeated.count() <= max_repeated:
-        rows = keyed.join(F.broadcast(repeated), "__fp", "left_semi").select(*cols)
-    else:
-        rows = raw
-    groups = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
+    prints = _fingerprint(cols)
+    witness = F.xxhash64(F.lit("witness"), *[F.col(f"`{c}`") for c in reversed(cols)])
+    groups = (
+        raw.select(*[c.alias(n) for n, c in prints.items()], witness.alias("w"))
+        .groupBy(*prints)
+        .agg(F.count(F.lit(1)).alias("n"), F.min("w").alias("low"), F.max("w").alias("high"))
+        .filter("n > 1")
+    )
+    split = F.col("low") != F.col("high")
+    totals = groups.agg(
+        F.coalesce(F.sum(F.when(~split, F.col("n") - 1)), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+        F.count_if(split).alias("shared"),
+    ).checkpoint(eager=True)  # one row
+    if not totals.first()["shared"]:
+        return totals.select("duplicate_rows")
+    shared = groups.filter(split).select(*[F.col(n).alias(f"__{n}") for n in prints])
+    same = [c == F.col(f"__{n}") for n, c in prints.items()]
+    rows = raw.join(shared, same, "left_semi").groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("n"))
+    rest = rows.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("more"))
+    return totals.join(rest).select((F.col("duplicate_rows") + F.col("more")).alias("duplicate_rows"))
 
 
 def missing_required_columns(raw: DataFrame) -> list[str]:

@@ -56,21 +56,33 @@ def test_coverage_range_reaches_the_scan(spark, scratch):
     assert ">= 2025-03-01 00:00:00" in plan and "< 2025-05-01 00:00:00" in plan
 
 
-def test_duplicates_count_before_any_whole_row_shuffle(spark):
-    from cabflow.operators.profile import duplicate_rows
+def test_duplicates_shuffle_fingerprints_only(spark, monkeypatch):
+    from cabflow.operators import profile as PR
     from tests.test_enrich import raw_frame
 
     raw = raw_frame(spark, [{"VendorID": i % 3} for i in range(12)] + [{"VendorID": 50 + i} for i in range(4)])
-    assert duplicate_rows(raw).first()[0] == 9
-    assert duplicate_rows(raw, max_repeated=0).first()[0] == 9
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for plan in (plan_of(duplicate_rows(raw)), plan_of(duplicate_rows(raw, max_repeated=0))):
-            assert "SortMergeJoin" not in plan
-            whole = [line for line in plan.splitlines() if "Exchange hashpartitioning(VendorID" in line]
-            assert len(whole) == 1  # rows are counted in each task first
-            below = plan.splitlines()[plan.splitlines().index(whole[0]) + 1]
-            assert "partial_count" in below
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    groups = []
+    done = type(raw).checkpoint
+    monkeypatch.setattr(type(raw), "checkpoint", lambda self, *a, **k: groups.append(self) or done(self, *a, **k))
+    for rows, repeats in ((raw, 9), (raw.unionByName(raw), 25)):  # also where every month landed twice
+        assert PR.duplicate_rows(rows).first()[0] == repeats
+        plan = plan_of(groups[-1]).split("== Initial Plan ==")[0]
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+        assert len(exchanges) == 1 and "VendorID" not in exchanges[0]
+        below = plan.splitlines()[plan.splitlines().index(exchanges[0]) + 1]
+        assert "partial_count" in below  # equal rows are counted in each task first
+
+
+def test_duplicates_stay_exact_when_fingerprints_collide(spark, monkeypatch):
+    from cabflow.operators import profile as PR
+    from tests.test_enrich import raw_frame
+
+    same = [{"fare_amount": 1.0, "extra": None}] * 2 + [{"fare_amount": None, "extra": 1.0}] * 3
+    assert PR.duplicate_rows(raw_frame(spark, same)).first()[0] == 3  # NULLs change places
+    honest = PR._fingerprint
+    one = lambda cols: {n: c * 0 for n, c in honest(cols).items()}
+    monkeypatch.setattr(PR, "_fingerprint", one)
+    raw = raw_frame(spark, [{"VendorID": i % 3} for i in range(12)] + [{"VendorID": 50 + i} for i in range(4)])
+    assert PR.duplicate_rows(raw).first()[0] == 9
+    assert PR.duplicate_rows(raw_frame(spark, [{}])).first()[0] == 0
+    assert PR.duplicate_rows(raw_frame(spark, [{}]).limit(0)).first()[0] == 0

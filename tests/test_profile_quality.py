@@ -77,6 +77,53 @@ def test_exact_quantiles_match_numpy_with_hot_values(spark):
             assert got[(col, p)] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("kept, margin, accuracy", [(200_000, 2.0, 10_000), (40, 2.0, 100), (40, 0.0, 20)])
+def test_quantiles_are_exact_however_often_they_are_refined(spark, monkeypatch, kept, margin, accuracy):
+    """Narrow brackets, brackets that need a further sketch, and sketches that miss the rank."""
+    monkeypatch.setattr(I, "KEPT", kept)
+    monkeypatch.setattr(I, "MARGIN", margin)
+    monkeypatch.setattr(I, "ACCURACY", accuracy)
+    rng = np.random.default_rng(11)
+    n = 4000
+    pdf = pd.DataFrame(
+        {
+            "wide": rng.normal(0, 1e6, n),
+            "hot": np.where(rng.random(n) < 0.9, 0.0, rng.random(n)),
+            "one": np.full(n, 7.0),
+            "few": rng.integers(0, 4, n).astype(float),
+        }
+    )
+    df = spark.createDataFrame(pdf).repartition(7)
+    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 1.0)
+    found = {(r["column_name"], r["prob"]): r["value"] for r in I.exact_quantiles(df, list(pdf.columns), probs).collect()}
+    for col in pdf.columns:
+        for p in probs:
+            assert found[col, p] == pytest.approx(np.quantile(pdf[col], p), rel=1e-12, abs=1e-12)
+
+
+def test_quantiles_of_nan_null_and_empty_columns(spark):
+    rows = [(float("nan"), None, 1, None), (1.0, None, 2, 5.0), (2.0, None, 4, None), (float("inf"), None, 8, None)]
+    df = spark.createDataFrame(rows, "a double, b double, `c.d` int, e double")
+    found = {(r["column_name"], r["prob"]): r["value"] for r in I.exact_quantiles(df, df.columns, (0.0, 0.5, 1.0)).collect()}
+    assert found["a", 0.0] == 1.0 and found["a", 0.5] == float("inf") and np.isnan(found["a", 1.0])  # NaN is the largest
+    assert [found["c.d", p] for p in (0.0, 0.5, 1.0)] == [1.0, 3.0, 8.0]
+    assert found["e", 0.5] == 5.0 and ("b", 0.5) not in found
+    empty = I.numeric_summary(df.limit(0)).collect()
+    assert all(r["count"] == 0 and r["p50"] is None for r in empty) and len(empty) == 4
+    assert {r["column_name"]: r["p50"] for r in I.numeric_summary(df).collect()}["b"] is None
+
+
+def test_quantile_pass_keeps_only_values_near_the_ranks(spark):
+    df = spark.range(100_000).select((F.col("id") * 1.0).alias("v"), (F.col("id") % 5 * 1.0).alias("w"))
+    kept = I._kept_values(df, {"v": [(24_990.0, 25_010.0)], "w": [(1.0, 1.0)]})
+    rows = {(r["column_name"], r["part"]): [0, 0] for r in kept.collect()}
+    for r in kept.collect():
+        rows[r["column_name"], r["part"]][0] += 1
+        rows[r["column_name"], r["part"]][1] += r["n"]
+    assert rows["v", 1] == [21, 21] and rows["v", 0] == [1, 24_990] and rows["v", 2] == [1, 74_989]
+    assert rows["w", 1] == [1, 20_000]
+
+
 def test_numeric_summary_columns(spark):
     s = I.numeric_summary(raw_frame(spark, [{"trip_distance": float(i)} for i in range(1, 6)]), ["trip_distance"]).collect()
     [r] = s
