@@ -27,34 +27,39 @@ ignored. Whole texts are read; a long text is anchored in pieces, its windows ar
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import pickle
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import load, small_side, word_count, written
+from cabflow.llm.common import load, small_side, written
 from cabflow.llm.suffix_dedup import keyed
 from cabflow.session import shared_path
 
 WINDOW = 50
 GRAM = 24
-MAX_SPANS = 500
+MAX_SPANS = 5_000
 # The anchors are chosen anew without the crowded ones this often at most.
 ROUNDS_OF_ANCHORS = 3
 CROWDED = 1_000_000
 # Reference spans of a shard, and bytes of automata that a round broadcasts.
 SPANS_PER_SHARD = 2_000
-BROADCAST_BYTES = 64 << 20
-# Ids are broadcast up to this counted number of rows, joined by shuffle beyond it.
-BROADCAST_IDS = 250_000
-# Bytes that are hashed at once, and words that are anchored at once.
+BROADCAST_BYTES = 32 << 20
+# Ids and grams are broadcast up to this counted number of rows, joined by shuffle beyond it.
+BROADCAST_IDS = 1_000_000
+# Bytes of texts that are hashed at once, and words that are anchored at once.
 BYTES_AT_ONCE = 1 << 20
-WORDS_AT_ONCE = 1 << 18
+WORDS_AT_ONCE = 1 << 19
 
 _RNG = np.random.default_rng(13)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -82,32 +87,53 @@ def _range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray, which: i
     return _mixed(plain + (end - start).astype(np.uint64))
 
 
-def word_hashes(text: bytes) -> np.ndarray:
+def texts_at_once(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, bytes, bounds of the texts in them), some texts at a time; a long one stands alone."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    bounds = np.frombuffer(column.buffers()[1], dtype=kind)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + BYTES_AT_ONCE, side="right")) - 1)
+        yield i, data[bounds[i] : bounds[j]], (bounds[i : j + 1] - bounds[i]).astype(np.int64)
+        i = j
+
+
+def word_edges(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and end; none crosses a bound."""
+    word = ~_SPACE[data]
+    before, after = np.append(False, word[:-1]), np.append(word[1:], False)
+    before[bounds[bounds < len(data)]] = False
+    after[bounds[bounds > 0] - 1] = False
+    return np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every word."""
-    raw = np.frombuffer(text, dtype=np.uint8)
-    edges = np.flatnonzero(np.diff(_SPACE[raw].astype(np.int8), prepend=1, append=1))
-    starts, ends = edges[0::2], edges[1::2]
     out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
         base = starts[i]
         j = int(np.searchsorted(ends, base + BYTES_AT_ONCE, side="right"))
         if j <= i:  # a word longer than that
-            digest = hashlib.blake2b(text[base : ends[i]], digest_size=8).digest()
+            digest = hashlib.blake2b(data[base : ends[i]].tobytes(), digest_size=8).digest()
             out[i] = int.from_bytes(digest, "little")
             i += 1
             continue
-        part = raw[base : ends[j - 1]]
+        part = data[base : ends[j - 1]]
         sums = np.append(np.uint64(0), np.cumsum(_BYTE[part] * _POWERS[0][: len(part)]))
         out[i:j] = _range_hashes(sums, starts[i:j] - base, ends[i:j] - base, 0)
         i = j
     return out
 
 
-def anchors(words: np.ndarray, crowded: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> Iterator[tuple]:
+def anchors(
+    words: np.ndarray, stops: np.ndarray, crowded: np.ndarray, window: int = WINDOW, gram: int = GRAM
+) -> Iterator[tuple]:
     """(gram, span hash, first window, last window) of the anchors, piece by piece.
 
-    The span of an anchor reaches from its first window's start to its last window's end.
+    ``stops`` is the end of each word's text. The span of an anchor reaches from its
+    first window's start to its last window's end.
     """
     width = window - gram + 1
     for begin in range(0, len(words) - window + 1, WORDS_AT_ONCE):
@@ -125,34 +151,36 @@ def anchors(words: np.ndarray, crowded: np.ndarray, window: int = WINDOW, gram:
         if size < width:
             key = np.minimum(key[: len(key) - (width - size)], key[width - size :])
         at = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-        last = np.append(first[1:] - 1, len(at) - 1)
+        whole = np.arange(begin, begin + len(at)) + window <= stops[begin : begin + len(at)]
+        change = at[1:] != at[:-1]
+        first = np.flatnonzero(whole & np.append(True, change | ~whole[:-1]))
+        last = np.flatnonzero(whole & np.append(change | ~whole[1:], True))
         spans = _range_hashes(sums, first, last + window, 1)
         yield grams[at[first]].view(np.int64), spans.view(np.int64), first + begin, last + begin
 
 
+_ANCHOR = "doc long, th long, gram long, span long, first long, last long"
+
+
 def anchor_rows(rows: DataFrame, crowded: np.ndarray, window: int) -> DataFrame:
-    """doc, th, gram, span of every anchor of every text."""
+    """doc, th, gram, span, first and last window of every anchor of every text."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, grams, spans = [], [], []
-            for text in batch.column(2):
-                n = 0
-                for gram, span, _, _ in anchors(word_hashes(text.as_py()), crowded, window):
-                    grams.append(gram)
-                    spans.append(span)
-                    n += len(gram)
-                size.append(n)
-            ids = [np.repeat(batch.column(i).to_numpy(), size) for i in (0, 1)]
-            none = [np.zeros(0, dtype=np.int64)]
-            columns = [*ids, np.concatenate(grams or none), np.concatenate(spans or none)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "th", "gram", "span"])
-
+            doc, th = (batch.column(i).to_numpy() for i in (0, 1))
+            for begin, data, bounds in texts_at_once(batch.column(2)):
+                starts, ends = word_edges(data, bounds)
+                texts = np.searchsorted(starts, bounds)  # first word of each text
+                words = word_hashes(data, starts, ends)
+                stops = np.repeat(texts[1:], np.diff(texts))
+                for gram, span, first, last in anchors(words, stops, crowded, window):
+                    own = np.searchsorted(texts, first, side="right") - 1
+                    columns = [doc[begin + own], th[begin + own], gram, span, first - texts[own], last - texts[own]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+    names = [c.split()[0] for c in _ANCHOR.split(", ")]
     some = rows.filter(F.octet_length("text") >= 2 * window - 1)
-    return some.select("doc", "th", F.col("text").cast("binary")).mapInArrow(
-        find, "doc long, th long, gram long, span long"
-    )
+    return some.select("doc", "th", F.col("text").cast("binary")).mapInArrow(find, _ANCHOR)
 
 
 # --- automata -----------------------------------------------------------------
@@ -166,71 +194,91 @@ class Automaton:
         self.go: list[dict[int, int]] = [{}]
         self.link, self.length, self.first = [-1], [0], [0]
 
-    def _state(self, length: int, go: dict, link: int, first: int) -> int:
-        self.go.append(go)
-        self.length.append(length)
-        self.link.append(link)
-        self.first.append(first)
-        return len(self.go) - 1
-
     def _split(self, p: int, word: int, q: int) -> int:
         """A copy of ``q`` for its strings that extend those of ``p``."""
-        copy = self._state(self.length[p] + 1, dict(self.go[q]), self.link[q], self.first[q])
-        while p >= 0 and self.go[p].get(word) == q:
-            self.go[p][word] = copy
-            p = self.link[p]
-        self.link[q] = copy
+        go, link = self.go, self.link
+        copy = len(go)
+        go.append(dict(go[q]))
+        self.length.append(self.length[p] + 1)
+        link.append(link[q])
+        self.first.append(self.first[q])
+        while p >= 0 and go[p].get(word) == q:
+            go[p][word] = copy
+            p = link[p]
+        link[q] = copy
         return copy
 
     def add(self, words: list[bytes], doc: int) -> None:
         """Add one sequence of a document that is not before those added already."""
-        last, go, length = 0, self.go, self.length
+        go, link, length, first, numbers = self.go, self.link, self.length, self.first, self.words
+        last = 0
         for w in words:
-            word = self.words.setdefault(w, len(self.words))
+            word = numbers.setdefault(w, len(numbers))
             q = go[last].get(word)
             if q is not None:
                 last = q if length[q] == length[last] + 1 else self._split(last, word, q)
                 continue
-            new, p = self._state(length[last] + 1, {}, 0, doc), last
-            while p >= 0 and word not in go[p]:
-                go[p][word] = new
-                p = self.link[p]
-            if p >= 0:
-                q = go[p][word]
-                self.link[new] = q if length[q] == length[p] + 1 else self._split(p, word, q)
+            new = len(go)
+            go.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            first.append(doc)
+            p = last
+            while p >= 0:
+                steps = go[p]
+                if word in steps:
+                    q = steps[word]
+                    link[new] = q if length[q] == length[p] + 1 else self._split(p, word, q)
+                    break
+                steps[word] = new
+                p = link[p]
             last = new
 
-    def packed(self) -> dict[str, bytes]:
-        sizes = np.fromiter((len(g) for g in self.go), np.int32, len(self.go))
+    def packed(self, window: int = WINDOW) -> bytes:
+        """Arrays of the states and their steps, compressed; lengths matter up to ``window`` only."""
+        sizes = np.fromiter(map(len, self.go), np.int32, len(self.go))
         n = int(sizes.sum())
-        return {
+        steps = np.fromiter(chain.from_iterable(self.go), np.int32, n)
+        goals = np.fromiter(chain.from_iterable(g.values() for g in self.go), np.int32, n)
+        docs, first = np.unique(np.array(self.first, dtype=np.int64), return_inverse=True)
+        states = np.arange(len(sizes), dtype=np.int32)
+        parts = {
             "words": b" ".join(self.words),
-            "sizes": sizes.tobytes(),
-            "steps": np.fromiter((w for g in self.go for w in g), np.int32, n).tobytes(),
-            "goals": np.fromiter((t for g in self.go for t in g.values()), np.int32, n).tobytes(),
-            "links": np.array(self.link, dtype=np.int32).tobytes(),
-            "lengths": np.array(self.length, dtype=np.int32).tobytes(),
-            "firsts": np.array(self.first, dtype=np.int64).tobytes(),
+            "sizes": sizes,
+            "steps": steps,
+            "ahead": goals - np.repeat(states, sizes),  # mostly 1
+            "links": np.array(self.link, dtype=np.int32),
+            "lengths": np.minimum(self.length, window).astype(np.int32),
+            "docs": docs,
+            "first": first.astype(np.int32),
         }
-
-
-_PARTS = ["words", "sizes", "steps", "goals", "links", "lengths", "firsts"]
+        return zstandard.compress(pickle.dumps(parts, protocol=5), 1)
 
 
 class Reader:
     """A broadcast automaton, ready for texts to stream through."""
 
-    def __init__(self, packed: dict[str, bytes]):
-        ints = {k: np.frombuffer(packed[k], dtype=np.int32) for k in _PARTS[1:6]}
-        self.words = {w: i for i, w in enumerate(packed["words"].split(b" "))}
-        states = np.repeat(np.arange(len(ints["sizes"]), dtype=np.int64), ints["sizes"])
-        self.go = dict(zip(((states << 32) | ints["steps"]).tolist(), ints["goals"].tolist()))
-        self.link, self.length = ints["links"].tolist(), ints["lengths"].tolist()
-        self.first = np.frombuffer(packed["firsts"], dtype=np.int64).tolist()
+    def __init__(self, packed: bytes):
+        parts = pickle.loads(zstandard.decompress(packed))
+        sizes, steps = parts["sizes"], parts["steps"]
+        states = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
+        goals = parts["ahead"] + states
+        self.words = {w: i for i, w in enumerate(parts["words"].split(b" "))}
+        # Most states have one step: that of a list. The steps of the others are in a dictionary.
+        single = sizes == 1
+        of_single = np.repeat(single, sizes)
+        step, goal = np.full(len(sizes), -1), np.zeros(len(sizes), dtype=np.int64)
+        step[single], goal[single] = steps[of_single], goals[of_single]
+        self.step, self.goal = step.tolist(), goal.tolist()
+        rest = ~of_single
+        self.more = dict(zip(((states[rest] << 32) | steps[rest]).tolist(), goals[rest].tolist()))
+        self.link, self.length = parts["links"].tolist(), parts["lengths"].tolist()
+        self.first = parts["docs"][parts["first"]].tolist()
 
     def spans(self, text: list[bytes], doc: int, window: int = WINDOW) -> list[tuple[int, int]]:
         """Maximal runs of windows of ``text`` that stand in a document before ``doc``."""
-        go, link, length, first, words = self.go.get, self.link, self.length, self.first, self.words.get
+        step, goals, more, words = self.step, self.goal, self.more.get, self.words.get
+        link, length, first = self.link, self.length, self.first
         out: list[tuple[int, int]] = []
         state = matched = 0
         for at, w in enumerate(text, 1):
@@ -238,11 +286,11 @@ class Reader:
             if word is None:
                 state = matched = 0
                 continue
-            goal = go((state << 32) | word)
+            goal = goals[state] if step[state] == word else more((state << 32) | word)
             if goal is None:
                 while goal is None and state:
                     state = link[state]
-                    goal = go((state << 32) | word)
+                    goal = goals[state] if step[state] == word else more((state << 32) | word)
                 if goal is None:
                     matched = 0
                     continue
@@ -262,43 +310,54 @@ class Reader:
         return out
 
 
+@contextmanager
+def _no_collection():
+    """Millions of small dictionaries without a cycle: looking for cycles would take most of the time."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _automaton_of(rows: pd.DataFrame) -> pd.DataFrame:
     automaton = Automaton()
     rows = rows.sort_values(["doc", "th", "start"])
-    for doc, text in zip(rows["doc"], rows["text"]):
-        automaton.add(text.split(b" "), int(doc))
-    packed = automaton.packed()
-    return pd.DataFrame(
-        {"shard": [rows["shard"].iloc[0]], "size": [sum(map(len, packed.values()))]} | {k: [v] for k, v in packed.items()}
-    )
+    with _no_collection():
+        for doc, text in zip(rows["doc"], rows["text"]):
+            automaton.add(text.split(b" "), int(doc))
+        packed = automaton.packed()
+    return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "size": [len(packed)], "packed": [packed]})
 
 
 # --- the job ------------------------------------------------------------------
 
 
-def spans_of_anchors(rows: DataFrame, window: int, max_spans: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """All anchors, the repeated ones as (gram, span, lowest, home), and the crowded grams passed over.
+def spans_of_anchors(rows: DataFrame, window: int, max_spans: int) -> tuple[DataFrame, DataFrame]:
+    """The anchors that stand in two documents, and their spans as (gram, span, lowest, home).
 
-    ``lowest`` is the first document of the span, ``home`` that of the gram.
+    ``lowest`` is the first document of the span, ``home`` that of the gram. Most grams
+    stand in one document; their anchors go no further.
     """
     crowded = np.zeros(0, dtype=np.int64)
-    for _ in range(ROUNDS_OF_ANCHORS):
+    for left in reversed(range(ROUNDS_OF_ANCHORS)):
         found = written(anchor_rows(rows, crowded, window))
-        spans = found.groupBy("gram", "span").agg(F.min("doc").alias("lowest"), F.max("doc").alias("highest"))
-        spans = written(spans)
-        grams = spans.groupBy("gram").agg(
-            F.min("lowest").alias("home"), F.max("highest").alias("highest"), F.count(F.lit(1)).alias("n")
-        )
-        grams = grams.filter("home < highest")
-        more = grams.filter(F.col("n") > max_spans).orderBy(F.desc("n"), "gram").select("gram").limit(CROWDED)
+        grams = found.groupBy("gram").agg(F.min("doc").alias("home"), F.max("doc").alias("highest"))
+        grams = written(grams.filter("home < highest").select("gram", "home"))
+        small = grams.count() <= BROADCAST_IDS
+        found = found.join(F.broadcast(grams) if small else grams, "gram")
+        spans = written(found.groupBy("gram", "span").agg(F.min("doc").alias("lowest"), F.min("home").alias("home")))
+        if not left:
+            break
+        more = spans.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_spans)
+        more = more.orderBy(F.desc("n"), "gram").select("gram").limit(CROWDED)
         more = np.array([r[0] for r in more.collect()], dtype=np.int64)  # a crowded gram is one in max_spans at most
-        more = np.setdiff1d(more, crowded)
-        if not len(more):
+        if not len(np.setdiff1d(more, crowded)):
             break
         crowded = np.union1d(crowded, more)
-    else:  # the last anchors were chosen without the last crowded grams
-        crowded = np.setdiff1d(crowded, more)
-    return found, spans.select("gram", "span", "lowest").join(grams.select("gram", "home"), "gram"), crowded
+    return found.drop("home"), spans
 
 
 def sharded(spans: DataFrame) -> DataFrame:
@@ -316,28 +375,26 @@ def sharded(spans: DataFrame) -> DataFrame:
 _REGION = "shard int, doc long, th long, is_query boolean, start long, text binary"
 
 
-def regions(held: DataFrame, crowded: np.ndarray, window: int) -> DataFrame:
+def regions(held: DataFrame, window: int) -> DataFrame:
     """The text around repeated anchors, in runs of the same shard: as reference, as query or both."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc, th, text, lists in zip(batch["doc"], batch["th"], batch["text"], batch["spans"]):
-                known = {(s["gram"], s["span"]): (s["shard"], s["lowest"] == doc, s["home"] < doc) for s in lists}
+            for doc, th, text, lists in zip(batch["doc"], batch["th"], batch["text"], batch["anchors"]):
                 words = text.split()
-                open_: dict[bool, list] = {}
-                for part in anchors(word_hashes(text), crowded, window):
-                    for gram, span, first, last in zip(*(x.tolist() for x in part)):
-                        found = known.get((gram, span))
-                        for is_query, wanted in ((False, found and found[1]), (True, found and found[2])):
-                            run = open_.get(is_query)
-                            if wanted and run and run[0] == found[0] and run[2] + 1 == first:
-                                run[2] = last
-                                continue
-                            if run:
-                                out.append((run[0], doc, th, is_query, run[1], b" ".join(words[run[1] : run[2] + window])))
-                            open_[is_query] = [found[0], first, last] if wanted else None
-                for is_query, run in open_.items():
+                found = sorted({(a["first"], a["last"], a["shard"], a["lowest"], a["home"]) for a in lists})
+                for is_query in (False, True):
+                    run = None
+                    for first, last, shard, lowest, home in found:
+                        if not (home < doc if is_query else lowest == doc):
+                            continue
+                        if run and run[0] == shard and run[2] + 1 == first:
+                            run[2] = last
+                            continue
+                        if run:
+                            out.append((run[0], doc, th, is_query, run[1], b" ".join(words[run[1] : run[2] + window])))
+                        run = [shard, first, last]
                     if run:
                         out.append((run[0], doc, th, is_query, run[1], b" ".join(words[run[1] : run[2] + window])))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _REGION.split(", ")])
@@ -363,8 +420,8 @@ def streamed(texts: DataFrame, automata: DataFrame, window: int, limit: int) ->
     spark.createDataFrame([], schema).write.parquet(path)
     for low, high in rounds:
         mine = F.col("shard").between(low, high)
-        rows = automata.filter(mine).select("shard", *_PARTS).toArrow().to_pylist()  # bounded by ``limit``
-        shared = spark.sparkContext.broadcast({r["shard"]: {k: r[k] for k in _PARTS} for r in rows})
+        rows = automata.filter(mine).select("shard", "packed").toArrow().to_pylist()  # bounded by ``limit``
+        shared = spark.sparkContext.broadcast({r["shard"]: r["packed"] for r in rows})
         found = texts.filter(mine).mapInPandas(_stream_through(shared, window), schema)
         found.write.mode("append").parquet(path)
         shared.destroy()
@@ -390,18 +447,18 @@ def repeated_spans(
 ) -> tuple[DataFrame, DataFrame]:
     """The texts that share an anchor with another document (of :func:`keyed` rows), and
     doc, th, start, end in words of what they repeat (spans may overlap)."""
-    found, spans, crowded = spans_of_anchors(rows.select("doc", "th", "text"), window, max_spans)
-    spans = written(sharded(spans))
-    lists = found.dropDuplicates(["doc", "th", "gram", "span"]).join(spans, ["gram", "span"])
-    lists = lists.groupBy("doc", "th").agg(F.collect_list(F.struct("gram", "span", "lowest", "home", "shard")).alias("spans"))
+    found, spans = spans_of_anchors(rows.select("doc", "th", "text"), window, max_spans)
+    lists = found.join(written(sharded(spans)), ["gram", "span"]).groupBy("doc", "th").agg(
+        F.collect_list(F.struct("first", "last", "shard", "lowest", "home")).alias("anchors")
+    )
     lists = written(lists)
     chosen = rows.select("doc", "th", "text")
     if lists.count() <= BROADCAST_IDS:
         chosen = chosen.join(F.broadcast(lists.select("doc", "th")), ["doc", "th"], "left_semi")
     held = written(chosen.dropDuplicates(["doc", "th"]).join(lists, ["doc", "th"]))
-    texts = written(regions(held, crowded, window))
-    schema = "shard int, size long, " + ", ".join(f"{k} binary" for k in _PARTS)
-    automata = written(texts.filter("NOT is_query").groupBy("shard").applyInPandas(_automaton_of, schema))
+    texts = written(regions(held, window))
+    automata = texts.filter("NOT is_query").groupBy("shard")
+    automata = written(automata.applyInPandas(_automaton_of, "shard int, size long, packed binary"))
     return held.select("doc", "th", "text"), streamed(texts, automata, window, limit)
 
 
@@ -438,12 +495,18 @@ def changed_texts(held: DataFrame, spans: DataFrame) -> DataFrame:
     return both.mapInPandas(_without, schema).withColumn("kept", F.col("kept").cast("string"))
 
 
+def spaced(rows: DataFrame) -> DataFrame:
+    """Add ``plain``, the words of the text with one space between them, and ``n_words``."""
+    rows = rows.withColumn("plain", F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")))
+    between = F.length("plain") - F.length(F.replace("plain", F.lit(" "), F.lit("")))
+    return rows.withColumn("n_words", F.when(F.col("plain") == "", 0).otherwise(between + 1).cast("long"))
+
+
 def without_repeats(docs: DataFrame, window: int = WINDOW, **bounds) -> DataFrame:
     """doc_id, n_words, n_removed, removed (spans in words) and the kept words of every document."""
     rows = keyed(docs)
     changed = changed_texts(*repeated_spans(rows, window, **bounds))
-    plain = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
-    base = rows.select("doc_id", "doc", "th", word_count(F.col("text")).alias("n_words"), plain.alias("plain"))
+    base = spaced(rows).select("doc_id", "doc", "th", "n_words", "plain")
     out = base.join(changed, ["doc", "th"], "left")
     return out.select(
         "doc_id",
@@ -459,8 +522,7 @@ def digests(docs: DataFrame, window: int = WINDOW, **bounds) -> DataFrame:
     rows = keyed(docs)
     changed = changed_texts(*repeated_spans(rows, window, **bounds))
     changed = changed.select("doc", "th", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-    plain = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
-    base = rows.select("doc_id", "doc", "th", word_count(F.col("text")).alias("n_words"), F.sha2(plain, 256).alias("sha"))
+    base = spaced(rows).select("doc_id", "doc", "th", "n_words", F.sha2("plain", 256).alias("sha"))
     return base.join(changed, ["doc", "th"], "left").select(
         "doc_id",
         "n_words",
