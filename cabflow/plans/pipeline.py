@@ -12,6 +12,7 @@ from cabflow.operators import quality as Q
 from cabflow.operators import route as R
 from cabflow.plans import models as M
 from cabflow.sinks import catalog as K
+from cabflow.sinks import versions as V
 from cabflow.sinks.parquet import write_day_partitioned
 from cabflow.sources import month_index as MI
 from cabflow.sources.landing import land_months
@@ -34,6 +35,8 @@ class PipelineConfig:
     sources: dict[tuple[int, int], DataFrame | str] = field(default_factory=dict)
     # Whether the raw trips of the period must meet the expectations before anything is written.
     validate_raw: bool = False
+    # Whether each table is published in one step, as versions behind a manifest.
+    versioned: bool = False
     index_path: str | None = None
 
 
@@ -59,12 +62,21 @@ def scan_period(spark: SparkSession, raw_root: str, period: Period, index_path:
 def _in_period(specs, period: Period):
     out = []
     for s in specs:
+        if s["pickup_year"] is None:  # rows without a pickup time, from a stream without a period
+            continue
         day = dt.date(s["pickup_year"], s["pickup_month"], s["pickup_day"])
         if period.start <= day <= period.end:
             out.append((day, s))
     return out
 
 
+def _publish_version(spark, df: DataFrame, path: str, table: str, period: Period, name: str):
+    """Write one routed output as a version and make it the content of the period's days."""
+    if spark.catalog.tableExists(table):
+        V.sync(spark, table, path, df)  # what an earlier run published and did not get to show
+    return V.publish(spark, df, path, lambda d: d is not None and period.start <= d <= period.end, table, name)
+
+
 def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name: str):
     """Write one routed output, then clear in-period days it no longer has.
 
@@ -114,8 +126,9 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     zones = read_zones(spark, cfg.zones_path)
     enriched = E.enrich(raw, zones, run_ts=run_ts)
     routed = R.route(enriched, cfg.period)
-    cur, stale_c = _publish(spark, routed.curated, cfg.curated_path, cfg.curated_table, cfg.period, "curated")
-    rej, stale_r = _publish(spark, routed.rejected, cfg.rejected_path, cfg.rejected_table, cfg.period, "rejected")
+    publish = _publish_version if cfg.versioned else _publish
+    cur, stale_c = publish(spark, routed.curated, cfg.curated_path, cfg.curated_table, cfg.period, "curated")
+    rej, stale_r = publish(spark, routed.rejected, cfg.rejected_path, cfg.rejected_table, cfg.period, "rejected")
     views = M.register_models(spark, spark.table(cfg.curated_table), spark.table(cfg.rejected_table))
     tests = Q.model_tests(views["stg_trips"]).collect()  # six rows
     failed = [f"{t['model']}.{t['column_name']}" for t in tests if t["status"] == "ERROR"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
@@ -59,19 +61,49 @@ def create_table(
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
 
 
-def add_partitions(spark: SparkSession, name: str, specs: list[dict[str, int]], batch: int = 500) -> None:
+def _partition(spec: dict[str, int | None]) -> str:
+    return "PARTITION (" + ", ".join(f"{k}={'null' if v is None else v}" for k, v in spec.items()) + ")"
+
+
+def day_spec(day: dt.date | None) -> dict[str, int | None]:
+    """The partition of a day; None is that of rows without one."""
+    return dict(zip(S.DAY_PARTITION, (day.year, day.month, day.day) if day else (None, None, None)))
+
+
+def add_partitions(spark: SparkSession, name: str, specs: list[dict[str, int | None]], batch: int = 500) -> None:
     """Register just the given partitions (bounded by the run's period).
 
     Unlike a full repair, the cost does not grow with the table's history.
     """
     for i in range(0, len(specs), batch):
-        parts = " ".join(
-            "PARTITION (" + ", ".join(f"{k}={v}" for k, v in spec.items()) + ")" for spec in specs[i : i + batch]
-        )
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(map(_partition, specs[i : i + batch]))}")
+    spark.catalog.refreshTable(name)
+
+
+def drop_partitions(spark: SparkSession, name: str, specs: list[dict[str, int | None]], batch: int = 500) -> None:
+    """Take the given partitions out of the table, as far as it has them; no file is deleted."""
+    for i in range(0, len(specs), batch):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(_partition, specs[i : i + batch]))}")
     spark.catalog.refreshTable(name)
 
 
+def follow_batch(
+    spark: SparkSession, name: str, path: str, like: DataFrame, held: set[dt.date | None], gone: set[dt.date | None]
+) -> None:
+    """Bring the table up to date with one micro-batch: days that it wrote, days that it took away.
+
+    A table that is new is created and repaired once, for what earlier batches left;
+    after that the cost follows the batch, not the history.
+    """
+    if not spark.catalog.tableExists(name):
+        register_table(spark, name, path, like)
+        return
+    create_table(spark, name, path, like)
+    order = lambda d: (d is None, d or dt.date.min)
+    add_partitions(spark, name, [day_spec(d) for d in sorted(held, key=order)])
+    drop_partitions(spark, name, [day_spec(d) for d in sorted(gone - held, key=order)])
+
+
 def refresh_partitions(spark: SparkSession, name: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
@@ -90,7 +122,7 @@ def existing_partitions(spark: SparkSession, name: str, years: tuple[int, int] |
     out = []
     for row in found:
         spec = dict(kv.split("=", 1) for kv in row[0].split("/"))
-        out.append({k: int(v) for k, v in spec.items()})
+        out.append({k: None if v == "null" or v.startswith("__HIVE_DEFAULT") else int(v) for k, v in spec.items()})
     return out
 
 
@@ -98,8 +130,6 @@ def clear_partitions(spark: SparkSession, name: str, path: str, specs: list[dict
     """Drop the given partitions of an external table and delete their folders, without a Spark job."""
     if not specs:
         return
-    parts = ", ".join("PARTITION (" + ", ".join(f"{k}={v}" for k, v in s.items()) + ")" for s in specs)
-    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    drop_partitions(spark, name, specs)
     days = {(s["pickup_year"], s["pickup_month"], s["pickup_day"]) for s in specs}
     clear_days(spark, path, sorted({d[:2] for d in days}), lambda y, m, d: (y, m, d) in days)
-    spark.catalog.refreshTable(name)

@@ -62,12 +62,12 @@ def clear_undated(spark: SparkSession, path: str) -> None:
 
 def clear_days(
     spark: SparkSession, path: str, months: list[tuple[int, int]], stale: Callable[[int, int, int], bool]
-) -> int:
-    """Delete the day folders of the given months that ``stale(y, m, d)`` names; return how many.
+) -> list[dt.date]:
+    """Delete the day folders of the given months that ``stale(y, m, d)`` names; return their days.
 
     Folders are listed month by month, so the cost does not grow with the history.
     """
-    gone = 0
+    gone = []
     for year, month in months:
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pickup_year={year}/pickup_month={month}")
         fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -75,7 +75,7 @@ def clear_days(
             name = status.getPath().getName()
             if name.startswith("pickup_day=") and stale(year, month, int(name.partition("=")[2])):
                 fs.delete(status.getPath(), True)
-                gone += 1
+                gone.append(dt.date(year, month, int(name.partition("=")[2])))
     return gone
 
 

@@ -21,6 +21,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cabflow.operators import enrich as E
 from cabflow.operators import route as R
+from cabflow.sinks import catalog as K
+from cabflow.sinks import versions as V
 from cabflow.sinks.parquet import clear_days, clear_undated, write_day_partitioned
 from cabflow.sources import month_index as MI
 from cabflow.sources.period import Period
@@ -78,11 +80,15 @@ def rewrite_months(
     period: Period | None = None,
     run_ts: dt.datetime | None = None,
     index_path: str | None = None,
+    curated_table: str | None = None,
+    rejected_table: str | None = None,
+    versioned: bool = False,
 ) -> None:
     """Rewrite both tables for the days of the touched months and of their files.
 
     Without a period every trip is routed: those without a pickup time have a NULL flag
-    and go to rejected, below the default folder of a NULL day.
+    and go to rejected, below the default folder of a NULL day. Tables that are named
+    follow each batch; with ``versioned`` a batch is published in one step.
     """
     trips, days = affected_trips(spark, raw_root, touched, period, index_path)
     enriched = E.enrich(trips, read_zones(spark, zones_path), run_ts=run_ts or dt.datetime.now(dt.timezone.utc))
@@ -91,16 +97,22 @@ def rewrite_months(
     affected = {(d.year, d.month, d.day) for d in days if d}
     months = sorted(own | {d[:2] for d in affected})
     inside = lambda y, m, d: period is None or period.start <= dt.date(y, m, d) <= period.end
-    for name, frame, path in (
-        ("curated", R.curated(scoped), curated_path),
-        ("rejected", R.rejected(scoped), rejected_path),
+    for name, frame, path, table in (
+        ("curated", R.curated(scoped), curated_path, curated_table),
+        ("rejected", R.rejected(scoped), rejected_path, rejected_table),
     ):
+        if versioned:
+            V.publish(spark, frame, path, lambda d: d in days, table, name)
+            continue
         written = write_day_partitioned(frame, path, name)
         keep = {(d.year, d.month, d.day) for d in written.days}
         mine = lambda y, m, d: (y, m) in own or (y, m, d) in affected
-        clear_days(spark, path, months, lambda y, m, d: (y, m, d) not in keep and mine(y, m, d) and inside(y, m, d))
+        gone = clear_days(spark, path, months, lambda y, m, d: (y, m, d) not in keep and mine(y, m, d) and inside(y, m, d))
         if None in days and not written.undated:
             clear_undated(spark, path)
+        if table:
+            held = set(written.days) | ({None} if written.undated else set())
+            K.follow_batch(spark, table, path, frame, held, days | set(gone))
 
 
 def start_incremental(
@@ -114,6 +126,9 @@ def start_incremental(
     run_ts: dt.datetime | None = None,
     available_now: bool = True,
     index_path: str | None = None,
+    curated_table: str | None = None,
+    rejected_table: str | None = None,
+    versioned: bool = False,
 ) -> StreamingQuery:
     """Start the stream; ``checkpoint_root`` must be on storage shared by the cluster.
 
@@ -127,8 +142,11 @@ def start_incremental(
         if months:  # one row per landed month
             touched = sorted(MI.label_of(r[0], r[1]) for r in months)
             rewrite_months(
-                batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, period, run_ts, index_path
-            )
+                batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, period, run_ts, index_path,
+                curated_table, rejected_table, versioned,
+            )
+            for table in filter(None, (curated_table, rejected_table)):
+                spark.catalog.refreshTable(table)  # the batch has a session, and a cache of file lists, of its own
 
     writer = (
         raw_stream(spark, raw_root)
