@@ -55,7 +55,7 @@ CROWDED = 1_000_000
 # Reference spans of a shard, and bytes of automata that a round broadcasts.
 SPANS_PER_SHARD = 2_000
 BROADCAST_BYTES = 32 << 20
-# Ids and grams are broadcast up to this counted number of rows, joined by shuffle beyond it.
+# Ids, grams and spans are broadcast up to this counted number (tens of bytes each), joined by shuffle beyond it.
 BROADCAST_IDS = 1_000_000
 # Bytes of texts that are hashed at once, and words that are anchored at once.
 BYTES_AT_ONCE = 1 << 20
@@ -346,9 +346,9 @@ def spans_of_anchors(rows: DataFrame, window: int, max_spans: int) -> tuple[Data
         found = written(anchor_rows(rows, crowded, window))
         grams = found.groupBy("gram").agg(F.min("doc").alias("home"), F.max("doc").alias("highest"))
         grams = written(grams.filter("home < highest").select("gram", "home"))
-        small = grams.count() <= BROADCAST_IDS
-        found = found.join(F.broadcast(grams) if small else grams, "gram")
-        spans = written(found.groupBy("gram", "span").agg(F.min("doc").alias("lowest"), F.min("home").alias("home")))
+        known = grams.select("gram")
+        found = found.join(F.broadcast(known) if grams.count() <= BROADCAST_IDS else known, "gram", "left_semi")
+        spans = written(found.groupBy("gram", "span").agg(F.min("doc").alias("lowest")).join(grams, "gram"))
         if not left:
             break
         more = spans.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_spans)
@@ -357,7 +357,7 @@ def spans_of_anchors(rows: DataFrame, window: int, max_spans: int) -> tuple[Data
         if not len(np.setdiff1d(more, crowded)):
             break
         crowded = np.union1d(crowded, more)
-    return found.drop("home"), spans
+    return found, spans
 
 
 def sharded(spans: DataFrame) -> DataFrame:
@@ -452,10 +452,12 @@ def repeated_spans(
         F.collect_list(F.struct("first", "last", "shard", "lowest", "home")).alias("anchors")
     )
     lists = written(lists)
-    chosen = rows.select("doc", "th", "text")
-    if lists.count() <= BROADCAST_IDS:
+    chosen, n = rows.select("doc", "th", "text"), lists.count()
+    if n <= BROADCAST_IDS:
         chosen = chosen.join(F.broadcast(lists.select("doc", "th")), ["doc", "th"], "left_semi")
-    held = written(chosen.dropDuplicates(["doc", "th"]).join(lists, ["doc", "th"]))
+    held = written(chosen.join(lists, ["doc", "th"]))
+    if held.count() > n:  # rows that are equal in id and text are one document
+        held = written(held.dropDuplicates(["doc", "th"]))
     texts = written(regions(held, window))
     automata = texts.filter("NOT is_query").groupBy("shard")
     automata = written(automata.applyInPandas(_automaton_of, "shard int, size long, packed binary"))
@@ -490,6 +492,7 @@ def _without(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def changed_texts(held: DataFrame, spans: DataFrame) -> DataFrame:
     """doc, th, n_removed, removed spans and kept words of the texts that lose words."""
     per = spans.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    per = F.broadcast(per) if spans.count() <= BROADCAST_IDS else per  # a span is two numbers
     schema = "doc long, th long, n_removed long, removed array<struct<start: long, end: long>>, kept binary"
     both = held.withColumn("text", F.col("text").cast("binary")).join(per, ["doc", "th"])
     return both.mapInPandas(_without, schema).withColumn("kept", F.col("kept").cast("string"))
