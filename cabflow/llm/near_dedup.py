@@ -200,20 +200,25 @@ def near_centre(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFram
         F.col("a").alias("c"), "b", "comp", (F.col("comp") == F.col("centre")).alias("central"),
         F.col("bn").alias("n"), "shared", F.array_except("sb", "sa").alias("outside"),
     )
-    rows = written(rows)
+    # Nodes of one large group meet under many centres: a pair is looked at under the first of those it shares.
+    centres = rows.groupBy("b").agg(F.collect_set("c").alias("centres"))  # a node has one for each table at most
+    rows = written(rows.join(centres, "b"))
     x = rows.filter("not central").select(
-        "c", F.col("b").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("shared").alias("xs"), "outside"
-    )
+        "c", F.col("b").alias("x"), F.col("comp").alias("xc"), F.col("n").alias("xn"), F.col("shared").alias("xs"),
+        "outside", F.col("centres").alias("xcs"),
+    )
     y = rows.select(
-        "c", F.col("b").alias("y"), F.col("comp").alias("yc"), "central", F.col("n").alias("yn"), F.col("shared").alias("ys"), "outside"
-    )
-    apart = F.col("central") | (F.col("xc") < F.col("yc"))
+        "c", F.col("b").alias("y"), F.col("comp").alias("yc"), "central", F.col("n").alias("yn"), F.col("shared").alias("ys"),
+        "outside", F.col("centres").alias("ycs"),
+    )
+    first = F.col("c") == F.array_min(F.array_intersect("xcs", "ycs"))
+    apart = (F.col("central") | (F.col("xc") < F.col("yc"))) & first
     inside, both = F.least("xs", "ys"), F.col("xn") + F.col("yn")
     most = inside + F.least(F.col("xn") - F.col("xs"), F.col("yn") - F.col("ys"))
     by_shingle = (
         x.withColumn("e", F.explode("outside")).drop("outside")
         .join(y.withColumn("e", F.explode("outside")).drop("outside"), ["c", "e"])
-        .filter(apart & (9 * most >= 4 * both) & (9 * F.least("xn", "yn") >= 4 * both))
+        .filter((9 * most >= 4 * both) & (9 * F.least("xn", "yn") >= 4 * both) & apart)
     )
     needed = by_shingle.groupBy("c", "x", "y").agg(
         F.count(F.lit(1)).alias("more"), F.first(inside).alias("inside"), F.first(both).alias("both")
@@ -225,7 +230,7 @@ def near_centre(stars: DataFrame, found: DataFrame, sets: DataFrame) -> DataFram
     by_size = (
         x.drop("outside").filter(low <= high).withColumn("yn", F.explode(F.sequence(low, high)))
         .join(y.drop("outside"), ["c", "yn"])
-        .filter(apart & (9 * F.least("xs", "ys") >= 4 * (F.col("xn") + F.col("yn"))))
+        .filter((9 * F.least("xs", "ys") >= 4 * (F.col("xn") + F.col("yn"))) & apart)
         .select("x", "y")
     )
     return needed.union(by_size).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

@@ -51,6 +51,46 @@ def test_near_components_against_brute_force(spark):
         assert out == brute_components(rows, size)
 
 
+def pooled_edits(n, seed, words=120, pool=12, most=5):
+    """Copies of one text, each with some edits out of a common pool: many centres, shared edits."""
+    rng = np.random.default_rng(seed)
+    base = prose(words, seed).split()
+    edits = [(int(at), f"edit{k}") for k, at in enumerate(rng.choice(words, pool, replace=False))]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for k in rng.choice(pool, rng.integers(0, most + 1), replace=False):
+            text[edits[k][0]] = edits[k][1]
+        rows.append((1000 * seed + i, " ".join(text), "g"))
+    return rows
+
+
+def test_group_of_copies_with_shared_edits(spark):
+    """Copies that are not near the group's centre hang on each other; every pair is looked at once."""
+    rows = pooled_edits(150, 1) + pooled_edits(60, 2, words=60, pool=8, most=6)
+    for size in (2, 5):
+        out = {r["doc_id"]: tuple(r)[1:] for r in n.near_components(documents(spark, rows), size).collect()}
+        assert out == brute_components(rows, size)
+
+
+def test_pairs_of_a_group_are_listed_under_one_centre(spark, monkeypatch):
+    """Four centres with the same nodes list the pairs of one centre."""
+    far = 10**6
+    ids = range(1, 61)
+    shingles = {i: [*range(40), *(far + (i + k) % 20 for k in range(10))] for i in ids} | {c: [*range(50)] for c in range(101, 105)}
+    sets = spark.createDataFrame(list(shingles.items()), "id long, shingles array<long>")
+    pairs = [(c, i, 50, 50, 40) for c in range(101, 105) for i in ids]
+    found = spark.createDataFrame([], "id long, component long")
+    counts = []
+    for centres in (1, 4):
+        stars = spark.createDataFrame([p for p in pairs if p[0] <= 100 + centres], "a long, b long, an int, bn int, shared int")
+        plan = n.near_centre(stars, found, sets)
+        joined = plan._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_min(array_intersect(" in joined
+        counts.append(sorted(map(tuple, plan.collect())))
+    assert counts[0] == counts[1] and len(counts[0]) > 60
+
+
 def test_near_dedup_keeps_one_of_each(spark):
     docs = documents(spark, near_rows())
     out = n.deduplicated(docs, 5)
