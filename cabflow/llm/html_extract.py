@@ -31,6 +31,8 @@ import hashlib
 import html as entities
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,6 +46,11 @@ from cabflow.llm.common import load, materialized
 BROADCAST_BYTES = 16_000_000
 SALTS = 64
 MAX_KIDS = 64
+# Elements below this depth stand side by side at it (browsers do the same, at 512), so that
+# no walk over a tree goes deeper; their texts keep their order and blocks.
+MAX_DEPTH = 250
+# Lists of elements are aligned by a table up to this many cells, by their labels' turns beyond it.
+TABLE_CELLS = 250_000
 # Pages that must agree before a text counts as the template's.
 TEMPLATE_PAGES = 5
 # Votes (pages with the text less those with another) over pages from which a text is the template's:
@@ -73,6 +80,9 @@ ENDS = {
     "body": ({"head"}, set()),
 }
 
+# What a paragraph may be inside of: a block in one of these does not end it.
+HOLDERS = frozenset(("table", "td", "th", "li", "div"))
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\b[^>]*>|\Z)"
@@ -183,6 +193,7 @@ def page_tree(source: str | None) -> list:
     """[label, kids]; a text is ["#", text, characters inside links]."""
     root: list = ["", []]
     stack, tags = [root], [""]
+    open_tags: Counter[str] = Counter()
     pieces: list[str] = []
     state = {"link": 0, "linked": 0}
 
@@ -190,6 +201,11 @@ def page_tree(source: str | None) -> list:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
+                if len(stack) > MAX_DEPTH:  # the node that is open stands last among those at the greatest depth
+                    shelf = stack[MAX_DEPTH - 1][1]
+                    if not shelf or shelf[-1] is not stack[-1]:
+                        stack[-1] = [stack[-1][0], []]
+                        shelf.append(stack[-1])
                 stack[-1][1].append(["#", text, min(state["linked"], len(text))])
             pieces.clear()
         state["linked"] = 0
@@ -204,8 +220,16 @@ def page_tree(source: str | None) -> list:
 
     def close_to(k: int) -> None:
         flush()
+        open_tags.subtract(tags[k:])
         del stack[k:], tags[k:]
 
+    def last(tag: str) -> int:
+        """Where the innermost open element of a tag stands; what lies above it is about to be closed."""
+        k = len(tags) - 1
+        while tags[k] != tag:
+            k -= 1
+        return k
+
     at = 0
     for m in TOKEN.finditer(source or ""):
         put(source[at : m.start()])
@@ -223,29 +247,34 @@ def page_tree(source: str | None) -> list:
                 flush()
         elif closing:
             flush()
-            if tag in tags:
-                k = len(tags) - 1 - tags[::-1].index(tag)
-                close_to(k)
+            if open_tags[tag]:
+                close_to(last(tag))
             state["link"] = 0
         else:
             flush()
-            if "p" in tags:  # a block ends an open paragraph
-                k = len(tags) - 1 - tags[::-1].index("p")
-                if not {"table", "td", "th", "li", "div"} & set(tags[k + 1 :]):
+            if open_tags["p"]:  # a block ends an open paragraph
+                k = len(tags) - 1
+                while tags[k] != "p" and tags[k] not in HOLDERS:
+                    k -= 1
+                if tags[k] == "p":
                     close_to(k)
             ends, bounds = ENDS.get(tag, ((), ()))
-            for k in range(len(tags) - 1, 0, -1):
-                if tags[k] in bounds:
-                    break
+            k = len(tags) - 1
+            while k > 0 and any(open_tags[e] for e in ends) and tags[k] not in bounds:
                 if tags[k] in ends:
                     close_to(k)
+                k -= 1
             state["link"] = 0
             if tag in VOID:
                 continue
             node = [label_of(tag, m["attrs"] or m["attrs2"] or ""), []]
-            stack[-1][1].append(node)
+            if len(stack) < MAX_DEPTH:
+                stack[-1][1].append(node)
+            elif len(stack) > MAX_DEPTH and is_skipped(stack[-1][0], open_tags["article"] > 0):
+                node[0] = stack[-1][0]
             stack.append(node)
             tags.append(tag)
+            open_tags[tag] += 1
     put((source or "")[at:])
     flush()
     return root
@@ -308,26 +337,68 @@ def merged(a: list, b: list, pages: bool = True) -> list:
     return [*head, aligned(a[4], b[4], pages)]
 
 
-def aligned(a: list, b: list, pages: bool) -> list:
-    """Longest common subsequence of the labels; the rest is kept as optional."""
-    if [x[0] for x in a] == [x[0] for x in b]:
-        return [merged(x, y, pages) for x, y in zip(a, b)]
+def turns_in_common(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """The longest common subsequence that matches each label's n-th turn in one with its
+    n-th in the other, in time n log n."""
+    turns: dict[str, list[int]] = {}
+    for j in range(len(b) - 1, -1, -1):
+        turns.setdefault(b[j], []).append(j)
+    pairs = [(i, turns[x].pop()) for i, x in enumerate(a) if turns.get(x)]
+    tails: list[int] = []  # least last place of an increasing run of each length, and its pair
+    ends: list[int] = []
+    before: list[int] = []
+    for k, (_, j) in enumerate(pairs):
+        at = bisect_left(tails, j)
+        tails[at : at + 1] = [j]
+        ends[at : at + 1] = [k]
+        before.append(ends[at - 1] if at else -1)
+    out, k = [], ends[-1] if ends else -1
+    while k >= 0:
+        out.append(pairs[k])
+        k = before[k]
+    return out[::-1]
+
+
+def steps_of(a: list[str], b: list[str]) -> Iterator[tuple[int | None, int | None]]:
+    """Both lists walked together: (i, j) where labels are matched, else one of them None."""
+    if len(a) * len(b) > TABLE_CELLS:
+        i = j = 0
+        for to_i, to_j in [*turns_in_common(a, b), (len(a), len(b))]:
+            yield from ((k, None) for k in range(i, to_i))
+            yield from ((None, k) for k in range(j, to_j))
+            if to_i < len(a):
+                yield to_i, to_j
+            i, j = to_i + 1, to_j + 1
+        return
     best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a) - 1, -1, -1):
         for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
-    out: list = []
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
     i = j = 0
     while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i][0] == b[j][0]:
-            out.append(merged(a[i], b[j], pages))
+        if i < len(a) and j < len(b) and a[i] == b[j]:
+            yield i, j
             i, j = i + 1, j + 1
         elif j == len(b) or i < len(a) and best[i + 1][j] >= best[i][j + 1]:
-            out.append([*a[i][:3], True, *a[i][4:]])
+            yield i, None
             i += 1
         else:
-            out.append([*b[j][:3], True, *b[j][4:]])
+            yield None, j
             j += 1
+
+
+def aligned(a: list, b: list, pages: bool) -> list:
+    """Longest common subsequence of the labels; the rest is kept as optional."""
+    names = [x[0] for x in a], [x[0] for x in b]
+    if names[0] == names[1]:
+        return [merged(x, y, pages) for x, y in zip(a, b)]
+    out: list = []
+    for i, j in steps_of(*names):
+        if i is not None and j is not None:
+            out.append(merged(a[i], b[j], pages))
+        else:
+            x = a[i] if i is not None else b[j]
+            out.append([*x[:3], True, *x[4:]])
     out = folded(out)
     if len(out) > MAX_KIDS:  # one optional repeated group per label: the wrapper stays bounded
         by_label: dict[str, list] = {}

@@ -33,13 +33,12 @@ WINDOW = 20
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 # Least entropy (bits a character) of a window of 20, by character class.
 THRESHOLDS = {"hex": 3.1, "alnum": 3.7, "base64": 3.8}
-# Candidates that are no secrets although they look random.
+# Candidates that are no secrets although they look random. No pattern repeats a group
+# without a bound: Java's matcher would recurse once for each round.
 ALLOWED = (
     r"^[0-9+/_=-]+$",  # digits and rules
     r"^[A-Za-z]?[a-z]+$|^[A-Z]+$",  # words of one case
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
-    r"^/?([A-Za-z_-]+/)+[A-Za-z_-]*$",  # path
-    r"^[A-Za-z]+([_-][A-Za-z]+)+$",  # joined words
     r"(?i)example|placeholder|changeme|xxxxxx|abcdef|012345|123456",
 )
 NOT_A_SECRET = "|".join(f"(?:{p})" for p in ALLOWED)
@@ -55,36 +54,65 @@ def _weight(c: Column) -> Column:
 def max_window_entropy(run: Column, window: int = WINDOW) -> Column:
     """Highest Shannon entropy of any ``window`` characters of an ASCII run.
 
-    128 counts and the sum of their weights are carried along the run; a step
-    changes the counts of the entering and the leaving character only.
+    The sum of the weights of all counts is carried along the run. A step changes two
+    counts only, that of the character that comes and that of the one that goes, and
+    these two are counted in the window itself: its cost does not depend on the run.
     """
-    code = lambda i: F.ascii(F.substring(run, i, F.lit(1)))
-    one = lambda counts, at: F.element_at(counts, at + 1)
-
-    def step(acc: Column, i: Column) -> Column:
-        come = code(i)
-        gone = F.when(i > window, code(i - window)).otherwise(F.lit(-1))
-        had, lost = one(acc["counts"], come), one(acc["counts"], F.greatest(gone, F.lit(0)))
-        total = (
-            F.when(come == gone, acc["total"])
-            .when(gone < 0, acc["total"] + _weight(had + 1) - _weight(had))
-            .otherwise(acc["total"] + _weight(had + 1) - _weight(had) + _weight(lost - 1) - _weight(lost))
-        )
-        counts = F.transform(
-            acc["counts"],
-            lambda c, k: c + F.when(k == come, 1).otherwise(0) - F.when(k == gone, 1).otherwise(0),
-        )
-        entropy = F.lit(math.log2(window)) - total / F.lit(float(window))
-        return F.struct(
-            counts.alias("counts"),
-            total.alias("total"),
-            F.when(i >= window, F.greatest(acc["best"], entropy)).otherwise(acc["best"]).alias("best"),
+    weight_sum = F.lit(math.log2(window))
+
+    def of(codes: Column) -> Column:
+        moves = F.transform(
+            codes,
+            lambda c, k: F.struct(
+                c.alias("come"), F.when(k >= window, F.element_at(codes, k - window + 1)).alias("gone"), k.alias("k")
+            ),
         )
 
-    zero = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("best")
-    )
-    return F.aggregate(F.sequence(F.lit(1), F.length(run)), zero, step, lambda acc: acc["best"])
+        def step(acc: Column, x: Column) -> Column:
+            inside = F.slice(codes, F.greatest(x["k"] - window + 1, F.lit(1)), F.least(x["k"], F.lit(window)))
+            times = lambda c: F.size(F.filter(inside, lambda y: y == c))
+            return F.struct(
+                acc["total"].alias("total"),
+                acc["best"].alias("best"),
+                times(x["come"]).alias("had"),
+                F.when(x["gone"].isNotNull(), times(x["gone"])).alias("lost"),
+                (x["come"] == x["gone"]).alias("same"),
+                x["k"].alias("k"),
+            )
+
+        def added(s: Column) -> Column:
+            more = s["total"] + _weight(s["had"] + 1) - _weight(s["had"])
+            total = F.when(s["same"], s["total"]).when(s["lost"].isNull(), more)
+            total = total.otherwise(more + _weight(s["lost"] - 1) - _weight(s["lost"]))
+            return F.struct(total.alias("total"), s["best"].alias("best"), s["k"].alias("k"))
+
+        def judged(s: Column) -> Column:
+            entropy = weight_sum - s["total"] / F.lit(float(window))
+            full = s["k"] >= window - 1
+            return F.struct(
+                s["total"].alias("total"),
+                F.when(full, F.greatest(s["best"], entropy)).otherwise(s["best"]).alias("best"),
+            )
+
+        zero = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("best"))
+        bound = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
+        follow = lambda acc, x: bound(bound(step(acc, x), added), judged)
+        return F.aggregate(moves, zero, follow, lambda acc: acc["best"])
+
+    # The codes are computed once: an expression inside a lambda would be at each of its steps.
+    characters = F.filter(F.split(run, ""), lambda c: c != "")
+    return F.element_at(F.transform(F.array(F.transform(characters, lambda c: F.ascii(c))), of), 1)
+
+
+def is_path(run: Column) -> Column:
+    """Segments of letters and rules, at least one of them closed by a slash."""
+    inner = F.substring(run, F.lit(2), F.length(run))
+    return run.rlike(r"^[A-Za-z_/-]+$") & ~run.contains("//") & inner.contains("/")
+
+
+def is_joined(run: Column) -> Column:
+    """Words joined by one rule each."""
+    return run.rlike(r"^[A-Za-z][A-Za-z_-]*[A-Za-z]$") & run.rlike("[_-]") & ~run.rlike("[_-][_-]")
 
 
 def is_random(run: Column) -> Column:
@@ -94,7 +122,8 @@ def is_random(run: Column) -> Column:
         .when(run.rlike(r"^[A-Za-z0-9]+$"), F.lit(THRESHOLDS["alnum"]))
         .otherwise(F.lit(THRESHOLDS["base64"]))
     )
-    return F.when(run.rlike(NOT_A_SECRET), F.lit(False)).otherwise(max_window_entropy(run) >= least)
+    allowed = run.rlike(NOT_A_SECRET) | is_path(run) | is_joined(run)
+    return F.when(allowed, F.lit(False)).otherwise(max_window_entropy(run) >= least)
 
 
 def _of_kind(spans: Column, no: int) -> Column:
@@ -137,7 +166,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id",
         *[count(no).alias(f"n_{KINDS[no]}") for no in range(3)],
-        F.size("secret_added").cast("long").alias("n_entropy"),
         F.sha2(spans_text(F.col("secret_base")), 256).alias("base_sha256"),
         spans_text(F.concat("secret_base", "secret_added")).alias("spans"),
+        F.size("secret_added").cast("long").alias("n_entropy"),
     )
