@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow import schema as S
+from cabflow.plans import day_sums as D
 
 
 def stg_trips(curated: DataFrame) -> DataFrame:
@@ -68,9 +69,12 @@ MARTS = {
 
 
 def register_models(
-    spark: SparkSession, curated: DataFrame, rejected: DataFrame | None = None
+    spark: SparkSession, curated: DataFrame, rejected: DataFrame | None = None, sums: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Create the views in dependency order and return them by name."""
+    """Create the views in dependency order and return them by name.
+
+    With the per-day ``sums`` of the curated table the marts read those instead of trips.
+    """
     views: dict[str, DataFrame] = {}
     curated.createOrReplaceTempView("curated_trips_source")
     if rejected is not None:
@@ -78,7 +82,8 @@ def register_models(
     stg = stg_trips(spark.table("curated_trips_source"))
     stg.createOrReplaceTempView("stg_trips")
     views["stg_trips"] = spark.table("stg_trips")
-    for name, build in MARTS.items():
-        build(spark.table("stg_trips")).createOrReplaceTempView(name)
+    marts, source = (MARTS, spark.table("stg_trips")) if sums is None else (D.MARTS, sums)
+    for name, build in marts.items():
+        build(source).createOrReplaceTempView(name)
         views[name] = spark.table(name)
     return views

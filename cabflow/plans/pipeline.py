@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from cabflow.operators import enrich as E
 from cabflow.operators import quality as Q
 from cabflow.operators import route as R
+from cabflow.plans import day_sums as D
 from cabflow.plans import models as M
 from cabflow.sinks import catalog as K
 from cabflow.sinks import versions as V
+from cabflow.sinks.catalog import path_has_data
 from cabflow.sinks.parquet import write_day_partitioned
 from cabflow.sources import month_index as MI
 from cabflow.sources.landing import land_months
@@ -37,6 +39,8 @@ class PipelineConfig:
     validate_raw: bool = False
     # Whether each table is published in one step, as versions behind a manifest.
     versioned: bool = False
+    # Where to keep per-day sums of the curated table; the marts read them then.
+    day_sums_path: str | None = None
     index_path: str | None = None
 
 
@@ -103,6 +107,19 @@ def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name:
     return written, len(stale)
 
 
+def _day_sums(spark: SparkSession, cfg: PipelineConfig, cur) -> DataFrame:
+    """The per-day sums after this run: all days the first time, then those of the period."""
+    curated = spark.table(cfg.curated_table)
+    if not path_has_data(spark, cfg.day_sums_path):
+        D.rebuild(spark, curated, cfg.day_sums_path)
+    else:
+        held = cfg.period.end - cfg.period.start
+        whole = {cfg.period.start + dt.timedelta(days=k) for k in range(held.days + 1)}
+        D.refresh_days(spark, curated, cfg.day_sums_path, cur.days, whole - set(cur.days))
+    sums = D.read_day_sums(spark, cfg.day_sums_path)
+    return D.day_sums(curated) if sums is None else sums
+
+
 def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     """Run the whole job for one period; a step that fails, fails the run.
 
@@ -129,7 +146,8 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     publish = _publish_version if cfg.versioned else _publish
     cur, stale_c = publish(spark, routed.curated, cfg.curated_path, cfg.curated_table, cfg.period, "curated")
     rej, stale_r = publish(spark, routed.rejected, cfg.rejected_path, cfg.rejected_table, cfg.period, "rejected")
-    views = M.register_models(spark, spark.table(cfg.curated_table), spark.table(cfg.rejected_table))
+    sums = _day_sums(spark, cfg, cur) if cfg.day_sums_path else None
+    views = M.register_models(spark, spark.table(cfg.curated_table), spark.table(cfg.rejected_table), sums)
     tests = Q.model_tests(views["stg_trips"]).collect()  # six rows
     failed = [f"{t['model']}.{t['column_name']}" for t in tests if t["status"] == "ERROR"]
     if failed and cfg.fail_on_test_error:

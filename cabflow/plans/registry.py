@@ -558,6 +558,19 @@ def q_raw_pruned_month_counts(spark, sf_dir):
     )
 
 
+@query(
+    "required_columns_missing",
+    f"""SELECT c AS missing_column FROM (SELECT unnest([{", ".join(repr(c) for c in S.ZONE_COLUMNS)}]) AS c)
+WHERE lower(c) NOT IN (SELECT lower(column_name) FROM (DESCRIBE region))
+  AND c NOT IN (SELECT DISTINCT 'Borough' FROM region WHERE r_name IS NOT NULL)""",
+)
+def q_required_columns_missing(spark, sf_dir):
+    """Zone columns that a lookup made of ``region`` alone lacks (S3); its names become boroughs."""
+    found = FX.table(spark, sf_dir, "region").withColumnRenamed("r_name", "Borough").columns
+    missing = RAW.missing_columns(found, S.ZONE_COLUMNS)
+    return spark.createDataFrame([(c,) for c in missing], "missing_column string")
+
+
 @query("zone_lookup_csv", O.with_zones("SELECT * FROM zones"))
 def q_zone_lookup_csv(spark, sf_dir):
     """The zone lookup written as CSV with a header and read back."""
@@ -874,7 +887,7 @@ def q_model_test_summary(spark, sf_dir):
 
 
 def _run_pipeline(
-    spark, sf_dir, period: P.Period = FULL_PERIOD, shift_days: int = 0, out: str | None = None
+    spark, sf_dir, period: P.Period = FULL_PERIOD, shift_days: int = 0, out: str | None = None, **more
 ) -> tuple[DataFrame, str]:
     """Land the fixture, write the zone CSV, run the job into a fresh folder.
 
@@ -885,7 +898,7 @@ def _run_pipeline(
     from cabflow.plans.pipeline import PipelineConfig, run_pipeline
 
     fx = _fx(spark, sf_dir)
-    token = uuid.uuid4().hex[:10]
+    token = uuid.uuid4().hex[:10] if out is None else os.path.basename(out)
     out = out or fx.scratch(f"run_{token}")
     cfg = PipelineConfig(
         raw_root=_land_fixture(fx, shift_days),
@@ -897,6 +910,7 @@ def _run_pipeline(
         rejected_table=f"rejected_trips_{token}",
         run_ts=RUN_TS,
         fail_on_test_error=False,  # some zones of the fixture have no borough
+        **more,
     )
     return run_pipeline(spark, cfg), token
 
@@ -957,11 +971,64 @@ def q_pipeline_strays_by_month(spark, sf_dir):
     return _by_month(_tables(spark, _run_pipeline(spark, sf_dir, NARROW_PERIOD, 75)[1]))
 
 
+# One quarter of the fixture, in the middle of its files.
+QUARTER = P.Period.parse("01/01/1998", "31/03/1998", min_year=FIXTURE_MIN_YEAR)
+
+
+@query("pipeline_versioned_by_month", _by_month_sql(NARROW_PERIOD))
+def q_pipeline_versioned_by_month(spark, sf_dir):
+    """Both tables published as versions, a quarter of them a second time, read through the catalog (K1, K2, K5)."""
+    import uuid
+
+    out = _fx(spark, sf_dir).scratch(f"versions_{uuid.uuid4().hex[:10]}")
+    _run_pipeline(spark, sf_dir, NARROW_PERIOD, 0, out, versioned=True)
+    return _by_month(_tables(spark, _run_pipeline(spark, sf_dir, QUARTER, 0, out, versioned=True)[1]))
+
+
+_MARTS_SQL = O.with_routed(
+    NARROW_PERIOD,
+    """SELECT 'borough' AS mart, pickup_borough AS key, COUNT(*) AS trip_count,
+       ROUND(AVG(total_amount), 2) AS avg_total_amount, ROUND(AVG(trip_distance), 2) AS avg_trip_distance
+FROM stg_trips GROUP BY pickup_borough
+UNION ALL
+SELECT 'hour', CAST(pickup_hour AS VARCHAR), COUNT(*), ROUND(AVG(total_amount), 2), ROUND(AVG(trip_distance), 2)
+FROM stg_trips GROUP BY pickup_hour
+UNION ALL
+SELECT 'zone', pickup_zone, COUNT(*), ROUND(AVG(total_amount), 2), NULL
+FROM stg_trips GROUP BY pickup_zone, pickup_borough""",
+)
+
+
+@query("marts_from_day_sums", _MARTS_SQL)
+def q_marts_from_day_sums(spark, sf_dir):
+    """The three marts from per-day sums, after a quarter's days were rewritten (A1-A3, K6)."""
+    import uuid
+
+    from cabflow.plans import day_sums as D
+
+    out = _fx(spark, sf_dir).scratch(f"sums_{uuid.uuid4().hex[:10]}")
+    sums = os.path.join(out, "day_sums")
+    for period in (NARROW_PERIOD, QUARTER):
+        _run_pipeline(spark, sf_dir, period, 75, out, day_sums_path=sums)
+    parts = []
+    for mart, key in (("borough", "pickup_borough"), ("hour", "pickup_hour"), ("zone", "pickup_zone")):
+        build = {"borough": D.trips_by_borough, "hour": D.trips_by_hour, "zone": D.top_pickup_zones}[mart]
+        rows = build(D.read_day_sums(spark, sums))
+        distance = F.col("avg_trip_distance") if "avg_trip_distance" in rows.columns else F.lit(None).cast("double")
+        parts.append(
+            rows.select(
+                F.lit(mart).alias("mart"), F.col(key).cast("string").alias("key"), "trip_count", "avg_total_amount",
+                distance.alias("avg_trip_distance"),
+            )
+        )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ------------------------------------------------------------------ streaming
 
 
 def _incremental(
-    spark, sf_dir, land_again: bool, shift_days: int = 0, period: P.Period = FULL_PERIOD, out: str | None = None
+    spark, sf_dir, land_again: bool, shift_days: int = 0, period: P.Period = FULL_PERIOD, out: str | None = None, **more
 ) -> DataFrame:
     """The streaming (availableNow) job over the landed fixture, read back per month.
 
@@ -987,6 +1054,7 @@ def _incremental(
         checkpoint_root=os.path.join(out, "checkpoints"),
         period=period,
         run_ts=RUN_TS,
+        **more,
     )
     run_incremental_once(spark, **args)
     if land_again:  # 1997 arrives a second time, in new files
@@ -1012,8 +1080,15 @@ def q_incremental_strays_by_month(spark, sf_dir):
     return _incremental(spark, sf_dir, False, 75)
 
 
-# One quarter of the fixture, in the middle of its files.
-QUARTER = P.Period.parse("01/01/1998", "31/03/1998", min_year=FIXTURE_MIN_YEAR)
+@query("incremental_catalog_by_month", _by_month_sql(NARROW_PERIOD))
+def q_incremental_catalog_by_month(spark, sf_dir):
+    """The tables that follow the stream, read through the catalog (K5)."""
+    import uuid
+
+    token = uuid.uuid4().hex[:10]
+    tables = {f"{r}_table": f"{r}_trips_{token}" for r in ("curated", "rejected")}
+    _incremental(spark, sf_dir, False, 0, NARROW_PERIOD, **tables)
+    return _by_month(_tables(spark, token))
 
 
 @query("pipeline_after_stream_by_month", _by_month_sql(NARROW_PERIOD))

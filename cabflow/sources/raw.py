@@ -35,10 +35,14 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in S.ZONE_SCHEMA.fields])
 
 
+def missing_columns(columns, required) -> list[str]:
+    """The required columns that are absent, sorted."""
+    return sorted(set(required) - set(columns))
+
+
 def require_columns(columns, required, what: str = "input") -> None:
     """Raise with the sorted list of required columns that are absent."""
-    missing = sorted(set(required) - set(columns))
-    if missing:
+    if missing := missing_columns(columns, required):
         raise ValueError(f"missing columns in {what}: {missing}")
 
 

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cabflow.operators import enrich as E
 from cabflow.operators import route as R
+from cabflow.plans import day_sums as D
 from cabflow.sinks import catalog as K
 from cabflow.sinks import versions as V
 from cabflow.sinks.parquet import clear_days, clear_undated, write_day_partitioned
@@ -83,6 +84,7 @@ def rewrite_months(
     curated_table: str | None = None,
     rejected_table: str | None = None,
     versioned: bool = False,
+    day_sums_path: str | None = None,
 ) -> None:
     """Rewrite both tables for the days of the touched months and of their files.
 
@@ -101,8 +103,12 @@ def rewrite_months(
         ("curated", R.curated(scoped), curated_path, curated_table),
         ("rejected", R.rejected(scoped), rejected_path, rejected_table),
     ):
+        sums = day_sums_path if name == "curated" else None
         if versioned:
-            V.publish(spark, frame, path, lambda d: d in days, table, name)
+            written, _ = V.publish(spark, frame, path, lambda d: d in days, table, name)
+            if sums:
+                current = V.read_current(spark, path) if written.days else frame
+                D.refresh_days(spark, current, sums, written.days, days - {None})
             continue
         written = write_day_partitioned(frame, path, name)
         keep = {(d.year, d.month, d.day) for d in written.days}
@@ -113,6 +119,9 @@ def rewrite_months(
         if table:
             held = set(written.days) | ({None} if written.undated else set())
             K.follow_batch(spark, table, path, frame, held, days | set(gone))
+        if sums:
+            current = spark.read.parquet(path) if written.days else frame
+            D.refresh_days(spark, current, sums, written.days, (days | set(gone)) - {None})
 
 
 def start_incremental(
@@ -129,6 +138,7 @@ def start_incremental(
     curated_table: str | None = None,
     rejected_table: str | None = None,
     versioned: bool = False,
+    day_sums_path: str | None = None,
 ) -> StreamingQuery:
     """Start the stream; ``checkpoint_root`` must be on storage shared by the cluster.
 
@@ -143,7 +153,7 @@ def start_incremental(
             touched = sorted(MI.label_of(r[0], r[1]) for r in months)
             rewrite_months(
                 batch.sparkSession, touched, raw_root, zones_path, curated_path, rejected_path, period, run_ts, index_path,
-                curated_table, rejected_table, versioned,
+                curated_table, rejected_table, versioned, day_sums_path,
             )
             for table in filter(None, (curated_table, rejected_table)):
                 spark.catalog.refreshTable(table)  # the batch has a session, and a cache of file lists, of its own
