@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.sources import month_index as MI
@@ -46,14 +47,22 @@ def land_labelled(source: DataFrame, root: str, year: Column, month: Column, ind
     out = source.withColumns(
         {"year": year.cast("int"), "month": F.lpad(month.cast("int").cast("string"), 2, "0")}
     ).drop("__year", "__month")
+    months = Observation(f"landed_{uuid.uuid4().hex}")
+    label = MI.label_of(F.col("year"), F.col("month").cast("int"))
     (
-        out.hint("rebalance", "year", "month")
+        out.observe(months, F.collect_set(label).alias("labels"))
+        .hint("rebalance", "year", "month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(root)
     )
-    MI.refresh(source.sparkSession, root, index_path)
+    try:
+        labels = months.get["labels"]  # one a month
+    except Py4JJavaError:  # no row: the plan, and with it the observation, is gone
+        labels = []
+    schema = out.drop("year", "month").schema.json()
+    MI.refresh(source.sparkSession, root, index_path, dict.fromkeys(labels, schema))
 
 
 def land_months(

@@ -118,8 +118,14 @@ def _columns_of(spark: SparkSession, root: str, folders: Iterable[str]) -> str:
     return spark.read.option("mergeSchema", True).parquet(*paths).schema.json()
 
 
-def refresh(spark: SparkSession, root: str, path: str | None = None) -> dict[int, Month]:
-    """The index, brought up to date: only months whose files changed are read."""
+def refresh(
+    spark: SparkSession, root: str, path: str | None = None, written: dict[int, str] | None = None
+) -> dict[int, Month]:
+    """The index, brought up to date: only months whose files changed are read.
+
+    ``written`` has the schemas of months that the caller has just replaced, so that not
+    even their footers are opened.
+    """
     where = index_path(root, path)
     known = stored(spark, where)
     found = {r["label"]: r for r in listing(spark, root).collect()}  # a row a month
@@ -128,7 +134,8 @@ def refresh(spark: SparkSession, root: str, path: str | None = None) -> dict[int
     if not changed and not gone:
         return known
     with ThreadPoolExecutor(8) as pool:
-        columns = dict(zip(changed, pool.map(lambda k: _columns_of(spark, root, found[k]["folders"]), changed)))
+        of = lambda k: (written or {}).get(k) or _columns_of(spark, root, found[k]["folders"])
+        columns = dict(zip(changed, pool.map(of, changed)))
     held: dict[int, dict] = {k: {} for k in changed}
     if changed:
         now = [Month(k, tuple(found[k]["folders"]), 0, 0, 0, columns[k], {}, frozenset()) for k in changed]

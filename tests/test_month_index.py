@@ -42,10 +42,10 @@ def test_refresh_reads_only_changed_months(spark, scratch, monkeypatch):
     monkeypatch.setattr(MI, "_columns_of", lambda s, r, folders: opened.append(tuple(folders)) or footers(s, r, folders))
     assert len(MI.refresh(spark, root)) == 6 and opened == []
     L.land_months({(2024, 7): raw_frame(spark, [at(2024, 7, 5)])}, root)
-    assert opened == [("year=2024/month=07",)]
+    assert opened == []  # landing knows the schema of what it wrote
     # a file that lands without the library is seen by its listing
     raw_frame(spark, [at(2024, 8, 5)]).write.parquet(f"{root}/year=2024/month=08")
-    assert MI.label_of(2024, 8) in MI.refresh(spark, root) and len(opened) == 2
+    assert MI.label_of(2024, 8) in MI.refresh(spark, root) and opened == [("year=2024/month=08",)]
 
 
 def test_scan_of_a_period_touches_only_folders_that_hold_it(spark, scratch):
