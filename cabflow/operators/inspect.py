@@ -1,7 +1,7 @@
 """Inspector: schema listing, head, null counts and numeric statistics.
 
 Numeric statistics are exact. Moments come from one wide aggregation. Quartiles are
-selected by refinement: mergeable quantile sketches, taken in the same pass, give a
+selected by refinement: mergeable quantile sketches, one a column, give a
 narrow bracket around each target rank; one more pass counts what lies below the
 brackets and keeps only the values inside. No other value is shuffled, and a value that
 stands a billion times is one row.
@@ -210,9 +210,8 @@ def _first_sketches(columns: list[str], probs) -> list[Column]:
     out = []
     for i, c in enumerate(columns):
         out += [F.count(_real(c)).alias(f"real_{i}"), F.count(_number(c)).alias(f"all_{i}")]
-        for j, p in enumerate(probs):
-            error = MARGIN / ACCURACY
-            out.append(_sketch(_real(c), p - error, p + error).alias(f"near_{i}_{j}"))
+        ends = [min(max(p + d * MARGIN / ACCURACY, 0.0), 1.0) for p in probs for d in (-1, 1)]
+        out.append(F.percentile_approx(_real(c), ends, ACCURACY).alias(f"near_{i}"))  # one sketch a column
     return out
 
 
@@ -224,7 +223,7 @@ def _brackets(row, columns: list[str], probs) -> list[Bracket]:
             b = Bracket(c, p, count, nans)
             b.whole()
             if count and count * (4 * MARGIN + 1) <= KEPT * ACCURACY and not nans:
-                b.low, b.high = row[f"near_{i}_{j}"]  # few enough values inside to keep them
+                b.low, b.high = row[f"near_{i}"][2 * j : 2 * j + 2]  # few enough values inside to keep them
                 b.inside = min(count, KEPT)
             out.append(b)
     return out
@@ -245,7 +244,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUARTILES) -> DataFrame:
     """Per numeric column: count, mean, std, min, 25/50/75 %, max (exact).
 
-    Two passes over the rows: moments and sketches, then what the brackets hold.
+    Three passes over the rows: moments, sketches, then what the brackets hold.
     """
     columns = columns or numeric_columns(df)
     stats = ("count", "mean", "std", "min", "max")
@@ -259,8 +258,8 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUART
             F.min(v).alias(f"min_{i}"),
             F.max(v).alias(f"max_{i}"),
         ]
-    row = df.agg(*aggs, *_first_sketches(columns, probs)).first()
-    found = _refined(df, _brackets(row, columns, probs))
+    row = df.agg(*aggs).first()  # apart from the sketches, moments stay in generated code
+    found = _refined(df, _brackets(df.agg(*_first_sketches(columns, probs)).first(), columns, probs))
     names = [f"p{int(round(p * 100))}" for p in probs]
     rows = [
         (c, *[row[f"{s}_{i}"] for s in stats], *[found.get((c, p)) for p in probs]) for i, c in enumerate(columns)
