@@ -2,7 +2,7 @@
 
 Numeric statistics are exact. Moments come from one wide aggregation. Quartiles are
 selected by refinement: mergeable quantile sketches, one a column, give a
-narrow bracket around each target rank; one more pass counts what lies below the
+narrow bracket around each target rank; one more pass a column counts what lies below the
 brackets and keeps only the values inside. No other value is shuffled, and a value that
 stands a billion times is one row.
 """
@@ -144,20 +144,21 @@ def _intervals(brackets: list[Bracket]) -> list[tuple[float, float]]:
 def _kept_values(df: DataFrame, intervals: dict[str, list[tuple[float, float]]]) -> DataFrame:
     """column_name, part, value, n: values inside the intervals counted one by one, the others together.
 
-    Odd parts are the intervals, even ones what lies before, between and after them.
+    Odd parts are the intervals, even ones what lies before, between and after them. Each
+    column is counted on its own, from a scan of what it needs: its few conditions are
+    compiled, which those of all columns in one row are not, and no row is multiplied.
     """
-    kind = "struct<column_name: string, part: int, value: double>"
-    entries = []
+    frames = []
     for name, spans in intervals.items():
-        v = _real(name)
+        v = F.col("value")
         part = F.lit(2 * len(spans))
         for i, (low, high) in reversed(list(enumerate(spans))):
             part = F.when(v < low, 2 * i).when(v <= high, 2 * i + 1).otherwise(part)
         inside = reduce(lambda a, b: a | b, [v.between(low, high) for low, high in spans])
-        entry = F.struct(F.lit(name), F.when(v.isNotNull(), part), F.when(inside, v))
-        entries.append(entry.cast(kind))
-    rows = df.select(F.inline(F.array(*entries))).filter(F.col("part").isNotNull())
-    return rows.groupBy("column_name", "part", "value").agg(F.count(F.lit(1)).alias("n"))
+        rows = df.select(_real(name).alias("value")).filter("value is not null")
+        counts = rows.groupBy(part.alias("part"), F.when(inside, v).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        frames.append(counts.select(F.lit(name).alias("column_name"), "part", "value", "n"))
+    return reduce(DataFrame.unionAll, frames)
 
 
 def _select(df: DataFrame, brackets: list[Bracket]) -> dict[tuple[str, float], tuple]:
@@ -244,7 +245,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs=QUARTILES) -> DataF
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, probs=QUARTILES) -> DataFrame:
     """Per numeric column: count, mean, std, min, 25/50/75 %, max (exact).
 
-    Three passes over the rows: moments, sketches, then what the brackets hold.
+    Moments, sketches, then what the brackets hold: a pass each, the last one column by column.
     """
     columns = columns or numeric_columns(df)
     stats = ("count", "mean", "std", "min", "max")

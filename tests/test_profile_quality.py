@@ -178,3 +178,15 @@ def test_expectations_fail_on_absent_columns(spark):
 def test_shape(spark):
     [r] = I.shape(raw_frame(spark, [{}, {}, {}])).collect()
     assert (r["row_count"], r["column_count"]) == (3, 20)
+
+
+def test_kept_values_multiply_no_rows(spark):
+    """One row in, one row counted: no generator makes a row of every column of every row."""
+    df = spark.range(100).selectExpr("id % 7 as v", "cast(id as double) as w")
+    kept = I._kept_values(df, {"v": [(1.0, 2.0), (5.0, 5.0)], "w": [(98.0, 99.0)]})
+    assert "Generate" not in kept._jdf.queryExecution().executedPlan().toString()
+    rows = {(r["column_name"], r["part"], r["value"]): r["n"] for r in kept.collect()}
+    assert rows == {
+        ("v", 0, None): 15, ("v", 1, 1.0): 15, ("v", 1, 2.0): 14, ("v", 2, None): 28, ("v", 3, 5.0): 14, ("v", 4, None): 14,
+        ("w", 0, None): 98, ("w", 1, 98.0): 1, ("w", 1, 99.0): 1,
+    }
