@@ -15,7 +15,7 @@ from cabflow.plans import models as M
 from cabflow.sinks import catalog as K
 from cabflow.sinks import versions as V
 from cabflow.sinks.catalog import path_has_data
-from cabflow.sinks.parquet import write_day_partitioned
+from cabflow.sinks.parquet import by_day, write_day_partitioned
 from cabflow.sources import month_index as MI
 from cabflow.sources.landing import land_months
 from cabflow.sources.period import Period
@@ -78,7 +78,7 @@ def _publish_version(spark, df: DataFrame, path: str, table: str, period: Period
     """Write one routed output as a version and make it the content of the period's days."""
     if spark.catalog.tableExists(table):
         V.sync(spark, table, path, df)  # what an earlier run published and did not get to show
-    return V.publish(spark, df, path, lambda d: d is not None and period.start <= d <= period.end, table, name)
+    return V.publish(spark, df, path, lambda d: d is not None and period.start <= d <= period.end, table, name, spread=False)
 
 
 def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name: str):
@@ -94,7 +94,7 @@ def _publish(spark, df: DataFrame, path: str, table: str, period: Period, name:
     elif K.path_has_data(spark, path):
         K.register_table(spark, table, path, df)  # first sight of old data: one full repair
         before = _in_period(K.existing_partitions(spark, table, (period.start.year, period.end.year)), period)
-    written = write_day_partitioned(df, path, name)
+    written = write_day_partitioned(df, path, name, spread=False)
     K.create_table(spark, table, path, df)
     K.add_partitions(
         spark,
@@ -141,7 +141,7 @@ def run_pipeline(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
             failed = [r["expectation"] for r in results.filter("NOT success").collect()]  # seven rows at most
             raise RuntimeError(f"raw expectations failed: {failed}")
     zones = read_zones(spark, cfg.zones_path)
-    enriched = E.enrich(raw, zones, run_ts=run_ts)
+    enriched = E.enrich(by_day(raw), zones, run_ts=run_ts)
     routed = R.route(enriched, cfg.period)
     publish = _publish_version if cfg.versioned else _publish
     cur, stale_c = publish(spark, routed.curated, cfg.curated_path, cfg.curated_table, cfg.period, "curated")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow import schema as S
+from cabflow.sources.month_index import PICKUP, pickup_time
 
 
 @dataclass
@@ -21,7 +22,20 @@ class WriteResult:
     undated: int = 0  # rows without a day
 
 
-def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> WriteResult:
+def by_day(raw: DataFrame) -> DataFrame:
+    """Raw trips rebalanced by pickup day, for a write by day that follows.
+
+    The columns and zones that enrichment adds double the width of a row; they are added
+    behind the shuffle. Filters on the trips are pushed below it, so each of two routed
+    outputs shuffles its own rows only.
+    """
+    if PICKUP not in raw.columns:
+        return raw
+    days = raw.withColumn("__day", F.to_date(pickup_time(raw)))
+    return days.hint("rebalance", "__day").drop("__day")
+
+
+def write_day_partitioned(df: DataFrame, path: str, name: str = "write", spread: bool = True) -> WriteResult:
     """Write ``df`` by (pickup_year, pickup_month, pickup_day), replacing only
     the days present in ``df`` (dynamic partition overwrite).
 
@@ -29,7 +43,8 @@ def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> Writ
     AQE splits an oversized day across several tasks and merges small ones.
     The row count and the set of written days are observed during the write
     itself: no second pass. The day set is bounded by the days of the
-    processing period.
+    processing period. Without ``spread`` the rows are taken as they come: those made
+    of :func:`by_day` are grouped already.
     """
     metrics = [
         F.count(F.lit(1)).alias("rows"),
@@ -38,9 +53,10 @@ def write_day_partitioned(df: DataFrame, path: str, name: str = "write") -> Writ
     ]
     obs = Observation(f"{name}_{uuid.uuid4().hex}")  # names must not repeat in a session
     observed = df.observe(obs, *metrics)
+    grouped = observed.hint("rebalance", *S.DAY_PARTITION) if spread else observed
     (
-        observed.hint("rebalance", *S.DAY_PARTITION)
-        .write.mode("overwrite")
+        grouped.write.mode("overwrite")
+        .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*S.DAY_PARTITION)
         .parquet(path)

@@ -91,14 +91,15 @@ def publish(
     table: str | None = None,
     name: str = "write",
     attempts: int = 3,
+    spread: bool = True,
 ) -> tuple[WriteResult, int]:
     """Write ``df`` and make it the content of all days that ``owned`` names (None: no day).
 
     Owned days that ``df`` does not hold go; other days stay. The rows are written once,
-    whatever the attempts to publish. Returns the write's result and the number of days gone.
+    whatever the attempts to publish; ``spread`` is that of the write. Returns the write's result and the number of days gone.
     """
     version = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    written = write_day_partitioned(df, f"{path}/{FOLDER}/{version}", name)
+    written = write_day_partitioned(df, f"{path}/{FOLDER}/{version}", name, spread)
     new = {d.isoformat(): version for d in written.days} | ({UNDATED: version} if written.undated else {})
     for attempt in range(attempts):
         number, before = manifest(spark, path)

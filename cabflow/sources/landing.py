@@ -53,6 +53,7 @@ def land_labelled(source: DataFrame, root: str, year: Column, month: Column, ind
         out.observe(months, F.collect_set(label).alias("labels"))
         .hint("rebalance", "year", "month")
         .write.mode("overwrite")
+        .option("compression", "zstd")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(root)

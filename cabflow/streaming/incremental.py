@@ -24,7 +24,7 @@ from cabflow.operators import route as R
 from cabflow.plans import day_sums as D
 from cabflow.sinks import catalog as K
 from cabflow.sinks import versions as V
-from cabflow.sinks.parquet import clear_days, clear_undated, write_day_partitioned
+from cabflow.sinks.parquet import by_day, clear_days, clear_undated, write_day_partitioned
 from cabflow.sources import month_index as MI
 from cabflow.sources.period import Period
 from cabflow.sources.raw import read_zones
@@ -93,7 +93,7 @@ def rewrite_months(
     follow each batch; with ``versioned`` a batch is published in one step.
     """
     trips, days = affected_trips(spark, raw_root, touched, period, index_path)
-    enriched = E.enrich(trips, read_zones(spark, zones_path), run_ts=run_ts or dt.datetime.now(dt.timezone.utc))
+    enriched = E.enrich(by_day(trips), read_zones(spark, zones_path), run_ts=run_ts or dt.datetime.now(dt.timezone.utc))
     scoped = R.filter_period(enriched, period) if period else enriched
     own = {(m // 12, m % 12 + 1) for m in touched}
     affected = {(d.year, d.month, d.day) for d in days if d}
@@ -105,12 +105,12 @@ def rewrite_months(
     ):
         sums = day_sums_path if name == "curated" else None
         if versioned:
-            written, _ = V.publish(spark, frame, path, lambda d: d in days, table, name)
+            written, _ = V.publish(spark, frame, path, lambda d: d in days, table, name, spread=False)
             if sums:
                 current = V.read_current(spark, path) if written.days else frame
                 D.refresh_days(spark, current, sums, written.days, days - {None})
             continue
-        written = write_day_partitioned(frame, path, name)
+        written = write_day_partitioned(frame, path, name, spread=False)
         keep = {(d.year, d.month, d.day) for d in written.days}
         mine = lambda y, m, d: (y, m) in own or (y, m, d) in affected
         gone = clear_days(spark, path, months, lambda y, m, d: (y, m, d) not in keep and mine(y, m, d) and inside(y, m, d))

@@ -9,7 +9,7 @@ from cabflow.sources import landing as L
 from cabflow.sources import period as P
 from cabflow.sources.raw import read_raw_trips, read_zones
 from cabflow.sinks import catalog as K
-from cabflow.sinks.parquet import write_json_report, write_sample
+from cabflow.sinks.parquet import by_day, write_day_partitioned, write_json_report, write_sample
 from tests.test_enrich import TS, raw_frame, zones_frame
 
 
@@ -151,3 +151,21 @@ def test_sample_and_json_report_sinks(spark, scratch):
     assert doc["dataset"]["row_count"] == 20
     files = [os.path.join(sample, f) for f in os.listdir(sample) if f.endswith(".parquet")]
     assert doc["file_size_mb"] == round(sum(map(os.path.getsize, files)) / 2**20, 2)
+
+
+def test_day_write_shuffles_raw_trips_only(spark, scratch):
+    """The shuffle by day lies below enrichment and above the route's filter; no other one follows."""
+    from cabflow.operators import enrich as E
+    from cabflow.operators import route as R
+
+    rows = [_trip(d, minutes) for d in (3, 4, 4) for minutes in (10, -5)]
+    raw = by_day(raw_frame(spark, [*rows, {"tpep_pickup_datetime": None}]))
+    assert raw.columns == raw_frame(spark, rows).columns
+    out = R.curated(E.enrich(raw, zones_frame(spark)))
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    shuffle = next(i for i, x in enumerate(lines) if "RebalancePartitions" in x)
+    assert max(i for i, x in enumerate(lines) if "Join" in x) < shuffle
+    assert any("Filter" in x and "tpep_dropoff_datetime" in x for x in lines[shuffle:])
+    got = write_day_partitioned(out, os.path.join(scratch, "days"), spread=False)
+    assert got.rows == 3 and got.days == [dt.date(2025, 1, 3), dt.date(2025, 1, 4)]
+    assert spark.read.parquet(os.path.join(scratch, "days")).groupBy("pickup_day").count().count() == 2
