@@ -13,6 +13,10 @@ from cabflow.session import shared_dir, shared_path
 # A word is a run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Whole texts go to Python workers in batches of at most so many rows: a batch stands in memory
+# as Arrow on both sides and as Python objects, for each core of an executor.
+TEXT_ROWS = 1_000
+
 # A side is broadcast by hint only when it was counted and is this small.
 BROADCAST_ROWS = 50_000
 
@@ -21,6 +25,16 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch for functions on texts; a lower setting stays.
+
+    The setting is the session's: plans that run later read it too.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS:
+        spark.conf.set(key, TEXT_ROWS)
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Cut the lineage in the folder that all executors share."""
     shared_dir(df.sparkSession)

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import load, written
+from cabflow.llm.common import load, small_batches, written
 
 BANDS = 12
 ROWS = 3
@@ -303,6 +303,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
 
 def near_components(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document."""
+    small_batches(docs.sparkSession)
     prints = written(fingerprints(docs, size, bands, rows))
     known = prints.filter("n > 0 and doc_id is not null")
     # Equal sets are one node, named by their smallest id.

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import load
+from cabflow.llm.common import load, small_batches
 
 # Documents that train the trees: a fixed bound, taken in order of a hash.
 MAX_TRAINING_DOCS = 8_000
@@ -536,6 +536,7 @@ def redactor(model: PiiModel):
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with personal data replaced; n_chars follows the new text where it exists."""
+    small_batches(docs.sparkSession)
     model = fit_model(docs)
     out = docs.withColumn("text", redactor(model)(F.col("text")))
     if "n_chars" in docs.columns:

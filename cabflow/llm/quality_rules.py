@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cabflow.llm.common import load
+from cabflow.llm.common import load, small_batches
 
 # Labelled rows that train the list: a fixed bound, taken in order of a hash.
 MAX_LABELLED = 20_000
@@ -266,6 +266,7 @@ def with_verdict(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with the columns of ``docs``."""
+    small_batches(docs.sparkSession)
     judged = with_verdict(docs, fit_rules(docs, labels))
     return judged.filter(F.col("quality_rule") == 0).select(docs.columns)
 

@@ -21,3 +21,19 @@ def test_edges(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() > 0
     none = write(spark, tmp_path / "none", documents(spark, []))
     assert corpus_pipeline.run(spark, none).count() == 0
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    """The stages bound the rows of a batch of texts before they plan; a lower setting stays."""
+    from cabflow.llm.common import TEXT_ROWS
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.createDataFrame([(i, f"some words of text number {i}") for i in range(5)], "doc_id long, text string")
+    try:
+        for setting, kept in ((10_000, TEXT_ROWS), (0, TEXT_ROWS), (100, 100)):
+            spark.conf.set(key, setting)
+            assert corpus_pipeline.near_dedup_stage(spark, docs, "").count() == 5
+            assert int(spark.conf.get(key)) == kept
+    finally:
+        spark.conf.set(key, before)
