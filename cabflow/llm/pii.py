@@ -23,23 +23,25 @@ read; other columns pass through.
 
 from __future__ import annotations
 
+import bisect
 import ipaddress
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pandas as pd
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import load, small_batches
+from cabflow.llm.common import load, small_batches, written
 
-# Documents that train the trees: a fixed bound, taken in order of a hash.
-MAX_TRAINING_DOCS = 8_000
-MAX_TRAINING_SPANS = 20_000
 MIN_PRECISION = 0.98
+RATE = 0.2  # of boosting
 CONTEXT = 24
 # Labels of training rows without a verifiable format.
 UNLABELLED = -1.0
@@ -315,49 +317,130 @@ class Tree:
     value: list[float] = field(default_factory=list)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
+        return np.array(self.value)[self.leaf(x)]
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
         node = np.zeros(len(x), dtype=np.int64)
         feature, threshold = np.array(self.feature), np.array(self.threshold)
-        left, right, value = np.array(self.left), np.array(self.right), np.array(self.value)
+        left, right = np.array(self.left), np.array(self.right)
         while True:
             inner = feature[node] >= 0
             if not inner.any():
-                return value[node]
+                return node
             rows = np.flatnonzero(inner)
             at = node[rows]
             node[rows] = np.where(x[rows, feature[at]] <= threshold[at], left[at], right[at])
 
 
-def grow_tree(x: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, depth: int, ridge: float = 1.0) -> Tree:
-    """One regression tree on gradients and hessians, split by gain."""
-    tree = Tree()
-
-    def node(rows: np.ndarray, level: int) -> int:
-        at = len(tree.feature)
-        g, h = gradient[rows].sum(), hessian[rows].sum()
-        for part, v in ((tree.feature, -1), (tree.threshold, 0.0), (tree.left, -1), (tree.right, -1), (tree.value, -g / (h + ridge))):
-            part.append(v)
-        best = (1e-6, -1, 0.0)
-        if level < depth and len(rows) >= 8:
-            for j in range(x.shape[1]):
-                order = rows[np.argsort(x[rows, j], kind="stable")]
-                v = x[order, j]
-                cut = np.flatnonzero(v[1:] > v[:-1])
-                if not len(cut):
-                    continue
-                gl, hl = np.cumsum(gradient[order])[cut], np.cumsum(hessian[order])[cut]
-                gain = gl**2 / (hl + ridge) + (g - gl) ** 2 / (h - hl + ridge) - g**2 / (h + ridge)
-                k = int(np.argmax(gain))
-                if gain[k] > best[0]:
-                    best = (float(gain[k]), j, float((v[cut[k]] + v[cut[k] + 1]) / 2))
-        if best[1] >= 0:
-            below = x[rows, best[1]] <= best[2]
-            tree.feature[at], tree.threshold[at] = best[1], best[2]
-            tree.left[at] = node(rows[below], level + 1)
-            tree.right[at] = node(rows[~below], level + 1)
-        return at
-
-    node(np.arange(len(x)), 0)
-    return tree
+GRID_SHARES, GRID_OCTAVE = 128, 32
+
+
+def grid(x: np.ndarray) -> np.ndarray:
+    """Features as the trees see them: whole numbers up to 64, shares of 1/128, above 64 32 steps an octave.
+
+    The grid is fixed, so the values of a feature are few whatever the number of rows.
+    """
+    x = np.asarray(x, dtype=float)
+    step = np.where(x > 2 * GRID_OCTAVE, 2.0 ** (np.frexp(x)[1] - 6), np.where((x > 0) & (x < 1), 1 / GRID_SHARES, 1.0))
+    return np.floor(x / step) * step
+
+
+# Gradients are summed as whole multiples of 1 / UNIT: the sums do not depend on the order of rows.
+UNIT = 2.0**24
+RIDGE = 1.0
+MIN_NODE = 8
+Block = dict[str, np.ndarray]  # rows of training: bins, held, label, like, w; in boosting y, group, total
+
+
+def add_node(tree: Tree, g: float, h: float) -> int:
+    for part, v in ((tree.feature, -1), (tree.threshold, 0.0), (tree.left, -1), (tree.right, -1), (tree.value, -g / (h + RIDGE))):
+        part.append(v)
+    return len(tree.feature) - 1
+
+
+def histograms(blocks: Iterator[Block], trees: list[Tree], slots: list[np.ndarray], columns: list[int], sizes: list[int]):
+    """Sums of gradients and hessians by open node, feature and value, and the rows of each node."""
+    n = 1 + max(int(s.max()) for s in slots)
+    ends = np.cumsum(sizes)
+    sums, rows_of = np.zeros((2, n, int(ends[-1]))), np.zeros(n)
+    for block in blocks:
+        p = 1.0 / (1.0 + np.exp(-block["total"]))
+        g = np.rint((p - block["y"]) * UNIT) * block["w"]
+        h = np.rint(p * (1 - p) * UNIT) * block["w"]
+        for m, tree in enumerate(trees):
+            rows = np.flatnonzero(block["group"] == m)
+            slot = slots[m][tree.leaf(block["bins"][rows])]
+            rows, slot = rows[slot >= 0], slot[slot >= 0]
+            if not len(rows):
+                continue
+            rows_of += np.bincount(slot, block["w"][rows], n)
+            for j in columns:
+                at, own = slot * sizes[j] + block["bins"][rows, j], slice(ends[j] - sizes[j], ends[j])
+                for k, part in enumerate((g, h)):
+                    sums[k, :, own] += np.bincount(at, part[rows], n * sizes[j]).reshape(n, sizes[j])
+    yield sums, rows_of
+
+
+def added_up(parts: RDD):
+    """Sum of one small result a partition; many are summed in steps, not all at the driver."""
+    return parts.treeReduce(lambda a, b: tuple(x + y for x, y in zip(a, b)), 2 if parts.getNumPartitions() > 16 else 1)
+
+
+def grow_trees(blocks: RDD, values: list[np.ndarray], columns: list[int], n_trees: int, depth: int) -> list[Tree]:
+    """One regression tree for each group of rows, split by gain; every level is one job over all rows.
+
+    Only sums by node, feature and value come to the driver. Thresholds are in bins.
+    """
+    trees = [Tree() for _ in range(n_trees)]
+    open_nodes = [(m, add_node(tree, 0.0, 0.0)) for m, tree in enumerate(trees)]
+    sizes = [len(v) for v in values]
+    ends = np.cumsum(sizes)
+    for level in range(depth):
+        slots = [np.full(len(tree.feature), -1) for tree in trees]
+        for k, (m, at) in enumerate(open_nodes):
+            slots[m][at] = k
+        (sums_g, sums_h), rows_of = added_up(
+            blocks.mapPartitions(partial(histograms, trees=trees, slots=slots, columns=columns, sizes=sizes))
+        )
+        sums_g, sums_h = sums_g / UNIT, sums_h / UNIT
+        own = slice(ends[columns[0]] - sizes[columns[0]], ends[columns[0]])
+        g, h = sums_g[:, own].sum(axis=1), sums_h[:, own].sum(axis=1)
+        gain, best = np.full(len(open_nodes), 1e-6), [None] * len(open_nodes)
+        for j in columns:
+            if sizes[j] < 2:
+                continue
+            own = slice(ends[j] - sizes[j], ends[j])
+            gl, hl = np.cumsum(sums_g[:, own], axis=1)[:, :-1], np.cumsum(sums_h[:, own], axis=1)[:, :-1]
+            gr, hr = g[:, None] - gl, h[:, None] - hl
+            gains = gl**2 / (hl + RIDGE) + gr**2 / (hr + RIDGE) - (g**2 / (h + RIDGE))[:, None]
+            for k in np.flatnonzero((gains.max(axis=1) > gain) & (rows_of >= MIN_NODE)):
+                cut = int(np.argmax(gains[k]))
+                gain[k], best[k] = gains[k, cut], (j, cut, gl[k, cut], hl[k, cut])
+        following = []
+        for k, (m, at) in enumerate(open_nodes):
+            tree = trees[m]
+            if level == 0:
+                tree.value[at] = -g[k] / (h[k] + RIDGE)
+            if best[k] is None:
+                continue
+            j, cut, gl, hl = best[k]
+            own = slice(ends[j] - sizes[j], ends[j])
+            more = np.flatnonzero((sums_h[k, own] > 0) | (sums_g[k, own] != 0))
+            above = int(more[more > cut][0]) if (more > cut).any() else cut + 1
+            between = (values[j][cut] + values[j][above]) / 2
+            tree.feature[at], tree.threshold[at] = j, float(np.searchsorted(values[j], between, "right")) - 0.5
+            tree.left[at], tree.right[at] = add_node(tree, gl, hl), add_node(tree, g[k] - gl, h[k] - hl)
+            following += [(m, tree.left[at]), (m, tree.right[at])]
+        open_nodes = following
+        if not open_nodes:
+            break
+    return trees
+
+
+def in_values(tree: Tree, values: list[np.ndarray]) -> Tree:
+    """The tree with thresholds on features in place of bins."""
+    cut = lambda j, t: float(values[j][int(t)] + values[j][int(t) + 1]) / 2 if j >= 0 else 0.0
+    return Tree(tree.feature, [cut(j, t) for j, t in zip(tree.feature, tree.threshold)], tree.left, tree.right, tree.value)
 
 
 @dataclass
@@ -367,122 +450,290 @@ class PiiModel:
     trees: list[Tree]
     base: float
     thresholds: dict[int, float]
-    rate: float = 0.2
+    rate: float = RATE
 
     def score(self, x: np.ndarray) -> np.ndarray:
+        x = grid(x)
         total = np.full(len(x), self.base)
         for tree in self.trees:
             total += self.rate * tree.predict(x)
         return 1.0 / (1.0 + np.exp(-total))
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 40, depth: int = 4, rate: float = 0.2) -> PiiModel:
-    base = float(np.log((y.sum() + 1) / ((1 - y).sum() + 1)))
-    model = PiiModel([], base, {}, rate)
-    total = np.full(len(x), base)
+def total_of(trees: list[Tree], base: float, bins: np.ndarray, rate: float) -> np.ndarray:
+    total = np.full(len(bins), base)
+    for tree in trees:
+        total += rate * tree.predict(bins)
+    return total
+
+
+def stepped(block: Block, trees: list[Tree], rate: float) -> Block:
+    """The block with the trees' values added to the totals of their groups."""
+    total = block["total"].copy()
+    for m, tree in enumerate(trees):
+        own = block["group"] == m
+        total[own] += rate * tree.predict(block["bins"][own])
+    return block | {"total": total}
+
+
+def boost(
+    blocks: RDD, values: list[np.ndarray], columns: list[int], n_models: int = 1, rounds: int = 40, depth: int = 4, rate: float = RATE
+) -> tuple[list[list[Tree]], list[float]]:
+    """Boosted trees in bins, and the base, for each group of rows; the models grow side by side."""
+
+    def counted(some: Iterator[Block]):
+        out = np.zeros((n_models, 2))
+        for block in some:
+            for m in range(n_models):
+                own = block["group"] == m
+                out[m] += [(block["w"] * block["y"])[own].sum(), block["w"][own].sum()]
+        yield (out,)
+
+    (counts,) = added_up(blocks.mapPartitions(counted))
+    base = [float(np.log((hits + 1) / (n - hits + 1))) for hits, n in counts]
+    start = np.array([*base, 0.0])  # rows of no group, -1, take the last
+    now, before = blocks.map(lambda block: block | {"total": start[block["group"]]}).persist(STORED), None
+    models: list[list[Tree]] = [[] for _ in base]
     for _ in range(rounds):
-        p = 1.0 / (1.0 + np.exp(-total))
-        tree = grow_tree(x, p - y, p * (1 - p) + 1e-9, depth)
-        model.trees.append(tree)
-        total += rate * tree.predict(x)
-    return model
+        trees = grow_trees(now, values, columns, n_models, depth)
+        if before is not None:
+            before.unpersist()
+        for model, tree in zip(models, trees):
+            model.append(tree)
+        now, before = now.map(partial(stepped, trees=trees, rate=rate)).persist(STORED), now
+    before.unpersist()
+    now.unpersist()
+    return models, base
+
+
+STORED = StorageLevel.MEMORY_AND_DISK
+# Totals are ranked in steps of 1 / RANKS: scores of all rows are counted in few cells.
+RANKS = 100
+
 
+def cells_of(total: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(total * RANKS), -MAX_CELL, MAX_CELL).astype(np.int64)
 
-def calibrated(model: PiiModel, x: np.ndarray, y: np.ndarray, kinds: np.ndarray, precision: float) -> dict[int, float]:
+
+MAX_CELL = 4_000
+
+
+def counted_cells(blocks: RDD, rows_of) -> np.ndarray:
+    """Rows by part, kind and cell: ``rows_of`` gives row numbers, parts and totals of a block."""
+
+    def counted(some: Iterator[Block]):
+        out = np.zeros((2, len(KINDS), 2 * MAX_CELL + 1))
+        for block in some:
+            rows, part, total = rows_of(block)
+            np.add.at(out, (part, block["kind"][rows], cells_of(total) + MAX_CELL), block["w"][rows])
+        yield (out,)
+
+    return added_up(blocks.mapPartitions(counted))[0]
+
+
+def calibrated(counts: np.ndarray, precision: float) -> dict[int, float]:
     """Per kind, the least score from which on held-out candidates keep the precision."""
     out = {}
-    scores = model.score(x) if len(x) else np.zeros(0)
     for kind in range(len(BASE_KINDS), len(KINDS)):
-        own = kinds == kind
-        order = np.argsort(-scores[own], kind="stable")
-        s, hit = scores[own][order], y[own][order]
-        right = np.cumsum(hit) / np.maximum(1, np.arange(1, len(hit) + 1))
-        last = np.append(s[1:] < s[:-1], True) if len(s) else np.zeros(0, dtype=bool)
-        good = np.flatnonzero((right >= precision) & last & (np.cumsum(hit) >= 5))
-        out[kind] = max(0.5, float(s[good[-1]])) if len(good) else 2.0
+        wrong, hit = (np.cumsum(counts[label, kind][::-1])[::-1] for label in (0, 1))
+        some = counts[0, kind] + counts[1, kind] > 0
+        good = np.flatnonzero(some & (hit >= precision * (hit + wrong)) & (hit >= 5))
+        out[kind] = max(0.5, 1.0 / (1.0 + np.exp(-(good[0] - MAX_CELL) / RANKS))) if len(good) else 2.0
     return out
 
 
+def apart(base: list[tuple[int, int, int]]):
+    """Whether a span overlaps none of the given ones."""
+    merged: list[list[int]] = []
+    for start, _, end in sorted(base):
+        if merged and start < merged[-1][1]:
+            merged[-1][1] = max(end, merged[-1][1])
+        else:
+            merged.append([start, end])
+    starts, ends = [m[0] for m in merged], [m[1] for m in merged]
+
+    def free(a: int, b: int) -> bool:
+        k = bisect.bisect_right(ends, a)
+        return k == len(starts) or b <= starts[k]
+
+    return free
+
+
 def training_rows(text: str, seed: int) -> list[list[float]]:
     """Feature rows of one text, the label first and the style last."""
     base = base_spans(text)
-    rng = np.random.default_rng(seed % (2**32))
     rows = []
-
-    def free(a: int, b: int) -> bool:
-        return all(b <= s or e <= a for s, _, e in base)
-
+    free, fixed = apart(base), {(a, b) for a, _, b in base}
     for s, kind, e in candidates(text):
         if free(s, e):
             rows.append([verified(kind, text[s:e]), *span_features(text, s, kind, e), style_of(kind, text[s:e])])
-        elif any(s == a and e == b for a, _, b in base):
+        elif (s, e) in fixed:
             rows.append([1.0, *span_features(text, s, kind, e), style_of(kind, text[s:e])])
+    rng = np.random.default_rng(seed % (2**32)) if base else None
     for s, kind, e in base:
+        before, after = text[max(0, s - CONTEXT) : s], text[e : e + CONTEXT]
         for label, made in ((1.0, rewritten), (0.0, broken)):
             for to, body in made(kind, text[s:e], rng):
-                other = text[:s] + body + text[e:]
-                rows.append([label, *span_features(other, s, to, s + len(body)), style_of(to, body)])
+                at = len(before)
+                rows.append([label, *span_features(before + body + after, at, to, at + len(body)), style_of(to, body)])
     return rows
 
 
-def reliable_negatives(x: np.ndarray, y: np.ndarray, styles: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """Unlabelled rows written like no positive that score below nearly all of their kind, by a model that saw neither.
-
-    The context is left out: rewritten spans stand in that of the fixed formats, other data need not.
-    """
-    kinds, x = x[:, 0], np.delete(x, CONTEXT_COLUMNS, axis=1)
-    out = np.zeros(len(y), dtype=bool)
-    for part in (held, ~held):
-        if not part.any() or part.all():
-            continue
-        scores = np.zeros(len(y))
-        scores[part] = boost(x[~part], (y[~part] == 1).astype(float)).score(x[part])
-        for kind in range(len(BASE_KINDS), len(KINDS)):
-            own = part & (kinds == kind)
-            spies = scores[own & (y == 1)]
-            if len(spies) >= 5:
-                out |= own & (y == UNLABELLED) & (scores < np.quantile(spies, SPY_SHARE))
-    return out & ~np.isin(styles, styles[y == 1])
-
-
-CONTEXT_COLUMNS = slice(24, 32)  # of span_features: what stands before and after
+CONTEXT_COLUMNS = range(24, 32)  # of span_features: what stands before and after
 N_FEATURES = len(span_features("0", 0, 5, 1))
+ROWS_AT_ONCE = 20_000
+
 
+def training_cells(docs: DataFrame) -> DataFrame:
+    """The training rows of all documents: equal ones once, with their number ``w``.
 
-def fit_model(docs: DataFrame, max_docs: int = MAX_TRAINING_DOCS, max_spans: int = MAX_TRAINING_SPANS) -> PiiModel:
-    """Train on the candidates of at most ``max_docs`` documents, the first by hash of their id."""
-    ids = docs.select(F.col("doc_id").alias("__id")).filter("__id is not null").distinct()
-    ids = ids.orderBy(F.xxhash64(F.lit("pii"), "__id"), "__id").limit(max_docs)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id"))
+    ``x`` holds the features on the grid, ``like`` whether a positive is written in the same style.
+    """
 
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made: list[tuple[int, list[float]]] = []
+
+        def frame() -> pd.DataFrame:
+            data = np.array([row for _, row in made])
+            return pd.DataFrame(
+                {
+                    "held": np.array([i % 3 == 0 for i, _ in made]),
+                    "label": data[:, 0].astype(np.int32),
+                    "style": data[:, -1].astype(np.int64),
+                    "x": [x.tobytes() for x in grid(data[:, 1:-1]).astype(np.float32)],
+                }
+            )
+
         for batch in batches:
-            made = [
-                (int(i), row)
-                for i, text in zip(batch["doc_id"], batch["text"])
-                if text
-                for row in training_rows(text, int(i))
-            ]
-            if made:
-                yield pd.DataFrame({"doc_id": [i for i, _ in made], "row": [r for _, r in made]})
-
-    sample = rows.select(F.xxhash64("doc_id").alias("doc_id"), "text").mapInPandas(examples, "doc_id long, row array<double>")
-    got = sample.orderBy("doc_id", "row").limit(max_spans).collect()
-    data = np.array([r["row"] for r in got]).reshape(len(got), N_FEATURES + 2)
-    held = np.array([r["doc_id"] % 3 == 0 for r in got], dtype=bool)
-    y, x, styles = data[:, 0], data[:, 1:-1], data[:, -1]
-    if (y == 1).sum() < 5 or (y == 1).all():
+            for i, text in zip(batch["id"], batch["text"]):
+                made += [(int(i), row) for row in training_rows(text, int(i))] if text else []
+                if len(made) >= ROWS_AT_ONCE:
+                    yield frame()
+                    made.clear()
+        if made:
+            yield frame()
+
+    texts = docs.select(F.xxhash64("doc_id").alias("id"), "text")
+    rows = texts.mapInPandas(examples, "held boolean, label int, style long, x binary")
+    cells = written(rows.groupBy("held", "label", "style", "x").agg(F.count(F.lit(1)).alias("w")))
+    positive = cells.filter("label = 1").select(F.col("style").alias("__style"), F.lit(True).alias("__like")).distinct()
+    like = F.coalesce("__like", F.lit(False)).alias("like")
+    return cells.join(positive, F.col("style") == F.col("__style"), "left").select("held", "label", "x", "w", like)
+
+
+def features_of(rows: list) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(r["x"]) for r in rows), dtype=np.float32).reshape(len(rows), N_FEATURES)
+
+
+def chunks(rows: Iterator) -> Iterator[list]:
+    rows = iter(rows)
+    while some := list(itertools.islice(rows, ROWS_AT_ONCE)):
+        yield some
+
+
+def training_values(cells: RDD) -> list[np.ndarray]:
+    """All values of every feature: bounded by the grid."""
+
+    def found(rows: Iterator) -> Iterator[list[set]]:
+        out: list[set] = [set() for _ in range(N_FEATURES)]
+        for some in chunks(rows):
+            for mine, column in zip(out, features_of(some).T):
+                mine.update(np.unique(column).tolist())
+        yield out
+
+    both = cells.mapPartitions(found).treeReduce(lambda a, b: [x | y for x, y in zip(a, b)])
+    return [np.array(sorted(v)) for v in both]
+
+
+def training_blocks(cells: RDD, values: list[np.ndarray]) -> RDD:
+    """The training rows as arrays, features as numbers of their values."""
+
+    def blocks(rows: Iterator) -> Iterator[Block]:
+        for some in chunks(rows):
+            x = features_of(some)
+            yield {
+                "bins": np.stack([np.searchsorted(v, x[:, j]) for j, v in enumerate(values)], axis=1).astype(np.uint16),
+                "kind": x[:, 0].astype(np.int64),
+                **{c: np.array([r[c] for r in some]) for c in ("held", "label", "like", "w")},
+            }
+
+    return cells.mapPartitions(blocks)
+
+
+def reliable_negatives(blocks: RDD, values: list[np.ndarray]) -> RDD:
+    """Blocks labelled 1 and 0 (``y``): unlabelled rows written like no positive that score below nearly all of
+    their kind, by a model that saw neither, are 0 too. ``group`` is 0 for rows that train, 1 for held-out ones
+    and -1 for those that do neither.
+
+    The context is left out: rewritten spans stand in that of the fixed formats, other data need not.
+    """
+    columns = [j for j in range(N_FEATURES) if j not in CONTEXT_COLUMNS]
+    halves = blocks.map(lambda b: b | {"group": b["held"].astype(np.int64), "y": (b["label"] == 1).astype(float)})
+    models, base = boost(halves, values, columns, n_models=2)
+
+    def unseen(block: Block) -> np.ndarray:
+        total = np.zeros(len(block["w"]))
+        for part in (0, 1):
+            own = block["held"] == bool(part)
+            total[own] = total_of(models[1 - part], base[1 - part], block["bins"][own], RATE)
+        return total
+
+    def spies(block: Block):
+        rows = np.flatnonzero(block["label"] == 1)
+        return rows, block["held"][rows].astype(np.int64), unseen(block)[rows]
+
+    running = np.cumsum(counted_cells(blocks, spies), axis=2)
+    number = running[:, :, -1:]
+    least = np.argmax(running > SPY_SHARE * (number - 1), axis=2) - MAX_CELL
+    least[number[:, :, 0] < 5] = -MAX_CELL
+
+    def labelled(block: Block) -> Block:
+        cell = cells_of(unseen(block))
+        below = (block["label"] == UNLABELLED) & ~block["like"] & (cell < least[block["held"].astype(np.int64), block["kind"]])
+        label = np.where(below, 0.0, block["label"])
+        return block | {"y": np.maximum(label, 0.0), "group": np.where(label == UNLABELLED, -1, block["held"].astype(np.int64))}
+
+    return blocks.map(labelled)
+
+
+def fit_model(docs: DataFrame) -> PiiModel:
+    """Train and calibrate on the candidates of all documents.
+
+    Rows of training stay with the executors; sums, counts and values come to the driver.
+    """
+    cells = training_cells(docs)
+    whole = cells.agg(
+        F.sum(F.when(F.col("label") == 1, F.col("w"))), F.sum("w"), F.sum(F.when(F.col("held"), F.col("w")))
+    ).first()
+    positives, rows, held = (int(v or 0) for v in whole)
+    if positives < 5 or positives == rows:
         return PiiModel([], -20.0, {})
-    y = np.where(reliable_negatives(x, y, styles, held), 0.0, y)
-    x, y, held = x[y != UNLABELLED], y[y != UNLABELLED], held[y != UNLABELLED]
-    model = boost(x[~held], y[~held])
-    model.thresholds = calibrated(model, x[held], y[held], x[held, 0], MIN_PRECISION)
-    return model
+    values = training_values(cells.rdd)
+    blocks = training_blocks(cells.rdd, values).persist(STORED)
+    if 0 < held < rows:
+        known = reliable_negatives(blocks, values).persist(STORED)
+    else:  # nothing to compare with: unlabelled rows neither train nor calibrate
+        known = blocks.map(
+            lambda b: b | {"y": np.maximum(b["label"], 0.0), "group": np.where(b["label"] == UNLABELLED, -1, b["held"].astype(np.int64))}
+        ).persist(STORED)
+    trees, base = boost(
+        known.map(lambda b: b | {"group": np.where(b["group"] == 0, 0, -1)}), values, list(range(N_FEATURES))
+    )
+
+    def judged(block: Block):
+        out = np.flatnonzero(block["group"] == 1)
+        return out, block["y"][out].astype(np.int64), total_of(trees[0], base[0], block["bins"][out], RATE)
+
+    thresholds = calibrated(counted_cells(known, judged), MIN_PRECISION)
+    known.unpersist()
+    blocks.unpersist()
+    return PiiModel([in_values(t, values) for t in trees[0]], base[0], thresholds, RATE)
 
 
 def added_spans(text: str, base: list[tuple[int, int, int]], model: PiiModel) -> list[tuple[int, int, int]]:
     """Selected candidates outside the base spans; of overlapping ones the best score, then the first."""
-    free = [c for c in candidates(text) if all(c[2] <= s or e <= c[0] for s, _, e in base)]
+    clear = apart(base)
+    free = [c for c in candidates(text) if clear(c[0], c[2])]
     if not free:
         return []
     scores = model.score(np.array([span_features(text, *c) for c in free], dtype=float))
@@ -549,7 +800,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     found = docs.select("doc_id", spans_of(fit_model(docs))(F.col("text")).alias("s")).select("doc_id", "s.*")
     names = F.array(*[F.lit(k) for k in KINDS])
-    written = lambda spans: F.array_join(
+    digest = lambda spans: F.array_join(
         F.transform(
             F.array_sort(spans),
             lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")),
@@ -560,7 +811,7 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[count(k).alias(f"n_{name}") for k, name in enumerate(BASE_KINDS)],
-        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
-        written(F.concat("base", "added")).alias("spans"),
+        F.sha2(digest(F.col("base")), 256).alias("base_sha256"),
+        digest(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_added"),
     )

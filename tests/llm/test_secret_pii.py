@@ -145,6 +145,46 @@ def test_unlabelled_data_is_no_negative(spark):
     assert "jane.doe (at) mail dot com" in found and "(415) 555-2671" in found and len(found) == 2
 
 
+def test_all_documents_train(spark):
+    """Personal data behind thousands of documents, in order of a hash, is learnt from too."""
+    ids = spark.range(8_400).orderBy(F.xxhash64(F.lit("pii"), "id"), "id")
+    order = [r["id"] for r in ids.collect()]
+    docs = documents(spark, [(i, personal(k) if k >= 8_100 else f"plain words {k}", "a") for k, i in enumerate(order)])
+    text = "please write to jane.doe (at) mail dot com or call (415) 555-2671, order 12345678"
+    found = [text[s:e] for s, _, e in pii.added_spans(text, [], pii.fit_model(docs))]
+    assert "jane.doe (at) mail dot com" in found and "12345678" not in found
+    rows = sum(len(pii.training_rows(personal(k), 1)) for k in range(8_100, 8_400))
+    assert pii.training_cells(docs).agg(F.sum("w")).first()[0] == rows
+
+
+def test_histograms_give_the_best_cut(spark):
+    """A tree grown from sums of several blocks cuts where a scan of all rows finds the most gain."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x, w = rng.integers(0, 5, (400, 3)), rng.integers(1, 4, 400)
+    y = ((x[:, 1] >= 3) ^ (rng.random(400) < 0.1)).astype(float)
+    parts = [slice(0, 150), slice(150, 160), slice(160, 400)]
+    blocks = spark.sparkContext.parallelize(
+        [{"bins": x[p].astype(np.uint16), "y": y[p], "w": w[p], "group": np.zeros(len(y[p]), int), "total": np.zeros(len(y[p]))} for p in parts], 3
+    )
+    values = [np.arange(5.0)] * 3
+    (tree,) = pii.grow_trees(blocks, values, [0, 1, 2], 1, 2)
+    g, h = (0.5 - y) * w, 0.25 * w
+
+    def gain(j, t):
+        left = x[:, j] <= t
+        return sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (left, ~left))
+
+    assert (tree.feature[0], tree.threshold[0]) == max(((j, t + 0.5) for j in range(3) for t in range(4)), key=lambda c: gain(*c)) == (1, 2.5)
+    assert pii.in_values(tree, values).threshold[0] == 2.5
+    assert abs(tree.value[0] + g.sum() / (h.sum() + 1)) < 1e-6
+
+
+def test_grid():
+    assert pii.grid([-1, 0, 0.5, 1, 64, 65, 67, 255, 256, 2024]).tolist() == [-1, 0, 0.5, 1, 64, 64, 66, 252, 256, 2016]
+
+
 def test_pii_edges(spark):
     assert pii.redact(documents(spark)).count() == 12
     assert pii.redact(documents(spark, [])).count() == 0
